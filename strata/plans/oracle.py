@@ -142,6 +142,7 @@ latest AS ({latest_sql('SELECT * FROM versions')}),
 hist AS ({history}),
 dim_network AS ({dim_network_sql('SELECT * FROM hist')}),
 dim_class AS ({dim_class_sql()}),
+dim_date AS ({dim_date_sql(start, end)}),
 fact AS ({fact_sql('SELECT * FROM latest', 'SELECT * FROM dim_network', 'SELECT * FROM dim_class')}),
 mart AS ({mart_sql('SELECT * FROM fact', 'SELECT * FROM dim_network', 'SELECT * FROM dim_class')})
 """
@@ -161,3 +162,117 @@ def namespace_expr(col: str) -> str:
 def lookup_values() -> str:
     rows = ", ".join(f"({q(a)}, {q(b)})" for a, b in fd.WORD_GROUPS)
     return f"SELECT * FROM (VALUES {rows}) AS t(namespace, content_group)"
+
+
+def calendar_cols(d: str) -> str:
+    return (f"CAST({d} AS DATE) AS date_key, CAST(isodow({d}) AS INTEGER) AS iso_weekday, "
+            f"strftime({d}, '%a') AS weekday_name, CAST(year({d}) AS INTEGER) AS year, "
+            f"CAST(month({d}) AS INTEGER) AS month")
+
+
+def dim_date_sql(start: str, end: str) -> str:
+    return (f"SELECT {calendar_cols('d')} FROM (SELECT CAST(gs AS DATE) AS d FROM "
+            f"generate_series(DATE {q(start)}, DATE {q(end)} - 1, INTERVAL 1 DAY) t(gs)) x")
+
+
+# --- scenarios -------------------------------------------------------------------
+
+def case_inputs(name: str) -> tuple[str, str]:
+    """(typed events SQL, network history SQL) for a scenario."""
+    from strata.plans import scenarios as sc
+    base, hist = typed_events(), user_history_sql()
+    if name == "baseline":
+        return base, hist
+    if name == "dup":
+        d = typed_events(slice_id="dup", order=1, synthetic=True,
+                         table="(SELECT * FROM events WHERE event_type = 'purchase') e")
+        return f"SELECT * FROM ({base}) a UNION ALL SELECT * FROM ({d}) b", hist
+    if name == "late":
+        d = typed_events(slice_id="late", order=1, synthetic=True,
+                         table=f"(SELECT * REPLACE (value + {sc.LATE_DELTA} AS value) FROM events "
+                               f"WHERE event_type = 'click') e")
+        d = f"SELECT * REPLACE (TIMESTAMP {q(sc.LATE_UPDATED)} AS updated_ts) FROM ({d}) x"
+        return f"SELECT * FROM ({base}) a UNION ALL SELECT * FROM ({d}) b", hist
+    if name == "source_b":
+        d = typed_events(source=sc.MIRROR_SOURCE, slice_id="source_b", order=1, synthetic=True,
+                         table="(SELECT * FROM events WHERE event_type = 'view') e")
+        h = (f"SELECT * FROM ({hist}) a UNION ALL "
+             f"SELECT * REPLACE (TRUE AS _is_synthetic) FROM ({user_history_sql(sc.MIRROR_SOURCE)}) b")
+        return f"SELECT * FROM ({base}) a UNION ALL SELECT * FROM ({d}) b", h
+    if name == "corrupt":
+        d = typed_events(slice_id="corrupt", order=1, synthetic=True,
+                         table=f"(SELECT * REPLACE (value + {sc.CORRUPT_DELTA} AS value, 'purchase' AS event_type) "
+                               f"FROM events WHERE event_type = 'error') e")
+        d = f"SELECT * REPLACE ('corrupt_' || event_id AS event_id) FROM ({d}) x"
+        return f"SELECT * FROM ({base}) a UNION ALL SELECT * FROM ({d}) b", hist
+    if name == "overlap":
+        h = (f"SELECT * FROM ({hist}) a UNION ALL "
+             f"SELECT {q(fd.EVENTS_SOURCE)}, CAST(user_id AS VARCHAR), "
+             f"'user ' || CAST(user_id AS VARCHAR) || ' renamed', TIMESTAMP {q(sc.OVERLAP_FROM)}, "
+             f"TIMESTAMP '9999-12-31 00:00:00', TRUE FROM (SELECT DISTINCT user_id FROM events) u")
+        return base, h
+    raise ValueError(name)
+
+
+def case_ctes(name: str, start: str = fd.WINDOW[0], end: str = fd.WINDOW[1]) -> str:
+    typed, hist = case_inputs(name)
+    return elt_ctes(typed, hist, start, end)
+
+
+# --- quality gate --------------------------------------------------------------------
+
+SQL_TABLE = {"network_history": "hist"}
+
+
+def singular_sql(name: str, fact_types, mag_range, depth_range) -> str:
+    return {
+        "fact_matches_stg_count": f"""SELECT s.c AS stg_rows, f.c AS fact_rows
+FROM (SELECT count(*) AS c FROM latest WHERE event_type IN ({in_list(fact_types)})) s,
+     (SELECT count(*) AS c FROM fact) f WHERE s.c <> f.c""",
+        "mag_class_matches_magnitude": """SELECT f.event_key FROM fact f
+JOIN dim_class c ON c.class_key = f.mag_class_key
+WHERE f.magnitude < c.mag_min OR f.magnitude >= c.mag_max""",
+        "magnitude_and_depth_in_range": f"""SELECT event_key FROM fact
+WHERE magnitude IS NULL OR magnitude NOT BETWEEN {mag_range[0]} AND {mag_range[1]}
+   OR depth_km IS NULL OR depth_km NOT BETWEEN {depth_range[0]} AND {depth_range[1]}""",
+        "mart_grain_unique": """SELECT event_date FROM mart
+GROUP BY event_date, class_key, source_system, net, network_name HAVING count(*) > 1""",
+        "mart_reconciles_with_fact": """WITH f AS (SELECT event_date, count(*) AS events FROM fact GROUP BY 1),
+m AS (SELECT event_date, sum(events) AS events FROM mart GROUP BY 1)
+SELECT coalesce(f.event_date, m.event_date) AS event_date FROM f FULL JOIN m ON m.event_date = f.event_date
+WHERE f.events IS DISTINCT FROM m.events""",
+        "network_history_no_overlap": """SELECT a.network_key FROM dim_network a JOIN dim_network b
+  ON a.source_system = b.source_system AND a.net = b.net AND a.network_key < b.network_key
+  AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to""",
+        "one_network_version_per_event": f"""SELECT e.event_key FROM latest e
+JOIN dim_network n ON n.source_system = e.source_system AND n.net = e.net
+  AND e.event_ts >= n.valid_from AND e.event_ts < n.valid_to
+WHERE e.event_type IN ({in_list(fact_types)})
+GROUP BY e.event_key, e.event_id, e.source_system, e.net HAVING count(*) > 1""",
+    }[name]
+
+
+def test_count_sql(test, fact_types, mag_range, depth_range) -> str:
+    t = SQL_TABLE.get(test.table, test.table)
+    c = test.column
+    if test.kind == "not_null":
+        body = f"SELECT count(*) AS n FROM {t} WHERE {c} IS NULL"
+    elif test.kind == "unique":
+        body = f"SELECT count(*) AS n FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) x"
+    elif test.kind == "accepted_values":
+        body = f"SELECT count(*) AS n FROM (SELECT {c} FROM {t} WHERE {c} NOT IN ({in_list(test.values)}) GROUP BY {c}) x"
+    elif test.kind == "relationships":
+        pt, pc = test.parent
+        pt = SQL_TABLE.get(pt, pt)
+        body = (f"SELECT count(*) AS n FROM {t} ch WHERE ch.{c} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {pt} p WHERE p.{pc} = ch.{c})")
+    else:
+        body = f"SELECT count(*) AS n FROM ({singular_sql(test.name, fact_types, mag_range, depth_range)}) x"
+    return f"SELECT {q(test.name)} AS test_name, n AS failures FROM ({body}) y"
+
+
+def dq_summary_sql(ctes: str, tests, fact_types=fd.FACT_TYPES, mag_range=fd.VALUE_RANGE,
+                   depth_range=fd.DEPTH_RANGE) -> str:
+    parts = "\nUNION ALL\n".join(test_count_sql(x, fact_types, mag_range, depth_range) for x in tests)
+    return (ctes + "SELECT test_name, CAST(failures AS BIGINT) AS failures, "
+            "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n" + parts + "\n) s")
