@@ -1 +1,240 @@
-"""Operator queries (registered)."""
+"""Registered queries: document quality profile and accepted split,
+publication and its log, snapshot tables, table comparison, format round
+trips and the landed-file inventory."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.functions import classify_prefix, half_up_ratio
+from strata.operators import aggregates as agg
+from strata.operators.compare import compare, labelled_diff
+from strata.operators.publish import Publisher
+from strata.plans import feeds as fd
+from strata.plans import oracle as o
+from strata.plans.queries import events_layers, register
+from strata.plans.queries_elt import case_layers
+from strata.session import shared_dir
+from strata.sources.files import file_inventory, footprint
+from strata.sources.snapshots import SnapshotTable, new_snapshots, snapshot_history
+from strata.sources.tables import assert_roundtrip, write_partitioned
+
+# --- document quality profile (page-view validation rules) ------------------------------
+
+def doc_rules():
+    text, n, lang = F.col("text"), F.col("n_chars"), F.col("lang")
+    return [
+        ("blank_text", text.isNull() | (F.trim(text) == "")),
+        ("bad_n_chars", n.isNull() | (n < 0)),
+        ("bad_lang", lang.isNull() | (lang != fd.DOC_LANG)),
+    ]
+
+
+DOC_RULES_SQL = [
+    ("blank_text", "text IS NULL OR trim(text) = ''"),
+    ("bad_n_chars", "n_chars IS NULL OR n_chars < 0"),
+    ("bad_lang", f"lang IS NULL OR lang <> {o.q(fd.DOC_LANG)}"),
+]
+
+
+@register("quality_profile", "SELECT count(*) AS rows, "
+          + ", ".join(f"count(*) FILTER (WHERE {c}) AS {n}" for n, c in DOC_RULES_SQL)
+          + f", {o.half_up('count(*) FILTER (WHERE ' + DOC_RULES_SQL[0][1] + ')', 'count(*)', 0, 6)} "
+            "AS blank_text_share FROM documents")
+def q_quality_profile(spark, sf_dir):
+    docs = fd.read_table(spark, sf_dir, "documents").select("text", "n_chars", "lang")
+    prof = agg.quality_profile(docs, doc_rules())
+    return prof.withColumn("_b", F.col("blank_text").cast("decimal(38,0)")) \
+        .withColumn("blank_text_share", half_up_ratio("_b", "rows", 0, 6)).drop("_b")
+
+
+@register("accepted_split", "SELECT CASE "
+          + " ".join(f"WHEN {c} THEN {o.q(n)}" for n, c in DOC_RULES_SQL)
+          + " ELSE 'accepted' END AS outcome, count(*) AS rows FROM documents GROUP BY 1")
+def q_accepted_split(spark, sf_dir):
+    docs = fd.read_table(spark, sf_dir, "documents").select("text", "n_chars", "lang")
+    return agg.split_summary(agg.tag_rejects(docs, doc_rules()))
+
+
+# --- publication --------------------------------------------------------------------------
+
+PUB_WINDOW = ("2024-01-10", "2024-01-20")
+MART_COLS = sorted(["event_date", "class_key", "magnitude_class", "source_system", "net", "network_name",
+                    "events", "avg_magnitude", "max_magnitude", "avg_depth_km"])
+
+
+def _published(spark, sf_dir):
+    """Publish the baseline mart for the whole window, then the mart of the
+    late-correction run for a sub-window; returns the publisher."""
+    pub = Publisher(spark, shared_dir(spark, "published-mart"))
+    pub.publish(events_layers(spark, sf_dir).mart, *fd.WINDOW, run_id="run-baseline")
+    pub.publish(case_layers(spark, sf_dir, "late").mart, *PUB_WINDOW, run_id="run-late")
+    return pub
+
+
+def _mart_sql(case):
+    return f"(WITH {o.case_ctes(case)[5:]} SELECT * FROM mart)"
+
+
+PUBLISHED_SQL = f"""SELECT * FROM {_mart_sql('baseline')} a
+WHERE NOT ({o.window_pred('event_date', *PUB_WINDOW)})
+UNION ALL
+SELECT * FROM {_mart_sql('late')} b WHERE {o.window_pred('event_date', *PUB_WINDOW)}"""
+
+
+def checksum_sql(table: str, cols) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols)
+    return (f"SELECT count(*) AS rows, CAST(count(*) AS VARCHAR) || ':' || "
+            f"CAST(coalesce(sum(('0x' || substr(md5({text}), 1, 15))::BIGINT), 0) AS VARCHAR) AS checksum "
+            f"FROM {table}")
+
+
+@register("publish_window", PUBLISHED_SQL)
+def q_publish_window(spark, sf_dir):
+    return _published(spark, sf_dir).live()
+
+
+@register("publication_log", f"""
+SELECT 'run-baseline' AS run_id, DATE {o.q(fd.WINDOW[0])} AS start_date, DATE {o.q(fd.WINDOW[1])} AS end_date,
+       rows AS rows_published, checksum, 1 AS version
+FROM ({checksum_sql(f"(SELECT * FROM {_mart_sql('baseline')} m WHERE {o.window_pred('event_date', *fd.WINDOW)}) x", MART_COLS)}) c1
+UNION ALL
+SELECT 'run-late', DATE {o.q(PUB_WINDOW[0])}, DATE {o.q(PUB_WINDOW[1])}, rows, checksum, 2
+FROM ({checksum_sql(f"(SELECT * FROM ({PUBLISHED_SQL}) p WHERE {o.window_pred('event_date', *PUB_WINDOW)}) y", MART_COLS)}) c2""")
+def q_publication_log(spark, sf_dir):
+    return _published(spark, sf_dir).log().drop("published_at")
+
+
+# --- snapshot table: replace with the first slice, append the second ---------------------
+
+SPLIT_DAY = "2024-01-16"
+
+
+def _snapshot_table(spark, sf_dir):
+    versions = events_layers(spark, sf_dir).versions
+    table = SnapshotTable(spark, shared_dir(spark, "snapshot-events"), ["event_date"])
+    before = table.snapshots()
+    table.replace(versions.filter(F.col("event_date") < F.lit(SPLIT_DAY).cast("date")))
+    mid = table.snapshots()
+    table.append(versions.filter(F.col("event_date") >= F.lit(SPLIT_DAY).cast("date")))
+    return table, before, mid
+
+
+@register("snapshot_history", f"""
+SELECT CAST(1 AS BIGINT) AS snapshot_id, 'overwrite' AS operation,
+       count(*) FILTER (WHERE CAST(ts AS DATE) < DATE {o.q(SPLIT_DAY)}) AS added_records,
+       count(*) FILTER (WHERE CAST(ts AS DATE) < DATE {o.q(SPLIT_DAY)}) AS total_records FROM events
+UNION ALL
+SELECT CAST(2 AS BIGINT), 'append', count(*) FILTER (WHERE CAST(ts AS DATE) >= DATE {o.q(SPLIT_DAY)}),
+       count(*) FROM events""")
+def q_snapshot_history(spark, sf_dir):
+    table, _, _ = _snapshot_table(spark, sf_dir)
+    live = table.read().count()
+    hist = table.history()
+    last = hist.agg(F.max("total_records")).first()[0]
+    if live != last:
+        raise AssertionError(f"live rows {live} != logged total {last}")
+    return hist.drop("committed_at")
+
+
+@register("new_snapshots", f"""
+SELECT CAST(2 AS BIGINT) AS snapshot_id,
+       count(*) FILTER (WHERE CAST(ts AS DATE) >= DATE {o.q(SPLIT_DAY)}) AS added_records FROM events""")
+def q_new_snapshots(spark, sf_dir):
+    table, _, mid = _snapshot_table(spark, sf_dir)
+    after = table.snapshots()
+    return new_snapshots(mid, after).join(after.select("snapshot_id", "added_records"), "snapshot_id")
+
+
+# --- comparing two runs ---------------------------------------------------------------------
+
+def _two_runs(spark, sf_dir):
+    """Marts of the baseline and the late-correction run, each computed once
+    and checkpointed to the shared checkpoint folder (both are scanned by
+    several comparisons)."""
+    from strata.session import checkpoint_root
+    checkpoint_root(spark)
+    return (events_layers(spark, sf_dir).mart.checkpoint(),
+            case_layers(spark, sf_dir, "late").mart.checkpoint())
+
+
+def _set_count(a, b, op):
+    cols = ", ".join(MART_COLS)
+    return f"(SELECT count(*) FROM (SELECT {cols} FROM {a} x {op} SELECT {cols} FROM {b} y) z)"
+
+
+@register("compare_tables", f"""
+SELECT *, (only_in_a = 0 AND only_in_b = 0 AND rows_a = rows_b AND checksum_a = checksum_b) AS identical FROM (
+SELECT {_set_count(_mart_sql('baseline'), _mart_sql('late'), 'EXCEPT')} AS only_in_a,
+       {_set_count(_mart_sql('late'), _mart_sql('baseline'), 'EXCEPT')} AS only_in_b,
+       ca.rows AS rows_a, ca.checksum AS checksum_a, cb.rows AS rows_b, cb.checksum AS checksum_b
+FROM ({checksum_sql(_mart_sql('baseline') + ' m1', MART_COLS)}) ca,
+     ({checksum_sql(_mart_sql('late') + ' m2', MART_COLS)}) cb) v""")
+def q_compare_tables(spark, sf_dir):
+    a, b = _two_runs(spark, sf_dir)
+    return compare(a, b)
+
+
+@register("labelled_diff", f"""
+SELECT 'baseline' AS src, * FROM (SELECT {', '.join(MART_COLS)} FROM {_mart_sql('baseline')} a
+  EXCEPT ALL SELECT {', '.join(MART_COLS)} FROM {_mart_sql('late')} b) x
+UNION ALL
+SELECT 'late' AS src, * FROM (SELECT {', '.join(MART_COLS)} FROM {_mart_sql('late')} a
+  EXCEPT ALL SELECT {', '.join(MART_COLS)} FROM {_mart_sql('baseline')} b) y""")
+def q_labelled_diff(spark, sf_dir):
+    a, b = _two_runs(spark, sf_dir)
+    return labelled_diff(a, b, "baseline", "late")
+
+
+# --- format round trips ----------------------------------------------------------------------
+
+PAGE_SCHEMA = T.StructType([
+    T.StructField("page_title", T.StringType()),
+    T.StructField("count_views", T.IntegerType()),
+    T.StructField("l_partkey", T.LongType()),
+])
+
+
+def _namespace_totals(df):
+    ns = df.select(classify_prefix("page_title", fd.WORD_PATTERN, fd.KNOWN_WORDS, fd.DEFAULT_CLASS)
+                   .alias("namespace"), "count_views")
+    return (ns.groupBy("namespace")
+            .agg(F.count(F.lit(1)).alias("pages"), F.sum("count_views").cast("long").alias("total_views")))
+
+
+@register("format_compare", f"""
+SELECT {o.namespace_expr('page_title')} AS namespace, count(*) AS pages,
+       CAST(sum(count_views) AS BIGINT) AS total_views
+FROM ({o.PAGE_ROWS}) r GROUP BY 1""")
+def q_format_compare(spark, sf_dir):
+    """Page rows through a staging CSV and a Parquet copy; the namespace
+    totals must agree between the two (one trial here, three in bench)."""
+    from strata.plans.measure import compare_formats
+    rows = fd.page_rows(fd.read_table(spark, sf_dir, "lineitem"), fd.read_table(spark, sf_dir, "part"))
+    result, _t, _s = compare_formats(spark, rows, PAGE_SCHEMA, _namespace_totals,
+                                     shared_dir(spark, "formats"), trials=1)
+    return result
+
+
+@register("partitioned_roundtrip", """
+SELECT CAST(ts AS DATE) AS event_date, count(*) AS rows FROM events GROUP BY 1""")
+def q_partitioned_roundtrip(spark, sf_dir):
+    versions = events_layers(spark, sf_dir).versions
+    path = shared_dir(spark, "versions-by-date")
+    write_partitioned(versions, path, "event_date")
+    back = spark.read.parquet(path)
+    assert_roundtrip(versions, back, count=False)
+    return back.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- landed files (no SQL oracle: file metadata) --------------------------------------------
+
+@register("landed_inventory", None)
+def q_landed_inventory(spark, sf_dir):
+    return file_inventory(spark, sf_dir, "*.parquet").select("file_name", "length")
+
+
+@register("storage_footprint", None)
+def q_storage_footprint(spark, sf_dir):
+    return footprint(spark, sf_dir, "*.parquet")
