@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions import blank_to_null, in_window, latest_order, surrogate_key, utc_date
+from strata.functions import blank_to_null, in_window, surrogate_key, utc_date
 
 NUMERIC = "decimal(18,6)"
 
@@ -66,25 +66,34 @@ def stage_versions(typed: DataFrame, start, end) -> DataFrame:
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   nulls_first: bool = True, rank_col: str | None = "version_rank") -> DataFrame:
+                   nulls_first: bool = True, rank_col: str | None = "version_rank",
+                   total: bool = True) -> DataFrame:
     """Greatest row per key under ``ORDER BY order[0] DESC, order[1] DESC ...``.
 
-    Expressed as ``max(struct(order, row))`` per key instead of a window:
-    the aggregate is computed partially on every map task before the
-    shuffle, so a key holding a large share of all rows (a redelivered slice,
-    a storm of copies) is reduced locally and moves at most one row per task.
-    Exact ties on the order columns are broken by the remaining columns of the
-    row, so the choice is deterministic under any partitioning.
-    ``nulls_first`` reproduces PostgreSQL ``DESC`` (a NULL order value wins)."""
-    cols = df.columns
-    best = F.max(F.struct(latest_order(*order, nulls_first=nulls_first).alias("o"),
-                          F.struct(*[F.col(c) for c in cols]).alias("r")))
-    out = df.groupBy(*keys).agg(best.alias("_best")).select("_best.r.*")
+    ``row_number() = 1`` over the key: Catalyst plans it with a partial
+    ``WindowGroupLimit`` before the shuffle (each map task forwards at most
+    one row per key) and a final one after it, so a key holding a large share
+    of all rows (a redelivered slice, a storm of copies) is reduced locally.
+    ``nulls_first`` reproduces PostgreSQL ``DESC`` (a NULL order value wins).
+    With ``total`` the remaining columns break exact ties, so the chosen row
+    is the same under any partitioning."""
+    direction = F.desc_nulls_first if nulls_first else F.desc_nulls_last
+    cols = list(order)
+    if total:
+        cols += [c for c in df.columns if c not in cols and c not in keys
+                 and _orderable(df.schema[c].dataType)]
+    w = Window.partitionBy(*keys).orderBy(*[direction(c) for c in cols])
+    out = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     if rank_col:
         out = out.withColumn(rank_col, F.lit(1))
     return out
 
 
+def _orderable(t) -> bool:
+    from pyspark.sql.types import MapType, VariantType
+    return not isinstance(t, (MapType, VariantType))
+
+
 def version_chain(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   track: str, min_versions: int = 2) -> DataFrame:
     """All versions of keys that have at least ``min_versions`` versions,

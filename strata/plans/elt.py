@@ -120,24 +120,30 @@ LAYER_DIRS = {"versions": "stg", "latest": "stg", "network_history": "stg", "dim
               "dim_class": "dds", "dim_date": "dds", "fact": "dds", "mart": "mart_candidate"}
 
 
+def layer_writer(spark: SparkSession, root: str):
+    """``keep`` callback for ``build_layers``: write the layer as Parquet under
+    ``root/<layer dir>/<table>`` and continue from the written table. Each
+    layer is computed once from its written parents, lineage is cut (a lost
+    executor re-reads files instead of recomputing the chain) and the tests
+    scan compact columnar tables."""
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root.rstrip('/')}/{LAYER_DIRS[name]}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return keep
+
+
 def materialize(spark: SparkSession, layers: Layers, root: str) -> Layers:
-    """Write every layer once as Parquet under ``root/<layer>/<table>`` and
-    continue from the written tables: each layer is computed once, lineage is
-    cut (executor loss re-reads files instead of recomputing the chain) and
-    the tests scan compact columnar tables."""
-    out = {}
-    for name, sub in LAYER_DIRS.items():
-        path = f"{root.rstrip('/')}/{sub}/{name}"
-        getattr(layers, name).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return Layers(**out)
+    """Write already-built (lazy) layers; prefer ``build_layers(keep=layer_writer(...))``."""
+    keep = layer_writer(spark, root)
+    return Layers(**{name: keep(name, getattr(layers, name)) for name in LAYER_DIRS})
 
 
 def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, start, end,
             root: str, run_id: str, classes, fact_types, tests=None, publish: bool = True) -> dict:
     """Build -> materialise -> test (store failures) -> gate -> publish."""
-    layers = materialize(spark, build_layers(spark, typed_events, history, start, end,
-                                             classes=classes, fact_types=fact_types), root)
+    layers = build_layers(spark, typed_events, history, start, end, classes=classes,
+                          fact_types=fact_types, keep=layer_writer(spark, root))
     tests = tests if tests is not None else elt_tests()
     t = test_tables(layers, fact_types)
     results = {r["test_name"]: r["failures"] for r in dq.summary(tests, t).collect()}

@@ -50,12 +50,18 @@ def build_fact(latest: DataFrame, dim_network: DataFrame, classes, fact_types) -
 
 
 def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFrame,
-                 start, end, classes=MAGNITUDE_CLASSES, fact_types=("earthquake",)) -> Layers:
-    versions = stage_versions(typed_events, start, end)
-    latest = latest_version(versions, ["event_key"], LATEST_ORDER)
-    dim_n = network_dim(history)
-    dim_c = class_dim(spark, classes)
-    dim_d = calendar(spark, start, end)
-    fact = build_fact(latest, dim_n, classes, fact_types)
-    mart = daily_mart(fact, dim_n, dim_c)
-    return Layers(versions, latest, history, dim_n, dim_c, dim_d, fact, mart)
+                 start, end, classes=MAGNITUDE_CLASSES, fact_types=("earthquake",),
+                 keep=None) -> Layers:
+    """Chain the layers. ``keep(name, df) -> df`` is applied to each layer
+    before it feeds the next one: identity (lazy, one plan) or a writer that
+    materialises the layer and continues from the written table."""
+    keep = keep or (lambda _name, df: df)
+    versions = keep("versions", stage_versions(typed_events, start, end))
+    latest = keep("latest", latest_version(versions, ["event_key"], LATEST_ORDER))
+    hist = keep("network_history", history)
+    dim_n = keep("dim_network", network_dim(hist))
+    dim_c = keep("dim_class", class_dim(spark, classes))
+    dim_d = keep("dim_date", calendar(spark, start, end))
+    fact = keep("fact", build_fact(latest, dim_n, classes, fact_types))
+    mart = keep("mart", daily_mart(fact, dim_n, dim_c))
+    return Layers(versions, latest, hist, dim_n, dim_c, dim_d, fact, mart)

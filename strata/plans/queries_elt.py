@@ -14,7 +14,7 @@ from strata.operators.staging import latest_version, version_chain
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
 from strata.plans import scenarios as sc
-from strata.plans.elt import _in_range, _one_version, elt_tests, materialize, test_tables
+from strata.plans.elt import _in_range, _one_version, elt_tests, layer_writer, test_tables
 from strata.plans.queries import events_layers, register
 from strata.plans.quakes import build_layers
 from strata.session import shared_dir
@@ -31,14 +31,15 @@ LI_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedpri
             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def case_layers(spark, sf_dir, name, start=fd.WINDOW[0], end=fd.WINDOW[1]):
+def case_layers(spark, sf_dir, name, start=fd.WINDOW[0], end=fd.WINDOW[1], keep=None):
     events = fd.read_table(spark, sf_dir, "events")
     typed, hist = sc.make_case(events, name)
-    return build_layers(spark, typed, hist, start, end, classes=fd.VALUE_CLASSES, fact_types=fd.FACT_TYPES)
+    return build_layers(spark, typed, hist, start, end, classes=fd.VALUE_CLASSES, fact_types=fd.FACT_TYPES,
+                        keep=keep)
 
 
 def case_summary(spark, sf_dir, name):
-    layers = materialize(spark, case_layers(spark, sf_dir, name), shared_dir(spark, f"elt-{name}"))
+    layers = case_layers(spark, sf_dir, name, keep=layer_writer(spark, shared_dir(spark, f"elt-{name}")))
     return dq.summary(elt_tests(**DRIVER_TESTS), test_tables(layers, fd.FACT_TYPES))
 
 
