@@ -52,9 +52,10 @@ def stage_versions(typed: DataFrame, start, end) -> DataFrame:
     version current). It is a plain predicate on ``event_ts`` so it reaches
     the Parquet scan as a pushed filter."""
     event_date = utc_date("event_ts")
+    if start is not None:
+        typed = typed.filter(in_window(event_date, start, end))
     return (
-        typed.filter(in_window(event_date, start, end))
-        .select(
+        typed.select(
             surrogate_key("source_system", "event_id").alias("event_key"),
             "source_system", "event_id", "event_ts",
             event_date.alias("event_date"),

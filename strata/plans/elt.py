@@ -140,10 +140,11 @@ def materialize(spark: SparkSession, layers: Layers, root: str) -> Layers:
 
 
 def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, start, end,
-            root: str, run_id: str, classes, fact_types, tests=None, publish: bool = True) -> dict:
+            root: str, run_id: str, classes, fact_types, tests=None, publish: bool = True,
+            rank_first: bool = False) -> dict:
     """Build -> materialise -> test (store failures) -> gate -> publish."""
     layers = build_layers(spark, typed_events, history, start, end, classes=classes,
-                          fact_types=fact_types, keep=layer_writer(spark, root))
+                          fact_types=fact_types, keep=layer_writer(spark, root), rank_first=rank_first)
     tests = tests if tests is not None else elt_tests()
     t = test_tables(layers, fact_types)
     results = {r["test_name"]: r["failures"] for r in dq.summary(tests, t).collect()}

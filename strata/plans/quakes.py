@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from strata.operators.aggregates import daily_mart
 from strata.operators.dims import MAGNITUDE_CLASSES, calendar, class_dim, network_dim
 from strata.operators.joins import band_join, scd2_join
+from strata.functions import in_window
 from strata.operators.staging import latest_version, stage_versions
 
 LATEST_ORDER = ("updated_ts", "_slice_order", "_row_num")
@@ -51,13 +52,25 @@ def build_fact(latest: DataFrame, dim_network: DataFrame, classes, fact_types) -
 
 def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFrame,
                  start, end, classes=MAGNITUDE_CLASSES, fact_types=("earthquake",),
-                 keep=None) -> Layers:
+                 keep=None, rank_first: bool = False) -> Layers:
     """Chain the layers. ``keep(name, df) -> df`` is applied to each layer
     before it feeds the next one: identity (lazy, one plan) or a writer that
-    materialises the layer and continues from the written table."""
+    materialises the layer and continues from the written table.
+
+    ``rank_first=False`` (the reference's behaviour) filters versions to the
+    window before picking the latest one, so a correction that moves an event
+    out of the window leaves its old in-window version current.
+    ``rank_first=True`` picks the latest version over all versions first and
+    then keeps it only if it lies in the window."""
     keep = keep or (lambda _name, df: df)
-    versions = keep("versions", stage_versions(typed_events, start, end))
-    latest = keep("latest", latest_version(versions, ["event_key"], LATEST_ORDER))
+    if rank_first:
+        every = stage_versions(typed_events, None, None)
+        versions = keep("versions", every.filter(in_window("event_date", start, end)))
+        latest = keep("latest", latest_version(every, ["event_key"], LATEST_ORDER)
+                      .filter(in_window("event_date", start, end)))
+    else:
+        versions = keep("versions", stage_versions(typed_events, start, end))
+        latest = keep("latest", latest_version(versions, ["event_key"], LATEST_ORDER))
     hist = keep("network_history", history)
     dim_n = keep("dim_network", network_dim(hist))
     dim_c = keep("dim_class", class_dim(spark, classes))
