@@ -1,13 +1,14 @@
 """Window-replace publication with a publication log.
 
-A published table is a sequence of immutable version folders plus an
-append-only log; the log row is written last and names the live version, so
-a failed run leaves at most an orphan folder and no visible change (readers
-resolve the live version from the log). One writer is assumed.
-
-``publish_window``: new version = rows of the live version outside
-``[start, end)`` plus candidate rows inside it. Dynamic partition overwrite
-alone would be wrong: days missing from the candidate would stay behind.
+A published table is a set of immutable per-version, per-day folders plus an
+append-only log; the log row is written last, so a failed run leaves at most
+an orphan folder and no visible change (readers resolve every day's live
+version from the log). One writer is assumed.
+
+``publish_window``: the live table after a publication = rows of the previous
+state outside ``[start, end)`` plus candidate rows inside it. Dynamic
+partition overwrite alone would be wrong: days missing from the candidate
+would stay behind.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from strata.functions import in_window
 from strata.operators.aggregates import table_checksum
 
+VERSION_COL = "publish_version"
 LOG_SCHEMA = ("run_id string, start_date date, end_date date, rows_published long, "
               "checksum string, version int, published_at timestamp")
 
@@ -45,7 +47,14 @@ class SchemaDrift(RuntimeError):
 
 
 class Publisher:
-    """Versioned, log-driven publication target under ``root``."""
+    """Versioned, log-driven publication target under ``root``.
+
+    Copy-on-write per day: publication ``v`` writes only the candidate rows of
+    its window to ``data/publish_version=<v>/<date_col>=<day>``. The live content of a day
+    is the data of the newest version whose window covers that day (a day in
+    a window without candidate rows is therefore deleted). Publishing a
+    window costs the window, not the whole table. The log row is written last
+    and is what makes a version visible."""
 
     def __init__(self, spark: SparkSession, root: str, date_col: str = "event_date"):
         self.spark = spark
@@ -56,9 +65,15 @@ class Publisher:
     def log_path(self) -> str:
         return f"{self.root}/_publication_log"
 
+    @property
+    def data_path(self) -> str:
+        return f"{self.root}/data"
+
     def log(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
+            df = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
+            df.schema  # noqa: B018
+            return df
         except Exception:  # noqa: BLE001 - no log yet
             return None
 
@@ -66,30 +81,47 @@ class Publisher:
         log = self.log()
         if log is None:
             return None
-        row = log.agg(F.max("version").alias("v")).first()
-        return row["v"] if row else None
+        return log.agg(F.max("version").alias("v")).first()["v"]
+
+    def _coverage(self, log: DataFrame) -> DataFrame:
+        """``(day, version)``: newest version covering each published day.
+        One row per calendar day of all windows (bounded by the calendar)."""
+        days = log.select("version", F.explode(F.sequence("start_date", F.date_sub("end_date", 1),
+                                                          F.expr("INTERVAL 1 DAY"))).alias("_day"))
+        return days.groupBy("_day").agg(F.max("version").alias("_v"))
 
     def live(self) -> DataFrame | None:
-        v = self.live_version()
-        if v is None:
+        log = self.log()
+        if log is None:
+            return None
+        cov = F.broadcast(self._coverage(log))
+        data = self.spark.read.option("basePath", self.data_path).parquet(self.data_path)
+        joined = data.join(cov, (data[self.date_col] == cov["_day"]) & (data[VERSION_COL] == cov["_v"]),
+                           "left_semi")
+        return joined.drop(VERSION_COL)
+
+    def _schema_of_live(self):
+        try:
+            live = self.live()
+            return None if live is None else live.schema
+        except Exception:  # noqa: BLE001
             return None
-        return self.spark.read.parquet(f"{self.root}/v={v}")
 
     def publish(self, candidate: DataFrame, start, end, run_id: str) -> dict:
-        current = self.live()
-        if current is not None:
-            want = {f.name: f.dataType for f in current.schema.fields}
+        schema = self._schema_of_live()
+        if schema is not None:
+            want = {f.name: f.dataType for f in schema.fields}
             got = {f.name: f.dataType for f in candidate.schema.fields}
             if want != got:
                 raise SchemaDrift(f"candidate schema {got} differs from published {want}")
-            candidate = candidate.select(*current.columns)
+            candidate = candidate.select(*[f.name for f in schema.fields])
         version = (self.live_version() or 0) + 1
-        path = f"{self.root}/v={version}"
-        new = publish_window(candidate, current, start, end, self.date_col)
-        new.write.mode("overwrite").partitionBy(self.date_col).parquet(path)
-        written = self.spark.read.parquet(path).select(*(current.columns if current is not None
-                                                         else candidate.columns))
-        stats = table_checksum(written.filter(in_window(self.date_col, start, end))).first()
+        path = f"{self.data_path}/{VERSION_COL}={version}"
+        inside = candidate.filter(in_window(self.date_col, start, end))
+        inside.write.mode("overwrite").partitionBy(self.date_col).parquet(path)
+        written = self.spark.read.option("basePath", path).parquet(path) \
+            if _has_files(self.spark, path) else inside.limit(0)
+        stats = table_checksum(written.select(*candidate.columns)).first()
         row = (run_id, dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end)),
                int(stats["rows"]), stats["checksum"], version, dt.datetime.now(dt.timezone.utc))
         (self.spark.createDataFrame([row], LOG_SCHEMA)
@@ -101,3 +133,13 @@ class Publisher:
         """Latest log row of a run (by version)."""
         log = self.log()
         return log.filter(F.col("run_id") == run_id).orderBy(F.desc("version")).limit(1)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder holds any data file (an empty window writes
+    only a success marker)."""
+    try:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+            .option("pathGlobFilter", "*.parquet").load(path).select("length").limit(1).count() > 0
+    except Exception:  # noqa: BLE001
+        return False
