@@ -96,18 +96,42 @@ def _orderable(t) -> bool:
 
 
 def version_chain(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  track: str, min_versions: int = 2) -> DataFrame:
+                  track: str, min_versions: int = 2, partitions: int | None = None) -> DataFrame:
     """All versions of keys that have at least ``min_versions`` versions,
     oldest first, with ``version_no``, ``n_versions`` and the previous value
-    of ``track`` (``prev_<track>``) to show what changed.
-
-    Keys are first counted with a partial aggregate and filtered, so only
-    keys with history reach the ordered window."""
+    of ``track`` (``prev_<track>``) to show what changed. ``track`` should be
+    one of the ``order`` columns (or be determined by them).
+
+    Skew-safe two-level numbering: rows are range-partitioned on
+    ``(keys, order)``, so a key with a huge history spans several partitions;
+    ``row_number``/``lag`` run per (partition, key), and a small table with one
+    row per (partition, key) provides each piece's offset and the last value
+    of the preceding piece. No task ever holds a whole key. The ranged rows
+    are checkpointed to the shared checkpoint folder (never a local one)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_versions"))
     multi = counts.filter(F.col("n_versions") >= min_versions)
-    w = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
-    return (
-        df.join(multi, list(keys), "inner")
-        .withColumn("version_no", F.row_number().over(w))
-        .withColumn(f"prev_{track}", F.lag(track).over(w))
-    )
+    sort_cols = [F.asc_nulls_last(c) for c in list(keys) + list(order)]
+    from strata.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    # The piece id is fixed by a reliable checkpoint: both uses below see the
+    # same ids however the shuffle reads are coalesced.
+    ranged = (df.join(multi, list(keys), "inner")
+              .repartitionByRange(n, *sort_cols)
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    w_local = Window.partitionBy("_pid", *keys).orderBy(*[F.asc_nulls_last(c) for c in order])
+    local = (ranged.withColumn("_ln", F.row_number().over(w_local))
+             .withColumn("_lag", F.lag(track).over(w_local)))
+    last = F.max_by(F.col(track), F.struct(*[F.col(c) for c in order]))
+    edge = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), last.alias("_last"))
+    w_key = Window.partitionBy(*keys).orderBy("_pid")
+    edge = (edge.withColumn("_offset", F.coalesce(
+                F.sum("_cnt").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .withColumn("_prev_last", F.lag("_last").over(w_key))
+            .drop("_cnt", "_last"))
+    out = local.join(edge, ["_pid", *keys], "inner")
+    return (out.withColumn("version_no", (F.col("_ln") + F.col("_offset")).cast("int"))
+            .withColumn(f"prev_{track}", F.when(F.col("_ln") == 1, F.col("_prev_last"))
+                        .otherwise(F.col("_lag")))
+            .drop("_pid", "_ln", "_lag", "_offset", "_prev_last"))

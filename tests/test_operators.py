@@ -167,3 +167,16 @@ def test_file_inventory_and_footprint(spark, workdir):
     assert inv == {"f0.bin": 10, "f1.bin": 20}
     fp = footprint(spark, workdir).first()
     assert (fp["files"], fp["bytes"]) == (2, 30)
+
+
+def test_version_chain_splits_hot_key(spark):
+    from strata.operators.staging import version_chain
+    rows = [("hot", i, i * 10) for i in range(600)] + [("a", 2, 5), ("a", 1, 7), ("b", 1, 1)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    out = version_chain(df, ["k"], ["t"], "t", partitions=6).collect()
+    got = sorted((r["k"], r["version_no"], r["t"], r["prev_t"], r["n_versions"]) for r in out)
+    want = []
+    for k in ("a", "hot"):
+        ts = sorted(t for kk, t, _v in rows if kk == k)
+        want += [(k, i + 1, t, ts[i - 1] if i else None, len(ts)) for i, t in enumerate(ts)]
+    assert got == sorted(want)                     # 'b' has one version only
