@@ -128,3 +128,16 @@ def gate(summary_df: DataFrame) -> dict[str, int]:
     if failed:
         raise GateFailed(failed)
     return {r["test_name"]: 0 for r in rows}
+
+
+def trace_to_raw(failing: DataFrame, raw: DataFrame,
+                 on: Sequence[tuple[str, str]] = (("source_system", "_source_system"), ("event_id", "id")),
+                 lineage: Sequence[str] = ("_slice_id", "_slice_order", "_row_num", "_is_synthetic")) -> DataFrame:
+    """Failing rows joined back to the raw slice rows they came from
+    (source + id), with the raw lineage columns."""
+    cond = None
+    r = raw.select(*[F.col(rc).alias(f"_raw_{rc}") for _fc, rc in on], *lineage)
+    for fc, rc in on:
+        c = failing[fc] == r[f"_raw_{rc}"]
+        cond = c if cond is None else cond & c
+    return failing.join(r, cond, "inner").drop(*[f"_raw_{rc}" for _fc, rc in on])
