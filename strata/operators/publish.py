@@ -70,12 +70,14 @@ class Publisher:
         return f"{self.root}/data"
 
     def log(self) -> DataFrame | None:
+        """The publication log as of now, pinned: one row per publication, read
+        once (bounded) and returned as an immutable DataFrame, so a later
+        publication cannot change a result computed from it."""
         try:
-            df = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-            df.schema  # noqa: B018
-            return df
+            rows = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
         except Exception:  # noqa: BLE001 - no log yet
             return None
+        return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else None
 
     def live_version(self) -> int | None:
         log = self.log()

@@ -34,16 +34,18 @@ class SnapshotTable:
         return self.snapshots() is not None
 
     def snapshots(self) -> DataFrame | None:
-        try:
-            df = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-            df.schema  # noqa: B018 - force resolution
-            return df
-        except Exception:  # noqa: BLE001 - no log yet
-            return None
+        """The snapshot log as of now, pinned: the log holds one row per
+        commit, so it is read once (bounded) and returned as an immutable
+        DataFrame that later commits cannot change."""
+        rows = self._log_rows()
+        return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else None
 
     def _log_rows(self):
-        log = self.snapshots()
-        return [] if log is None else sorted(log.collect(), key=lambda r: r["snapshot_id"])
+        try:
+            rows = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
+        except Exception:  # noqa: BLE001 - no log yet
+            return []
+        return sorted(rows, key=lambda r: r["snapshot_id"])
 
     def _commit(self, df: DataFrame, operation: str) -> int:
         rows = self._log_rows()
