@@ -9,7 +9,6 @@ from strata.functions.exprs import (
     first_failing_rule,
     half_up_ratio,
     in_window,
-    latest_order,
     row_digest,
     row_text,
     surrogate_key,
@@ -19,6 +18,6 @@ from strata.functions.exprs import (
 
 __all__ = [
     "TS_TEXT_PATTERN", "band_key", "blank_to_null", "classify_prefix",
-    "first_failing_rule", "half_up_ratio", "in_window", "latest_order", "row_digest", "row_text",
+    "first_failing_rule", "half_up_ratio", "in_window", "row_digest", "row_text",
     "surrogate_key", "ts_text", "utc_date",
 ]

@@ -88,21 +88,6 @@ def first_failing_rule(rules: Sequence[tuple[str, Column]]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def latest_order(*cols: str | Column, nulls_first: bool = True) -> Column:
-    """A struct whose natural ordering ranks rows like
-    ``ORDER BY c1 DESC [NULLS FIRST], c2 DESC ...``: the greatest struct wins.
-
-    Each column contributes ``(c IS NULL, c)`` so NULL beats any value when
-    ``nulls_first`` (PostgreSQL ``DESC`` semantics)."""
-    fields = []
-    for i, c in enumerate(cols):
-        col = _col(c)
-        flag = col.isNull() if nulls_first else col.isNotNull()
-        fields.append(flag.alias(f"n{i}"))
-        fields.append(col.alias(f"v{i}"))
-    return F.struct(*fields)
-
-
 def row_text(cols: Sequence[str]) -> Column:
     """Canonical text of a row: columns cast to string, NULL as ``\\N``,
     joined by ``|``. Used for checksums that must not depend on order."""

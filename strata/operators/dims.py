@@ -37,7 +37,7 @@ def class_dim(spark: SparkSession, classes: Sequence[tuple] = MAGNITUDE_CLASSES)
     """Type-0 band dimension from a literal seed (bounded, broadcastable)."""
     from decimal import Decimal
     rows = [(int(k), str(n), Decimal(str(lo)), Decimal(str(hi))) for k, n, lo, hi in classes]
-    return spark.createDataFrame(rows, CLASS_SCHEMA)
+    return spark.createDataFrame(rows, CLASS_SCHEMA).coalesce(1)
 
 
 def check_bands(classes: Sequence[tuple]) -> None:

@@ -69,21 +69,22 @@ class Publisher:
     def data_path(self) -> str:
         return f"{self.root}/data"
 
-    def log(self) -> DataFrame | None:
+    def _log_rows(self) -> list:
+        try:
+            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
+        except Exception:  # noqa: BLE001 - no log yet
+            return []
+
+    def log(self, rows: list | None = None) -> DataFrame | None:
         """The publication log as of now, pinned: one row per publication, read
         once (bounded) and returned as an immutable DataFrame, so a later
         publication cannot change a result computed from it."""
-        try:
-            rows = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
-        except Exception:  # noqa: BLE001 - no log yet
-            return None
+        rows = self._log_rows() if rows is None else rows
         return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else None
 
     def live_version(self) -> int | None:
-        log = self.log()
-        if log is None:
-            return None
-        return log.agg(F.max("version").alias("v")).first()["v"]
+        rows = self._log_rows()
+        return max(r["version"] for r in rows) if rows else None
 
     def _coverage(self, log: DataFrame) -> DataFrame:
         """``(day, version)``: newest version covering each published day.
@@ -92,8 +93,8 @@ class Publisher:
                                                           F.expr("INTERVAL 1 DAY"))).alias("_day"))
         return days.groupBy("_day").agg(F.max("version").alias("_v"))
 
-    def live(self) -> DataFrame | None:
-        log = self.log()
+    def live(self, rows: list | None = None) -> DataFrame | None:
+        log = self.log(rows)
         if log is None:
             return None
         cov = F.broadcast(self._coverage(log))
@@ -102,27 +103,24 @@ class Publisher:
                            "left_semi")
         return joined.drop(VERSION_COL)
 
-    def _schema_of_live(self):
-        try:
-            live = self.live()
-            return None if live is None else live.schema
-        except Exception:  # noqa: BLE001
-            return None
-
     def publish(self, candidate: DataFrame, start, end, run_id: str) -> dict:
-        schema = self._schema_of_live()
+        rows = self._log_rows()
+        live = self.live(rows)
+        schema = None if live is None else live.schema
         if schema is not None:
             want = {f.name: f.dataType for f in schema.fields}
             got = {f.name: f.dataType for f in candidate.schema.fields}
             if want != got:
                 raise SchemaDrift(f"candidate schema {got} differs from published {want}")
             candidate = candidate.select(*[f.name for f in schema.fields])
-        version = (self.live_version() or 0) + 1
+        version = max((r["version"] for r in rows), default=0) + 1
         path = f"{self.data_path}/{VERSION_COL}={version}"
         inside = candidate.filter(in_window(self.date_col, start, end))
         inside.write.mode("overwrite").partitionBy(self.date_col).parquet(path)
-        written = self.spark.read.option("basePath", path).parquet(path) \
-            if _has_files(self.spark, path) else inside.limit(0)
+        # Checksum of the rows as written (a compact re-read instead of
+        # recomputing a lazy candidate); the explicit schema makes an empty
+        # window read as an empty table.
+        written = self.spark.read.schema(inside.schema).option("basePath", path).parquet(path)
         stats = table_checksum(written.select(*candidate.columns)).first()
         row = (run_id, dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end)),
                int(stats["rows"]), stats["checksum"], version, dt.datetime.now(dt.timezone.utc))
@@ -135,13 +133,3 @@ class Publisher:
         """Latest log row of a run (by version)."""
         log = self.log()
         return log.filter(F.col("run_id") == run_id).orderBy(F.desc("version")).limit(1)
-
-
-def _has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a written folder holds any data file (an empty window writes
-    only a success marker)."""
-    try:
-        return spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-            .option("pathGlobFilter", "*.parquet").load(path).select("length").limit(1).count() > 0
-    except Exception:  # noqa: BLE001
-        return False

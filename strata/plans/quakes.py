@@ -50,6 +50,18 @@ def build_fact(latest: DataFrame, dim_network: DataFrame, classes, fact_types) -
     return j.select(*FACT_COLUMNS)
 
 
+def checkpoint_dims(name: str, df: DataFrame) -> DataFrame:
+    """``keep`` for lazy plans: the data-derived network dimension is read by
+    both the fact (SCD2 join) and the mart (name lookup); checkpointing it once
+    (reliable checkpoint in the shared folder) replaces two scans of the
+    event table by one small table read twice. Other layers stay lazy."""
+    if name == "dim_network":
+        from strata.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df
+
+
 def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFrame,
                  start, end, classes=MAGNITUDE_CLASSES, fact_types=("earthquake",),
                  keep=None, rank_first: bool = False) -> Layers:

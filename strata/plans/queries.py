@@ -15,7 +15,7 @@ from strata.operators import aggregates as agg
 from strata.operators.joins import join_audit, lookup_join
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
-from strata.plans.quakes import Layers, build_layers
+from strata.plans.quakes import Layers, build_layers, checkpoint_dims
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,7 +38,7 @@ def events_layers(spark: SparkSession, sf_dir: str, start: str = fd.WINDOW[0],
     typed = fd.events_typed(events)
     history = fd.user_history(events)
     return build_layers(spark, typed, history, start, end, classes=fd.VALUE_CLASSES,
-                        fact_types=fd.FACT_TYPES)
+                        fact_types=fd.FACT_TYPES, keep=checkpoint_dims)
 
 
 def page_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:

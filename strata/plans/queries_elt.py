@@ -16,7 +16,7 @@ from strata.plans import oracle as o
 from strata.plans import scenarios as sc
 from strata.plans.elt import _in_range, _one_version, elt_tests, layer_writer, test_tables
 from strata.plans.queries import events_layers, register
-from strata.plans.quakes import build_layers
+from strata.plans.quakes import build_layers, checkpoint_dims
 from strata.session import shared_dir
 
 BASE = o.elt_ctes()
@@ -35,7 +35,7 @@ def case_layers(spark, sf_dir, name, start=fd.WINDOW[0], end=fd.WINDOW[1], keep=
     events = fd.read_table(spark, sf_dir, "events")
     typed, hist = sc.make_case(events, name)
     return build_layers(spark, typed, hist, start, end, classes=fd.VALUE_CLASSES, fact_types=fd.FACT_TYPES,
-                        keep=keep)
+                        keep=keep or checkpoint_dims)
 
 
 def case_summary(spark, sf_dir, name):
