@@ -23,13 +23,24 @@ MAX_BANDS = 1000
 
 def scd2_join(fact: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]],
               ts: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
-              how: str = "left") -> DataFrame:
+              how: str = "left", days: tuple | None = None) -> DataFrame:
     """Attach the dimension version valid at ``fact[ts]``:
     equi on ``keys`` (fact column, dim column) and ``valid_from <= ts < valid_to``.
 
     Overlapping versions multiply fact rows on purpose (the quality gate
     reports them); nothing is de-duplicated silently. ``dim`` columns other
-    than the join keys must not clash with ``fact`` columns."""
+    than the join keys must not clash with ``fact`` columns.
+
+    Physical strategy: for slowly changing dimensions (few versions per key)
+    the equi-join on the keys with the range as a residual is linear; AQE
+    broadcasts a small dimension or splits a skewed key. With ``days =
+    (start, end)`` (the processing window) every version is expanded to the
+    window days it covers and the join also matches the event's day, so an
+    event is compared only with the versions valid on its day: linear even
+    for histories that change many times per key, and a hot key is spread
+    over its days. Both strategies return the same rows."""
+    if days is not None:
+        return _scd2_join_by_day(fact, dim, keys, ts, valid_from, valid_to, how, days)
     cond = None
     for fc, dc in keys:
         c = fact[fc] == dim[dc]
@@ -38,6 +49,23 @@ def scd2_join(fact: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]],
     return fact.join(dim, cond, how)
 
 
+def _scd2_join_by_day(fact, dim, keys, ts, valid_from, valid_to, how, days):
+    import datetime as _dt
+    start = _dt.date.fromisoformat(str(days[0]))
+    last = _dt.date.fromisoformat(str(days[1])) - _dt.timedelta(days=1)
+    first_day = F.greatest(F.to_date(F.col(valid_from)), F.lit(start))
+    # the last day a half-open [from, to) interval touches
+    last_day = F.least(F.to_date(F.col(valid_to) - F.expr("INTERVAL 1 MICROSECOND")), F.lit(last))
+    d = (dim.withColumn("_scd2_day", F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY"))))
+         .filter(first_day <= last_day))
+    f = fact.withColumn("_scd2_fday", F.to_date(F.col(ts)))
+    cond = f["_scd2_fday"] == d["_scd2_day"]
+    for fc, dc in keys:
+        cond = cond & (f[fc] == d[dc])
+    cond = cond & (f[ts] >= d[valid_from]) & (f[ts] < d[valid_to])
+    return f.join(d, cond, how).drop("_scd2_fday", "_scd2_day")
+
+
 def band_join(df: DataFrame, value: str, bands, out: str = "class_key") -> DataFrame:
     """Left band join ``lo <= value < hi``.
 

@@ -36,16 +36,19 @@ class Layers:
     mart: DataFrame
 
 
-def build_fact(latest: DataFrame, dim_network: DataFrame, classes, fact_types) -> DataFrame:
+def build_fact(latest: DataFrame, dim_network: DataFrame, classes, fact_types,
+               window: tuple | None = None) -> DataFrame:
     """Fact: latest versions of business events, SCD2 network version valid
     at the event time, magnitude class by band; LEFT joins, so unmatched
-    events keep NULL keys for the quality gate to report."""
+    events keep NULL keys for the quality gate to report. ``window`` selects
+    the day-bucketed SCD2 strategy (for dense histories; events of ``latest``
+    all lie in the window)."""
     ev = latest.filter(F.col("event_type").isin(list(fact_types)))
     dim = dim_network.select(F.col("network_key"), F.col("source_system").alias("_d_src"),
                              F.col("net").alias("_d_net"), F.col("valid_from").alias("_d_from"),
                              F.col("valid_to").alias("_d_to"))
     j = scd2_join(ev, dim, [("source_system", "_d_src"), ("net", "_d_net")], "event_ts",
-                  valid_from="_d_from", valid_to="_d_to", how="left")
+                  valid_from="_d_from", valid_to="_d_to", how="left", days=window)
     j = band_join(j, "magnitude", [(k, lo, hi) for k, _n, lo, hi in classes], out="mag_class_key")
     return j.select(*FACT_COLUMNS)
 
@@ -64,7 +67,7 @@ def checkpoint_dims(name: str, df: DataFrame) -> DataFrame:
 
 def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFrame,
                  start, end, classes=MAGNITUDE_CLASSES, fact_types=("earthquake",),
-                 keep=None, rank_first: bool = False) -> Layers:
+                 keep=None, rank_first: bool = False, dense_history: bool = False) -> Layers:
     """Chain the layers. ``keep(name, df) -> df`` is applied to each layer
     before it feeds the next one: identity (lazy, one plan) or a writer that
     materialises the layer and continues from the written table.
@@ -73,7 +76,10 @@ def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFram
     window before picking the latest one, so a correction that moves an event
     out of the window leaves its old in-window version current.
     ``rank_first=True`` picks the latest version over all versions first and
-    then keeps it only if it lies in the window."""
+    then keeps it only if it lies in the window.
+
+    ``dense_history=True`` joins the SCD2 dimension by (key, day) instead of by
+    key (see ``joins.scd2_join``), for histories with many versions per key."""
     keep = keep or (lambda _name, df: df)
     if rank_first:
         every = stage_versions(typed_events, None, None)
@@ -87,6 +93,7 @@ def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFram
     dim_n = keep("dim_network", network_dim(hist))
     dim_c = keep("dim_class", class_dim(spark, classes))
     dim_d = keep("dim_date", calendar(spark, start, end))
-    fact = keep("fact", build_fact(latest, dim_n, classes, fact_types))
+    fact = keep("fact", build_fact(latest, dim_n, classes, fact_types,
+                                   window=(start, end) if dense_history else None))
     mart = keep("mart", daily_mart(fact, dim_n, dim_c))
     return Layers(versions, latest, hist, dim_n, dim_c, dim_d, fact, mart)

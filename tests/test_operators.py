@@ -180,3 +180,22 @@ def test_version_chain_splits_hot_key(spark):
         ts = sorted(t for kk, t, _v in rows if kk == k)
         want += [(k, i + 1, t, ts[i - 1] if i else None, len(ts)) for i, t in enumerate(ts)]
     assert got == sorted(want)                     # 'b' has one version only
+
+
+def test_scd2_join_day_buckets_match_plain_join(spark):
+    from strata.operators.joins import scd2_join
+    base = dt.datetime(2025, 3, 1)
+    # a dense history: a new version every 5 hours, plus one overlapping version
+    versions = [("s", "hot", f"v{i}", base + dt.timedelta(hours=5 * i), base + dt.timedelta(hours=5 * (i + 1)))
+                for i in range(40)]
+    versions += [("s", "hot", "long", base + dt.timedelta(days=2), dt.datetime(9999, 12, 31)),
+                 ("s", "cold", "c0", dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31))]
+    dim = spark.createDataFrame(versions, "d_src string, d_net string, key string, valid_from timestamp, valid_to timestamp")
+    events = [("s", "hot", i, base + dt.timedelta(minutes=37 * i)) for i in range(300)]
+    events += [("s", "cold", 1000, base), ("s", "none", 1001, base)]
+    fact = spark.createDataFrame(events, "src string, net string, id int, ts timestamp")
+    keys = [("src", "d_src"), ("net", "d_net")]
+    plain = sorted(tuple(r) for r in scd2_join(fact, dim, keys, "ts").select("id", "key").collect())
+    by_day = sorted(tuple(r) for r in scd2_join(fact, dim, keys, "ts", days=("2025-03-01", "2025-03-15"))
+                    .select("id", "key").collect())
+    assert plain == by_day and len(plain) > 302
