@@ -43,14 +43,15 @@ def read_pageviews(spark: SparkSession, path: str, domain: str = "en",
                    strict_utf8: str = "fail", partitions: int | None = None) -> DataFrame:
     """Dump lines -> ``STAGING_SCHEMA`` rows (as text fields cast later).
 
-    ``strict_utf8``: ``"fail"`` raises ``InvalidUtf8`` if any line is not
-    valid UTF-8 (one aggregate over the lines), ``"drop"`` quarantines such
-    lines (see ``invalid_lines``), ``"off"`` keeps them."""
+    ``strict_utf8``: ``"fail"`` aborts the job at the first line that is not
+    valid UTF-8 (``raise_error`` inside the same single pass over the dump: no
+    pre-scan of the input), ``"drop"`` quarantines such lines (see
+    ``invalid_lines``), ``"off"`` keeps them."""
     lines = _lines(spark, path)
     if strict_utf8 == "fail":
-        bad = lines.agg(F.count_if(~F.is_valid_utf8("value")).alias("bad")).first()["bad"]
-        if bad:
-            raise InvalidUtf8(f"{bad} line(s) under {path} are not valid UTF-8")
+        msg = F.concat(F.lit(f"{InvalidUtf8.__name__}: line is not valid UTF-8 in "), F.col("file_name"))
+        lines = lines.withColumn("value", F.when(F.is_valid_utf8("value"), F.col("value"))
+                                 .otherwise(F.raise_error(msg)))
     elif strict_utf8 == "drop":
         lines = lines.filter(F.is_valid_utf8("value"))
     parts = F.split(F.col("value"), FIELD_SEP, -1)
