@@ -276,3 +276,8 @@ def dq_summary_sql(ctes: str, tests, fact_types=fd.FACT_TYPES, mag_range=fd.VALU
     parts = "\nUNION ALL\n".join(test_count_sql(x, fact_types, mag_range, depth_range) for x in tests)
     return (ctes + "SELECT test_name, CAST(failures AS BIGINT) AS failures, "
             "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n" + parts + "\n) s")
+
+
+def layer_sql(case: str, layer: str) -> str:
+    """One layer of a scenario run as a self-contained subquery."""
+    return f"(WITH {case_ctes(case)[5:]} SELECT * FROM {layer})"

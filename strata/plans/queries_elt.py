@@ -290,3 +290,39 @@ def q_dq_ambiguous(spark, sf_dir):
     layers = case_layers(spark, sf_dir, "overlap")
     return _one_version({"latest": layers.latest, "dim_network": layers.dim_network,
                          "_fact_types": list(fd.FACT_TYPES)})
+
+
+@register("dq_duplicates", o.case_ctes("overlap") + """SELECT event_key, count(*) AS duplicates
+FROM fact GROUP BY event_key HAVING count(*) > 1""")
+def q_dq_duplicates(spark, sf_dir):
+    """Fact keys that an overlapping network history multiplied."""
+    return agg.duplicate_keys(case_layers(spark, sf_dir, "overlap").fact, ["event_key"])
+
+
+@register("dq_orphans", f"""SELECT f.* FROM {o.layer_sql('source_b', 'fact')} f
+WHERE f.network_key IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM {o.layer_sql('baseline', 'dim_network')} d WHERE d.network_key = f.network_key)""")
+def q_dq_orphans(spark, sf_dir):
+    """Facts of the second-source run whose network key is unknown to the
+    baseline run's dimension (referential check across runs)."""
+    from strata.operators.joins import orphans
+    fact = case_layers(spark, sf_dir, "source_b").fact
+    return orphans(fact, "network_key", events_layers(spark, sf_dir).dim_network, "network_key")
+
+
+@register("dq_reconcile", f"""WITH f AS (SELECT event_date, count(*) AS fact_events
+             FROM {o.layer_sql('source_b', 'fact')} x GROUP BY 1),
+m AS (SELECT event_date, CAST(sum(events) AS BIGINT) AS mart_events FROM {o.layer_sql('baseline', 'mart')} y GROUP BY 1)
+SELECT coalesce(f.event_date, m.event_date) AS event_date, f.fact_events, m.mart_events
+FROM f FULL JOIN m ON f.event_date = m.event_date
+WHERE f.fact_events IS DISTINCT FROM m.mart_events""")
+def q_dq_reconcile(spark, sf_dir):
+    """Daily events of the second-source run's fact against the baseline
+    mart (FULL OUTER, NULL-safe difference): the days the new source moved."""
+    from strata.operators.joins import reconcile
+    f = (case_layers(spark, sf_dir, "source_b").fact.groupBy("event_date")
+         .agg(F.count(F.lit(1)).alias("fact_events")))
+    m = (events_layers(spark, sf_dir).mart.groupBy("event_date")
+         .agg(F.sum("events").cast("long").alias("mart_events")))
+    return reconcile(f, m, "event_date", "fact_events", "mart_events") \
+        .select("event_date", "fact_events", "mart_events")
