@@ -226,9 +226,10 @@ SQL_TABLE = {"network_history": "hist"}
 
 def singular_sql(name: str, fact_types, mag_range, depth_range) -> str:
     return {
-        "fact_matches_stg_count": f"""SELECT s.c AS stg_rows, f.c AS fact_rows
-FROM (SELECT count(*) AS c FROM latest WHERE event_type IN ({in_list(fact_types)})) s,
-     (SELECT count(*) AS c FROM fact) f WHERE s.c <> f.c""",
+        "fact_matches_stg_count": f"""SELECT * FROM (
+  SELECT (SELECT count(*) FROM latest WHERE event_type IN ({in_list(fact_types)})) AS stg_rows,
+         (SELECT count(*) FROM fact) AS fact_rows) c
+WHERE stg_rows <> fact_rows""",
         "mag_class_matches_magnitude": """SELECT f.event_key FROM fact f
 JOIN dim_class c ON c.class_key = f.mag_class_key
 WHERE f.magnitude < c.mag_min OR f.magnitude >= c.mag_max""",
@@ -237,10 +238,11 @@ WHERE magnitude IS NULL OR magnitude NOT BETWEEN {mag_range[0]} AND {mag_range[1
    OR depth_km IS NULL OR depth_km NOT BETWEEN {depth_range[0]} AND {depth_range[1]}""",
         "mart_grain_unique": """SELECT event_date FROM mart
 GROUP BY event_date, class_key, source_system, net, network_name HAVING count(*) > 1""",
-        "mart_reconciles_with_fact": """WITH f AS (SELECT event_date, count(*) AS events FROM fact GROUP BY 1),
-m AS (SELECT event_date, sum(events) AS events FROM mart GROUP BY 1)
-SELECT coalesce(f.event_date, m.event_date) AS event_date FROM f FULL JOIN m ON m.event_date = f.event_date
-WHERE f.events IS DISTINCT FROM m.events""",
+        "mart_reconciles_with_fact": """SELECT event_date FROM (
+  SELECT event_date, count(*) AS from_fact, NULL AS from_mart FROM fact GROUP BY event_date
+  UNION ALL
+  SELECT event_date, NULL, sum(events) FROM mart GROUP BY event_date) u
+GROUP BY event_date HAVING max(from_fact) IS DISTINCT FROM max(from_mart)""",
         "network_history_no_overlap": """SELECT a.network_key FROM dim_network a JOIN dim_network b
   ON a.source_system = b.source_system AND a.net = b.net AND a.network_key < b.network_key
   AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to""",
