@@ -88,7 +88,8 @@ def load_snapshots(spark: SparkSession, parquet_path: str, table_root: str,
 
 
 def namespace_totals(df: DataFrame) -> DataFrame:
-    return agg.class_totals(df, "namespace", "count_views")
+    # bounded: one group per known namespace plus the article default
+    return agg.class_totals(df, "namespace", "count_views", bounded_groups=True)
 
 
 def top_pages(df: DataFrame, n: int = 10) -> DataFrame:
@@ -98,7 +99,8 @@ def top_pages(df: DataFrame, n: int = 10) -> DataFrame:
 
 def content_groups(df: DataFrame, lookup: DataFrame, default: str = UNMATCHED) -> DataFrame:
     j = lookup_join(df, lookup, "namespace", "content_group", default)
-    return agg.class_totals(j, "content_group", "count_views")
+    # bounded: one group per lookup value (a literal table) plus the default
+    return agg.class_totals(j, "content_group", "count_views", bounded_groups=True)
 
 
 def lookup_audit(df: DataFrame, lookup: DataFrame) -> DataFrame:

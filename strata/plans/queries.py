@@ -78,9 +78,10 @@ SELECT {o.namespace_expr('page_title')} AS namespace, count(*) AS pages,
 FROM ({o.PAGE_ROWS}) r GROUP BY 1""")
 def q_class_totals(spark, sf_dir):
     ns = page_namespaces(spark, sf_dir)
+    # at most one group per known word plus the default: sorted in one partition
     return (ns.groupBy("namespace")
             .agg(F.sum("pages").cast("long").alias("pages"), F.sum("views").cast("long").alias("total_views"))
-            .orderBy(F.desc("total_views"), "namespace"))
+            .coalesce(1).sortWithinPartitions(F.desc("total_views"), "namespace"))
 
 
 @register("lookup_agg", f"""
@@ -93,9 +94,10 @@ def q_lookup_agg(spark, sf_dir):
     ns = page_namespaces(spark, sf_dir)
     per_ns = ns.groupBy("namespace").agg(F.sum("pages").alias("pages"), F.sum("views").alias("views"))
     j = lookup_join(per_ns, word_lookup(spark), "namespace", "content_group", fd.UNMATCHED_GROUP)
+    # at most one group per lookup value plus the default: sorted in one partition
     return (j.groupBy("content_group")
             .agg(F.sum("pages").cast("long").alias("pages"), F.sum("views").cast("long").alias("total_views"))
-            .orderBy(F.desc("total_views"), "content_group"))
+            .coalesce(1).sortWithinPartitions(F.desc("total_views"), "content_group"))
 
 
 @register("join_audit", f"""

@@ -191,16 +191,22 @@ def q_labelled_diff(spark, sf_dir):
 
 PAGE_SCHEMA = T.StructType([
     T.StructField("page_title", T.StringType()),
+    T.StructField("namespace", T.StringType()),
     T.StructField("count_views", T.IntegerType()),
-    T.StructField("l_partkey", T.LongType()),
 ])
 
 
+def classified_pages(spark, sf_dir):
+    """Page rows with their namespace, as the staged table carries it."""
+    rows = fd.page_rows(fd.read_table(spark, sf_dir, "lineitem"), fd.read_table(spark, sf_dir, "part"))
+    return rows.select("page_title", classify_prefix("page_title", fd.WORD_PATTERN, fd.KNOWN_WORDS,
+                                                     fd.DEFAULT_CLASS).alias("namespace"), "count_views")
+
+
 def _namespace_totals(df):
-    ns = df.select(classify_prefix("page_title", fd.WORD_PATTERN, fd.KNOWN_WORDS, fd.DEFAULT_CLASS)
-                   .alias("namespace"), "count_views")
-    return (ns.groupBy("namespace")
-            .agg(F.count(F.lit(1)).alias("pages"), F.sum("count_views").cast("long").alias("total_views")))
+    """The compared query: pages and views per namespace, by views (at most
+    one group per known word plus the default class)."""
+    return agg.class_totals(df, "namespace", "count_views", bounded_groups=True)
 
 
 @register("format_compare", f"""
@@ -211,8 +217,7 @@ def q_format_compare(spark, sf_dir):
     """Page rows through a staging CSV and a Parquet copy; the namespace
     totals must agree between the two (one trial here, three in bench)."""
     from strata.plans.measure import compare_formats
-    rows = fd.page_rows(fd.read_table(spark, sf_dir, "lineitem"), fd.read_table(spark, sf_dir, "part"))
-    result, _t, _s = compare_formats(spark, rows, PAGE_SCHEMA, _namespace_totals,
+    result, _t, _s = compare_formats(spark, classified_pages(spark, sf_dir), PAGE_SCHEMA, _namespace_totals,
                                      shared_dir(spark, "formats"), trials=1)
     return result
 
