@@ -17,7 +17,7 @@ from strata.plans.queries import events_layers, register
 from strata.plans.queries_elt import case_layers
 from strata.session import shared_dir
 from strata.sources.files import file_inventory, footprint
-from strata.sources.snapshots import SnapshotTable, new_snapshots, snapshot_history
+from strata.sources.snapshots import SnapshotTable, new_snapshots
 from strata.sources.tables import assert_roundtrip, write_partitioned
 
 # --- document quality profile (page-view validation rules) ------------------------------

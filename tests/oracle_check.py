@@ -7,7 +7,6 @@ Usage: python tests/oracle_check.py [sf_dir] [name ...]
 
 from __future__ import annotations
 
-import datetime as dt
 import decimal
 import os
 import sys
