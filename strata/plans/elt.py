@@ -142,16 +142,24 @@ def materialize(spark: SparkSession, layers: Layers, root: str) -> Layers:
 def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, start, end,
             root: str, run_id: str, classes, fact_types, tests=None, publish: bool = True,
             rank_first: bool = False) -> dict:
-    """Build -> materialise -> test (store failures) -> gate -> publish."""
+    """Build -> materialise -> test (store failures) -> gate -> publish.
+
+    The result carries ``seconds`` per phase (build, tests, publish)."""
+    import time
+    t0 = time.perf_counter()
     layers = build_layers(spark, typed_events, history, start, end, classes=classes,
                           fact_types=fact_types, keep=layer_writer(spark, root), rank_first=rank_first)
+    t1 = time.perf_counter()
     tests = tests if tests is not None else elt_tests()
     t = test_tables(layers, fact_types)
     results = {r["test_name"]: r["failures"] for r in dq.summary(tests, t).collect()}
     failing = [k for k, v in results.items() if v]
     audit = dq.store_failures(tests, t, f"{root.rstrip('/')}/dbt_test_audit", failing) if failing else {}
-    out = {"layers": layers, "tests": results, "failing": failing, "audit": audit, "published": None}
+    t2 = time.perf_counter()
+    out = {"layers": layers, "tests": results, "failing": failing, "audit": audit, "published": None,
+           "seconds": {"build": t1 - t0, "tests": t2 - t1, "publish": 0.0}}
     if failing or not publish:
         return out
     out["published"] = Publisher(spark, f"{root.rstrip('/')}/mart/daily").publish(layers.mart, start, end, run_id)
+    out["seconds"]["publish"] = time.perf_counter() - t2
     return out

@@ -17,7 +17,8 @@ from strata.sources.snapshots import SnapshotTable
 from strata.sources.tables import assert_roundtrip, read_typed_csv, write_partitioned, write_staging_csv
 
 # The namespace prefixes treated as real namespaces, the prefix
-# pattern, the default class, and the accepted domain and hours.
+# pattern, the default class, the accepted domain and hours, and the content
+# group of unmatched rows.
 KNOWN_NAMESPACES = (
     "Media", "Special", "Talk", "User", "User_talk", "Wikipedia", "Wikipedia_talk",
     "File", "File_talk", "MediaWiki", "MediaWiki_talk", "Template", "Template_talk",
