@@ -32,6 +32,14 @@ CORRUPT_DELTA = 1000
 OVERLAP_FROM = "2024-01-15 00:00:00"
 
 
+def late_delta(events: DataFrame) -> DataFrame:
+    """The late-correction slice alone (typed, slice order 1)."""
+    ts_type = events.schema["ts"].dataType
+    fixed = events.filter(F.col("event_type") == "click").withColumn("value", F.col("value") + LATE_DELTA)
+    return (fd.events_typed(fixed, slice_id="late", slice_order=1, synthetic=True)
+            .withColumn("updated_ts", F.lit(LATE_UPDATED).cast(ts_type)))
+
+
 def make_case(events: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """``(typed_events, network_history)`` for the baseline plus one delta."""
     base = fd.events_typed(events)
@@ -44,10 +52,7 @@ def make_case(events: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
                                 slice_id="dup", slice_order=1, synthetic=True)
         return base.unionByName(delta), hist
     if name == "late":
-        fixed = events.filter(F.col("event_type") == "click").withColumn("value", F.col("value") + LATE_DELTA)
-        delta = (fd.events_typed(fixed, slice_id="late", slice_order=1, synthetic=True)
-                 .withColumn("updated_ts", F.lit(LATE_UPDATED).cast(ts_type)))
-        return base.unionByName(delta), hist
+        return base.unionByName(late_delta(events)), hist
     if name == "source_b":
         delta = fd.events_typed(events.filter(F.col("event_type") == "view"), source_system=MIRROR_SOURCE,
                                 slice_id="source_b", slice_order=1, synthetic=True)

@@ -45,6 +45,9 @@ def day_runs(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
 
 
 class CorrectionStream:
+    """``start`` streams raw correction CSV slices; ``start_typed`` streams
+    Parquet files of already typed rows (with their own lineage)."""
+
     def __init__(self, spark: SparkSession, versions_path: str, publish_root: str,
                  history: DataFrame, classes, fact_types, source_system: str = "usgs"):
         self.spark = spark
@@ -54,6 +57,7 @@ class CorrectionStream:
         self.classes = classes
         self.fact_types = fact_types
         self.source_system = source_system
+        self._typed_schema = None
 
     def seed(self, typed: DataFrame) -> None:
         """Initial (baseline) versions, all dates kept."""
@@ -67,7 +71,12 @@ class CorrectionStream:
             F.lit(epoch_id + 1).cast("int").alias("_slice_order"),
             F.monotonically_increasing_id().alias("_row_num"),
             F.lit(True).alias("_is_synthetic"))
-        new = stage_versions(type_raw_events(raw), None, None)
+        self._apply(stage_versions(type_raw_events(raw), None, None), epoch_id)
+
+    def _process_typed(self, batch: DataFrame, epoch_id: int) -> None:
+        self._apply(stage_versions(batch, None, None), epoch_id)
+
+    def _apply(self, new: DataFrame, epoch_id: int) -> None:
         new.write.mode("append").parquet(self.versions_path)
         store = self.spark.read.parquet(self.versions_path)
         touched = new.select("event_key").distinct()
@@ -79,6 +88,12 @@ class CorrectionStream:
                                   classes=self.classes, fact_types=self.fact_types)
             self.publisher.publish(layers.mart, start, end, run_id=f"stream-{epoch_id}")
 
+    def start_typed(self, source_dir: str, schema, checkpoint: str, available_now: bool = True):
+        stream = self.spark.readStream.schema(schema).parquet(source_dir)
+        writer = stream.writeStream.foreachBatch(self._process_typed).option("checkpointLocation", checkpoint)
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+        return writer.start()
+
     def start(self, source_dir: str, checkpoint: str, available_now: bool = True):
         stream = (self.spark.readStream.schema(RAW_SCHEMA).option("header", True)
                   .option("quote", '"').option("escape", '"').option("multiLine", True)
