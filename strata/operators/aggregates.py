@@ -111,6 +111,7 @@ def daily_mart(fact: DataFrame, dim_network: DataFrame, dim_class: DataFrame) ->
                   F.max("magnitude").alias("_max_mag"),
                   F.sum("depth_km").alias("_s_dep"), F.count("depth_km").alias("_n_dep")))
     net = dim_network.select(F.col("network_key").alias("_nk"), "net", "network_name")
+    # the class dimension is a band seed (bounded, see dims.class_dim): broadcast
     cls = F.broadcast(dim_class.select(F.col("class_key"), F.col("class_name").alias("magnitude_class")))
     joined = (cells.join(net, cells["network_key"] == net["_nk"], "left")
               .join(cls, cells["mag_class_key"] == cls["class_key"], "left"))

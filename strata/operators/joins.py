@@ -1,10 +1,11 @@
 """Joins: SCD2 interval join, band join, lookup join and join safety checks.
 
 Physical strategy is left to Catalyst + AQE. Only inputs with a proven size
-bound are broadcast explicitly (literal lookup tables, band seeds after a
-count check); dimensions derived from data are joined by key and AQE turns the
-join into a broadcast at runtime when the measured side is small, or splits
-skewed key partitions when it is not.
+bound are broadcast explicitly (band seeds after a count check); literal
+lookups are broadcast by Catalyst from their exact statistics; dimensions
+derived from data are joined by key and AQE turns the join into a broadcast
+at runtime when the measured side is small, or splits skewed key partitions
+when it is not.
 """
 
 from __future__ import annotations
@@ -98,11 +99,12 @@ def _overlapping(rows) -> bool:
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str, value: str,
                 default: str, out: str | None = None) -> DataFrame:
-    """LEFT join to a literal lookup table with a default for unmatched rows.
+    """LEFT join to a lookup table with a default for unmatched rows.
 
-    The lookup is a literal (bounded) table, so it is broadcast."""
+    No broadcast hint: a literal lookup has exact size statistics, so Catalyst
+    broadcasts it by itself; a large lookup is joined by key instead."""
     out = out or value
-    j = df.join(F.broadcast(lookup), on, "left")
+    j = df.join(lookup, on, "left")
     return j.withColumn(out, F.coalesce(F.col(value), F.lit(default)))
 
 
@@ -115,7 +117,7 @@ def join_audit(left: DataFrame, right: DataFrame, on: str, weight: str | None =
     w = F.col(weight) if weight else F.lit(1)
     before = left.agg(F.sum(w).cast("long").alias("before_join"))
     marker = right.select(F.col(on), F.lit(True).alias("_matched"))
-    joined = left.join(F.broadcast(marker), on, "left")
+    joined = left.join(marker, on, "left")
     after = joined.agg(
         F.sum(w).cast("long").alias("after_join"),
         F.sum(F.when(F.col("_matched").isNull(), w).otherwise(0)).cast("long").alias("unmatched"),
