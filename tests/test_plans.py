@@ -47,3 +47,17 @@ def test_share_uses_join_not_day_window(spark):
     from strata.plans.registry import all_queries
     text = plan(all_queries()["mart_share"](spark, SF))
     assert "windowspecdefinition(event_date" not in text
+
+
+def test_no_registered_query_plans_a_pairwise_join(spark):
+    """No cartesian product and no nested-loop join in any registered query
+    (band tables are non-overlapping, so bands are a CASE expression)."""
+    from strata.plans.registry import all_queries
+    smoke = "/root/testdata/sf0.001"
+    offenders = {}
+    for name, fn in sorted(all_queries().items()):
+        text = fn(spark, smoke)._jdf.queryExecution().executedPlan().toString()
+        bad = [op for op in ("CartesianProduct", "BroadcastNestedLoopJoin") if op in text]
+        if bad:
+            offenders[name] = bad
+    assert not offenders, offenders
