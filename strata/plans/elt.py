@@ -148,7 +148,8 @@ def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, st
     import time
     t0 = time.perf_counter()
     layers = build_layers(spark, typed_events, history, start, end, classes=classes,
-                          fact_types=fact_types, keep=layer_writer(spark, root), rank_first=rank_first)
+                          fact_types=fact_types, keep=layer_writer(spark, root), rank_first=rank_first,
+                          parallel=True)
     t1 = time.perf_counter()
     tests = tests if tests is not None else elt_tests()
     t = test_tables(layers, fact_types)

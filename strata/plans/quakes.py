@@ -67,7 +67,8 @@ def checkpoint_dims(name: str, df: DataFrame) -> DataFrame:
 
 def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFrame,
                  start, end, classes=MAGNITUDE_CLASSES, fact_types=("earthquake",),
-                 keep=None, rank_first: bool = False, dense_history: bool = False) -> Layers:
+                 keep=None, rank_first: bool = False, dense_history: bool = False,
+                 parallel: bool = False) -> Layers:
     """Chain the layers. ``keep(name, df) -> df`` is applied to each layer
     before it feeds the next one: identity (lazy, one plan) or a writer that
     materialises the layer and continues from the written table.
@@ -81,18 +82,34 @@ def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFram
     ``dense_history=True`` joins the SCD2 dimension by (key, day) instead of by
     key (see ``joins.scd2_join``), for histories with many versions per key."""
     keep = keep or (lambda _name, df: df)
-    if rank_first:
-        every = stage_versions(typed_events, None, None)
-        versions = keep("versions", every.filter(in_window("event_date", start, end)))
-        latest = keep("latest", latest_version(every, ["event_key"], LATEST_ORDER)
+
+    def chain():
+        if rank_first:
+            every = stage_versions(typed_events, None, None)
+            v = keep("versions", every.filter(in_window("event_date", start, end)))
+            lt = keep("latest", latest_version(every, ["event_key"], LATEST_ORDER)
                       .filter(in_window("event_date", start, end)))
+        else:
+            v = keep("versions", stage_versions(typed_events, start, end))
+            lt = keep("latest", latest_version(v, ["event_key"], LATEST_ORDER))
+        return v, lt
+
+    def dims():
+        h = keep("network_history", history)
+        return h, keep("dim_network", network_dim(h)), keep("dim_class", class_dim(spark, classes)), \
+            keep("dim_date", calendar(spark, start, end))
+
+    if parallel:
+        # The dimension branch does not depend on the version chain: when the
+        # layers are materialised, both branches run as concurrent Spark jobs.
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            pending = pool.submit(dims)
+            versions, latest = chain()
+            hist, dim_n, dim_c, dim_d = pending.result()
     else:
-        versions = keep("versions", stage_versions(typed_events, start, end))
-        latest = keep("latest", latest_version(versions, ["event_key"], LATEST_ORDER))
-    hist = keep("network_history", history)
-    dim_n = keep("dim_network", network_dim(hist))
-    dim_c = keep("dim_class", class_dim(spark, classes))
-    dim_d = keep("dim_date", calendar(spark, start, end))
+        versions, latest = chain()
+        hist, dim_n, dim_c, dim_d = dims()
     fact = keep("fact", build_fact(latest, dim_n, classes, fact_types,
                                    window=(start, end) if dense_history else None))
     mart = keep("mart", daily_mart(fact, dim_n, dim_c))

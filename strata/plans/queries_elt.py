@@ -35,7 +35,7 @@ def case_layers(spark, sf_dir, name, start=fd.WINDOW[0], end=fd.WINDOW[1], keep=
     events = fd.read_table(spark, sf_dir, "events")
     typed, hist = sc.make_case(events, name)
     return build_layers(spark, typed, hist, start, end, classes=fd.VALUE_CLASSES, fact_types=fd.FACT_TYPES,
-                        keep=keep or checkpoint_dims)
+                        keep=keep or checkpoint_dims, parallel=keep is not None)
 
 
 def case_summary(spark, sf_dir, name):
