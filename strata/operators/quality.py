@@ -101,6 +101,40 @@ def summary(tests: Sequence[DataTest], t: Tables) -> DataFrame:
                       F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
 
 
+SUMMARY_SCHEMA = "test_name string, failures long, status string"
+
+
+def summary_rows(tests: Sequence[DataTest], t: Tables, concurrency: int = 4) -> list:
+    """Run the tests as ``concurrency`` concurrent Spark jobs and return one
+    row per test (bounded: the number of tests), in the order of ``tests``.
+
+    Small test jobs leave most cores idle; running a few unions side by side
+    keeps the cluster busy. NOT NULL checks of one table stay in the same
+    group so they still share one aggregate."""
+    from concurrent.futures import ThreadPoolExecutor
+    units: list[list[DataTest]] = []
+    by_table: dict[str, list[DataTest]] = {}
+    for test in tests:
+        if test.kind == "not_null":
+            by_table.setdefault(test.table, []).append(test)
+        else:
+            units.append([test])
+    units = list(by_table.values()) + units
+    k = max(1, min(concurrency, len(units)))
+    groups: list[list[DataTest]] = [[] for _ in range(k)]
+    for i, unit in enumerate(units):
+        groups[i % k].extend(unit)
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        parts = list(pool.map(lambda g: summary(g, t).collect(), groups))
+    order = {x.name: i for i, x in enumerate(tests)}
+    return sorted((r for rows in parts for r in rows), key=lambda r: order[r["test_name"]])
+
+
+def summary_table(spark, tests: Sequence[DataTest], t: Tables, concurrency: int = 4) -> DataFrame:
+    """``summary_rows`` as a (small) DataFrame."""
+    return spark.createDataFrame([tuple(r) for r in summary_rows(tests, t, concurrency)], SUMMARY_SCHEMA)
+
+
 def store_failures(tests: Sequence[DataTest], t: Tables, audit_path: str,
                    failing: Sequence[str] | None = None) -> dict[str, str]:
     """Write the failing rows of each (failing) test under ``audit_path/<test>``."""

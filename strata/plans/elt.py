@@ -153,7 +153,7 @@ def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, st
     t1 = time.perf_counter()
     tests = tests if tests is not None else elt_tests()
     t = test_tables(layers, fact_types)
-    results = {r["test_name"]: r["failures"] for r in dq.summary(tests, t).collect()}
+    results = {r["test_name"]: r["failures"] for r in dq.summary_rows(tests, t)}
     failing = [k for k, v in results.items() if v]
     audit = dq.store_failures(tests, t, f"{root.rstrip('/')}/dbt_test_audit", failing) if failing else {}
     t2 = time.perf_counter()

@@ -40,7 +40,7 @@ def case_layers(spark, sf_dir, name, start=fd.WINDOW[0], end=fd.WINDOW[1], keep=
 
 def case_summary(spark, sf_dir, name):
     layers = case_layers(spark, sf_dir, name, keep=layer_writer(spark, shared_dir(spark, f"elt-{name}")))
-    return dq.summary(elt_tests(**DRIVER_TESTS), test_tables(layers, fd.FACT_TYPES))
+    return dq.summary_table(spark, elt_tests(**DRIVER_TESTS), test_tables(layers, fd.FACT_TYPES))
 
 
 def summary_sql(name):
