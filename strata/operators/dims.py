@@ -40,17 +40,6 @@ def class_dim(spark: SparkSession, classes: Sequence[tuple] = MAGNITUDE_CLASSES)
     return spark.createDataFrame(rows, CLASS_SCHEMA).coalesce(1)
 
 
-def check_bands(classes: Sequence[tuple]) -> None:
-    """Bands must be non-empty, half-open and non-overlapping."""
-    ordered = sorted(classes, key=lambda r: r[2])
-    for k, _n, lo, hi in ordered:
-        if not lo < hi:
-            raise ValueError(f"band {k}: empty interval [{lo}, {hi})")
-    for a, b in zip(ordered, ordered[1:]):
-        if b[2] < a[3]:
-            raise ValueError(f"bands {a[0]} and {b[0]} overlap")
-
-
 def network_dim(history: DataFrame) -> DataFrame:
     """SCD2 network dimension from a staged history
     (source_system, net, network_name, valid_from, valid_to).

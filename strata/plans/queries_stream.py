@@ -10,6 +10,8 @@ from strata.plans.queries import events_layers, register
 from strata.session import shared_dir
 from strata.streaming.corrections import CorrectionStream
 
+STREAM_TIMEOUT_SEC = 1800
+
 
 @register("stream_late", o.case_ctes("late") + "SELECT * FROM mart")
 def q_stream_late(spark, sf_dir):
@@ -26,5 +28,9 @@ def q_stream_late(spark, sf_dir):
     delta = sc.late_delta(events)
     delta.write.mode("overwrite").parquet(f"{root}/inbox")
     q = cs.start_typed(f"{root}/inbox", delta.schema, f"{root}/stream-checkpoint")
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_SEC):
+        q.stop()
+        raise TimeoutError(f"correction stream did not finish within {STREAM_TIMEOUT_SEC} s")
+    if q.exception() is not None:
+        raise RuntimeError(f"correction stream failed: {q.exception()}")
     return cs.publisher.live()

@@ -199,3 +199,20 @@ def test_scd2_join_day_buckets_match_plain_join(spark):
     by_day = sorted(tuple(r) for r in scd2_join(fact, dim, keys, "ts", days=("2025-03-01", "2025-03-15"))
                     .select("id", "key").collect())
     assert plain == by_day and len(plain) > 302
+
+
+def test_band_join_from_a_seed_table(spark):
+    seed = spark.createDataFrame([(1, Decimal("-10"), Decimal("2")), (2, Decimal("2"), Decimal("4"))],
+                                 "class_key int, mag_min decimal(18,6), mag_max decimal(18,6)")
+    df = spark.createDataFrame([(Decimal("1.9"),), (Decimal("2"),), (Decimal("4"),)], "m decimal(18,6)")
+    assert [r["class_key"] for r in band_join(df, "m", seed).orderBy("m").collect()] == [1, 2, None]
+
+
+def test_latest_version_with_a_hot_key_of_copies(spark):
+    # one key holds a third of all rows (identical copies plus one newer version)
+    hot = [("hot", dt.datetime(2025, 1, 1), i % 3) for i in range(3000)] + [("hot", dt.datetime(2025, 1, 2), 9)]
+    cold = [(f"k{i}", dt.datetime(2025, 1, 1), 0) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "key string, upd timestamp, v int").repartition(8)
+    out = latest_version(df, ["key"], ["upd"])
+    rows = {r["key"]: r["v"] for r in out.collect()}
+    assert len(rows) == 6001 and rows["hot"] == 9
