@@ -216,3 +216,12 @@ def test_latest_version_with_a_hot_key_of_copies(spark):
     out = latest_version(df, ["key"], ["upd"])
     rows = {r["key"]: r["v"] for r in out.collect()}
     assert len(rows) == 6001 and rows["hot"] == 9
+
+
+def test_publish_empty_window_first(spark, workdir):
+    d = lambda x: dt.date(2025, 3, x)
+    cand = spark.createDataFrame([(d(5), 1)], "event_date date, v int")
+    pub = Publisher(spark, workdir + "/pub")
+    assert pub.publish(cand, "2025-03-01", "2025-03-03", "empty")["rows_published"] == 0
+    assert pub.publish(cand, "2025-03-01", "2025-03-06", "full")["rows_published"] == 1
+    assert [(r["event_date"], r["v"]) for r in pub.live().collect()] == [(d(5), 1)]
