@@ -20,3 +20,17 @@ def test_elt_then_report(spark, workdir, capsys):
     assert "PASS=32 ERROR=0" in out and "PASS=29 ERROR=3" in out
     assert "not published" in out and "rows=1" in out
     assert main(["report", "--root", root]) == 0
+
+
+def test_pageviews_command(spark, workdir, capsys):
+    import gzip
+    d = os.path.join(workdir, "dumps")
+    os.makedirs(d)
+    for name, lines in (("pageviews-20150501-010000.gz", ["en Main_Page 5 0", "en Special:Search 7 0", "de X 1 0"]),
+                        ("pageviews-20150501-020000.gz", ["en Talk:Foo 3 0"])):
+        with gzip.open(os.path.join(d, name), "wb") as f:
+            f.write(("\n".join(lines) + "\n").encode())
+    assert main(["pageviews", "--dumps", d, "--root", os.path.join(workdir, "out"),
+                 "--lookup", "(article)=Main"]) == 0
+    out = capsys.readouterr().out
+    assert "Special" in out and "Talk" in out and "Main" in out
