@@ -141,7 +141,7 @@ def materialize(spark: SparkSession, layers: Layers, root: str) -> Layers:
 
 def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, start, end,
             root: str, run_id: str, classes, fact_types, tests=None, publish: bool = True,
-            rank_first: bool = False) -> dict:
+            rank_first: bool = False, dense_history: bool = False) -> dict:
     """Build -> materialise -> test (store failures) -> gate -> publish.
 
     The result carries ``seconds`` per phase (build, tests, publish)."""
@@ -149,7 +149,7 @@ def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, st
     t0 = time.perf_counter()
     layers = build_layers(spark, typed_events, history, start, end, classes=classes,
                           fact_types=fact_types, keep=layer_writer(spark, root), rank_first=rank_first,
-                          parallel=True)
+                          dense_history=dense_history, parallel=True)
     t1 = time.perf_counter()
     tests = tests if tests is not None else elt_tests()
     t = test_tables(layers, fact_types)
