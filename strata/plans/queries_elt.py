@@ -155,7 +155,10 @@ def q_daily_exact(spark, sf_dir):
   SELECT 'fact', count(*) FROM fact UNION ALL
   SELECT 'mart', count(*) FROM mart) c""")
 def q_layer_counts(spark, sf_dir):
-    layers = events_layers(spark, sf_dir)
+    """Rows per layer of one run. The layers are materialised once (the chain
+    is computed a single time) and counted from the written tables: counting
+    lazy layers would re-scan the events for every branch."""
+    layers = case_layers(spark, sf_dir, "baseline", keep=layer_writer(spark, shared_dir(spark, "layers")))
     parts = [getattr(layers, n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("layer"), "rows")
              for n in ("versions", "latest", "dim_network", "dim_class", "dim_date", "fact", "mart")]
     out = parts[0]
