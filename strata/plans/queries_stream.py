@@ -6,7 +6,7 @@ from __future__ import annotations
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
 from strata.plans import scenarios as sc
-from strata.plans.queries import events_layers, register
+from strata.plans.queries import register
 from strata.session import shared_dir
 from strata.streaming.corrections import CorrectionStream
 
@@ -24,7 +24,7 @@ def q_stream_late(spark, sf_dir):
     cs = CorrectionStream(spark, f"{root}/versions", f"{root}/published", fd.user_history(events),
                           fd.VALUE_CLASSES, fd.FACT_TYPES, source_system=fd.EVENTS_SOURCE)
     cs.seed(fd.events_typed(events))
-    cs.publisher.publish(events_layers(spark, sf_dir).mart, *fd.WINDOW, run_id="baseline")
+    cs.publish_window(*fd.WINDOW, run_id="baseline")
     delta = sc.late_delta(events)
     delta.write.mode("overwrite").parquet(f"{root}/inbox")
     q = cs.start_typed(f"{root}/inbox", delta.schema, f"{root}/stream-checkpoint")

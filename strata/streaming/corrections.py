@@ -83,10 +83,15 @@ class CorrectionStream:
         days = [r["event_date"] for r in store.join(touched, "event_key", "left_semi")
                 .select("event_date").distinct().collect()]          # bounded by the calendar
         for start, end in day_runs(days):
-            typed = store.drop("event_key", "event_date")
-            layers = build_layers(self.spark, typed, self.history, start, end,
-                                  classes=self.classes, fact_types=self.fact_types)
-            self.publisher.publish(layers.mart, start, end, run_id=f"stream-{epoch_id}")
+            self.publish_window(start, end, run_id=f"stream-{epoch_id}")
+
+    def publish_window(self, start, end, run_id: str) -> dict:
+        """Rebuild latest -> fact -> mart for ``[start, end)`` from the versions
+        store (filter-then-rank, as in batch) and publish that window."""
+        typed = self.spark.read.parquet(self.versions_path).drop("event_key", "event_date")
+        layers = build_layers(self.spark, typed, self.history, start, end,
+                              classes=self.classes, fact_types=self.fact_types)
+        return self.publisher.publish(layers.mart, start, end, run_id=run_id)
 
     def start_typed(self, source_dir: str, schema, checkpoint: str, available_now: bool = True):
         stream = self.spark.readStream.schema(schema).parquet(source_dir)
