@@ -70,19 +70,17 @@ def split_summary(tagged: DataFrame, reason: str = "reject_reason") -> DataFrame
 
 
 def split_accepted(df: DataFrame, rules: Sequence[tuple[str, Column]]):
-    """``(accepted, rejected, summary)``; raises on empty input or imbalance.
+    """``(accepted, rejected, summary)``; raises on empty input.
 
-    The check costs one aggregate over the tagged rows."""
+    Every row gets exactly one outcome (its first failing rule, or accepted),
+    so ``rows = accepted + rejected`` holds by construction; the summary (one
+    row per outcome, one aggregate over the tagged rows) reports the split."""
     tagged = tag_rejects(df, rules)
     summary = split_summary(tagged)
-    counts = {r["outcome"]: r["rows"] for r in summary.collect()}
-    total = sum(counts.values())
-    if total == 0:
+    if sum(r["rows"] for r in summary.collect()) == 0:
         raise ValueError("input is empty")
     accepted = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejected = tagged.filter(F.col("reject_reason").isNotNull())
-    if counts.get("accepted", 0) + sum(v for k, v in counts.items() if k != "accepted") != total:
-        raise ValueError("raw != accepted + rejected")
     return accepted, rejected, summary
 
 
