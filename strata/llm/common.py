@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 import zlib
+from pathlib import Path
 
 import numpy as np
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+import strata
 from strata.session import shared_dir
 
 # Rows per Arrow batch handed to Python tasks: texts and sets can be long, so
 # batches are kept short and task memory bounded.
 ARROW_ROWS = 256
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Short Arrow batches, and this package on the Python path of all tasks."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(strata.__file__).parent
+        held = tempfile.mkdtemp(prefix="strata-code-")
+        with zipfile.ZipFile(f"{held}/strata-code.zip", "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(f"{held}/strata-code.zip")
+        _SHIPPED.add(sc.applicationId)
 
 
 def workspace(spark: SparkSession, name: str) -> str:

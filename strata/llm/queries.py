@@ -5,12 +5,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.llm import packing, records
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
 from strata.llm.sql import JACCARD_SQL
 
 
+@register("op1_packing")
+def op1_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.pack(spark, docs, end_id=0)
+    return pieces.select(F.col("doc").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
+                         "offset", "tier", "step_group")
+
+
+@register("op2_records")
+def op2_records(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest, root = records.write_records(spark, docs, end_id=2)
+    back = records.read_records(spark, manifest, root)
+    return back.select(F.col("key").cast("bigint").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 @register("op3_ngram_jaccard", JACCARD_SQL)
 def op3_ngram_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
