@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import packing, records
+from strata.llm import decontaminate, linededup, packing, records, toxicity
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
-from strata.llm.sql import JACCARD_SQL
+from strata.llm.sql import JACCARD_SQL, LINES_SQL
 
 
 @register("op1_packing")
@@ -33,3 +33,28 @@ def op3_ngram_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     groups = jaccard_groups(spark, docs, words=3, num=90, den=100, n2=3)
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@register("op5_line_dedup", LINES_SQL)
+def op5_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    clean = linededup.remove_boilerplate(spark, docs)
+    return clean.select("doc_id", F.size(F.split("text", "\n")).cast("bigint").alias("kept_lines"), "removed_lines",
+                        F.length("text").cast("bigint").alias("kept_chars"), F.md5("text").alias("kept_md5"))
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    model = toxicity.train(spark, docs, labels)
+    scored = toxicity.score(spark, docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op10_decontamination")
+def op10_decontamination(spark, sf_dir):
+    found = decontaminate.find_passages(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")

@@ -25,3 +25,26 @@ SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_shingles,
        CASE WHEN d.n = 0 THEN d.doc_id ELSE coalesce(comp.c, reps.r) END AS component_id
 FROM keyed d LEFT JOIN reps ON reps.k = d.k AND d.n > 0 LEFT JOIN comp ON comp.r = reps.r
 """
+
+# Distinct texts hold lines once; exact distinct counts throughout.
+LINES_SQL = r"""
+WITH cut AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+num AS (SELECT doc_id, source, text, ls, unnest(range(1, len(ls) + 1)) AS i FROM cut),
+line AS (
+  SELECT doc_id, source, text, i, ls[i] AS l,
+         CASE WHEN i = 1 OR trim(ls[i - 1], ' ') = '' THEN NULL ELSE ls[i - 1] END AS b,
+         CASE WHEN i = len(ls) OR trim(ls[i + 1], ' ') = '' THEN NULL ELSE ls[i + 1] END AS a
+  FROM num WHERE trim(ls[i], ' ') <> ''),
+bad AS (
+  SELECT l FROM line GROUP BY l
+  HAVING count(DISTINCT source) >= 15
+     AND least(count(DISTINCT coalesce(b, '')), count(DISTINCT coalesce(a, ''))) >= 0.25 * count(DISTINCT text)),
+clean AS (
+  SELECT n.doc_id, count(bad.l) AS gone, coalesce(string_agg(ls[i], chr(10) ORDER BY i) FILTER (WHERE bad.l IS NULL), '') AS t
+  FROM num n LEFT JOIN bad ON bad.l = ls[i] GROUP BY n.doc_id),
+final AS (SELECT d.doc_id, coalesce(c.gone, 0) AS gone, CASE WHEN d.text IS NULL THEN NULL ELSE c.t END AS t
+          FROM cut d LEFT JOIN clean c USING (doc_id))
+SELECT doc_id, CAST(len(string_split(t, chr(10))) AS BIGINT) AS kept_lines, CAST(gone AS BIGINT) AS removed_lines,
+       CAST(length(t) AS BIGINT) AS kept_chars, md5(t) AS kept_md5
+FROM final
+"""
