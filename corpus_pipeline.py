@@ -1,13 +1,84 @@
-"""Corpus pipeline: stages over ``documents``, each written and reread.
+"""Corpus pipeline: five stages over ``documents``, each written as Parquet and
+reread as the next one's input.
 
-Stages are added as their operators land."""
+1. ``toxicity``: score every document with a classifier fitted on ``labels``;
+   documents at ``TOXIC`` or above go.
+2. ``line_dedup``: take boilerplate lines out of the texts; every document
+   stays, ``n_chars`` follows the text.
+3. ``near_duplicates``: group documents whose five-word shingle sets are at
+   least 0.8 similar; the one with the smallest id of each group stays.
+4. ``decontamination``: documents that hold a passage of a benchmark item go.
+5. ``packing``: pack what is left into sequences; returns the pieces.
+
+Nulls: a null text counts as empty and is never toxic by its words, similar
+to anything or contaminated; a row without an id is kept by stages 1 to 4.
+Rows that repeat an id are one document: the stage near_duplicates keeps the
+one with the smallest text. Empty tables pass through.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from strata.llm import decontaminate, linededup, packing, toxicity
+from strata.llm.common import stored, table
+from strata.llm.partenum import jaccard_groups
+
+TOXIC = 0.5
+
+# The first stage is a fitted classifier, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply the stages to ``documents``."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from the rows of ``labels`` whose documents are still there."""
+    model = toxicity.train(spark, docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(spark, docs, model, out="__toxic")
+    return scored.filter(F.col("__toxic") < TOXIC).drop("__toxic")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = linededup.remove_boilerplate(spark, docs, removed="__removed")
+    n = F.when(F.col("__removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = jaccard_groups(spark, docs, words=5, num=80, den=100)
+    # Ids that stand for another document of their group; an id of repeated rows goes only with all of them.
+    out = groups.groupBy("id").agg(F.min(F.col("component") == F.col("id")).alias("first"),
+                                   F.count(F.lit(1)).alias("rows"))
+    gone = out.filter(~F.col("first") | (F.col("rows") > 1)).withColumnRenamed("id", "__id")
+    marked = docs.join(gone, F.col("doc_id") == F.col("__id"), "left").filter("__id IS NULL OR first")
+    once = Window.partitionBy("__id").orderBy("text")
+    single = marked.filter("__id IS NULL").select(docs.columns)
+    repeated = (marked.filter("__id IS NOT NULL").withColumn("__n", F.row_number().over(once))
+                .filter("__n = 1").select(docs.columns))
+    return single.unionByName(repeated)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    flagged = decontaminate.flag_documents(spark, docs, table(spark, sf_dir, "benchmark"), out="__passages")
+    return flagged.filter("__passages = 0").drop("__passages")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, docs, end_id=0).withColumnRenamed("doc", "doc_id")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after another, over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
