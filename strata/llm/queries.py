@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, linededup, packing, records, toxicity
+from strata.llm import decontaminate, linededup, ownership, packing, records, toxicity
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
-from strata.llm.sql import JACCARD_SQL, LINES_SQL
+from strata.llm.sql import JACCARD_SQL, LINES_SQL, SECRETS_SQL
 
 
 @register("op1_packing")
@@ -43,6 +43,17 @@ def op5_line_dedup(spark, sf_dir):
                         F.length("text").cast("bigint").alias("kept_chars"), F.md5("text").alias("kept_md5"))
 
 
+@register("op6_secret_ownership", SECRETS_SQL)
+def op6_secret_ownership(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    found = ownership.scan(spark, docs, repo=F.concat_ws("/", "source", "lang"))
+    base = F.filter("spans", lambda s: s["rank"] < len(ownership.KINDS))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    return found.select(F.col("id").alias("doc_id"), *[count(k) for k, *_ in ownership.KINDS],
+                        F.sha2(ownership.joined(base), 256).alias("base_sha256"),
+                        ownership.joined(F.col("spans")).alias("spans"), "live", "copied")
+
+
 @register("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from strata.llm.ownership import BARE, KINDS, MAX_OWNERS, MIN_DISTINCT
+
 # Distinct texts stand for their copies; links by shared shingles, components by a recursive walk.
 JACCARD_SQL = r"""
 WITH RECURSIVE words AS (
@@ -48,3 +50,38 @@ SELECT doc_id, CAST(len(string_split(t, chr(10))) AS BIGINT) AS kept_lines, CAST
        CAST(length(t) AS BIGINT) AS kept_chars, md5(t) AS kept_md5
 FROM final
 """
+
+
+def _matches_sql(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    flags, body = ("(?i)", pattern[4:]) if pattern.startswith("(?i)") else ("", pattern)
+    lazy = f"{flags}([\\s\\S]*?)({body})".replace("'", "''")
+    part = lambda g: f"unnest(regexp_extract_all(coalesce(text, ''), '{lazy}', {g}))"
+    return f"""
+  SELECT doc_id, source, lang, '{kind}' AS kind, {rank} AS rank, stop - length(w) + length(g) AS start, stop, v
+  FROM (SELECT *, CAST(sum(length(w)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS stop
+        FROM (SELECT doc_id, source, lang, {part(1)} AS g, {part(0)} AS w, {part(group + 2)} AS v,
+                     generate_subscripts(regexp_extract_all(coalesce(text, ''), '{lazy}', 0), 1) AS i
+              FROM documents)) WHERE length(v) >= {least}"""
+
+
+SECRETS_SQL = ("WITH base AS (" + " UNION ALL ".join(
+    _matches_sql(k, r, p, g, n) for r, (k, p, g, n) in enumerate(KINDS)) + f"""),
+val AS (SELECT v, count(DISTINCT coalesce(source, '')) <= {MAX_OWNERS}
+               AND len(list_distinct(string_split(v, ''))) >= {MIN_DISTINCT} AS live FROM base GROUP BY v),
+bare AS (SELECT * FROM ({_matches_sql('live', len(KINDS), BARE, 0, 20)}) x
+         WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND v IN (SELECT v FROM val WHERE live)
+           AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.start < x.stop AND b.stop > x.start)),
+every AS (SELECT doc_id, kind, rank, start, stop, v, live FROM base JOIN val USING (v)
+          UNION ALL SELECT doc_id, kind, rank, start, stop, v, NULL FROM bare),
+per AS (
+  SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+         count(*) FILTER (WHERE rank = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base_spans,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+         count(*) FILTER (WHERE live) AS live, count(*) FILTER (WHERE NOT live) AS copied
+  FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(live, 0) AS live, coalesce(copied, 0) AS copied
+FROM documents d LEFT JOIN per USING (doc_id)
+""")
