@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, linededup, ownership, packing, records, toxicity
+from strata.llm import decontaminate, linededup, ownership, packing, records, toxicity, warc
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
-from strata.llm.sql import JACCARD_SQL, LINES_SQL, SECRETS_SQL
+from strata.llm.sql import JACCARD_SQL, LINES_SQL, SECRETS_SQL, WARC_SQL
 
 
 @register("op1_packing")
@@ -35,6 +35,15 @@ def op3_ngram_jaccard(spark, sf_dir):
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+@register("op4_warc", WARC_SQL)
+def op4_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    manifest, root = warc.write_archives(spark, pages)
+    back = warc.records(warc.read_chunks(spark, manifest, root, with_data=False))
+    return back.select(F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 @register("op5_line_dedup", LINES_SQL)
 def op5_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")

@@ -85,3 +85,19 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        coalesce(live, 0) AS live, coalesce(copied, 0) AS copied
 FROM documents d LEFT JOIN per USING (doc_id)
 """)
+
+# Base 32 of a hex digest: eight times five hex digits are four letters each.
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, upper(sha1(coalesce(html, ''))) AS x FROM pages),
+d AS (
+  SELECT page_id, strlen(h) AS payload_bytes, x,
+         array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((('0x' || substr(x, CAST(i // 4 * 5 + 1 AS BIGINT), 5))::BIGINT >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31 AS BIGINT) + 1, 1)), '')
+           AS payload_digest
+  FROM p),
+f AS (SELECT x, min(page_id) AS first FROM d GROUP BY x)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN d.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN d.page_id = f.first THEN NULL ELSE f.first END AS refers_to
+FROM d JOIN f USING (x)
+"""
