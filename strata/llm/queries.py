@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, linededup, ownership, packing, records, toxicity, warc
+from strata.llm import decontaminate, htmlgraph, linededup, ownership, packing, records, toxicity, warc
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
@@ -63,6 +63,13 @@ def op6_secret_ownership(spark, sf_dir):
                         ownership.joined(F.col("spans")).alias("spans"), "live", "copied")
 
 
+@register("op7_html_text")
+def op7_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    done = htmlgraph.extract_pages(spark, pages)
+    return done.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @register("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
