@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, htmlgraph, linededup, ownership, packing, records, toxicity, warc
+from strata.llm import decontaminate, htmlgraph, linededup, nndescent, ownership, packing, records, toxicity, warc
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
@@ -81,6 +81,12 @@ def op8_toxicity(spark, sf_dir):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@register("op9_nn_descent")
+def op9_nn_descent(spark, sf_dir):
+    found = nndescent.nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, top=5)
+    return found.withColumnRenamed("id", "vec_id").select("query_id", "rank", "vec_id", "score")
+
+
 @register("op10_decontamination")
 def op10_decontamination(spark, sf_dir):
     found = decontaminate.find_passages(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

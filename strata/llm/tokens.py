@@ -18,7 +18,7 @@ import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 # Distinct pieces kept per task process before the table starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 # Pieces encoded by one call: longer calls cost more per piece.
 JOINED = 128
 # Characters of a text split at once.
