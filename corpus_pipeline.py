@@ -46,16 +46,15 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard_groups(spark, docs, words=5, num=80, den=100)
-    # Ids that stand for another document of their group; an id of repeated rows goes only with all of them.
-    out = groups.groupBy("id").agg(F.min(F.col("component") == F.col("id")).alias("first"),
-                                   F.count(F.lit(1)).alias("rows"))
-    gone = out.filter(~F.col("first") | (F.col("rows") > 1)).withColumnRenamed("id", "__id")
-    marked = docs.join(gone, F.col("doc_id") == F.col("__id"), "left").filter("__id IS NULL OR first")
-    once = Window.partitionBy("__id").orderBy("text")
-    single = marked.filter("__id IS NULL").select(docs.columns)
-    repeated = (marked.filter("__id IS NOT NULL").withColumn("__n", F.row_number().over(once))
+    # Ids that stand for another document of their group, and ids of repeated rows: the only rows to look at again.
+    per_id = groups.filter("id IS NOT NULL").groupBy(F.col("id").alias("__id")).agg(
+        F.min(F.col("component") == F.col("id")).alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    seen = stored(spark, per_id.filter(~F.col("__first") | (F.col("__rows") > 1)), "pipeline-repeats")
+    kept = docs.join(seen.select("__id"), F.col("doc_id") == F.col("__id"), "left_anti")
+    repeated = (docs.join(seen.filter("__first"), F.col("doc_id") == F.col("__id"))
+                .withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy("text")))
                 .filter("__n = 1").select(docs.columns))
-    return single.unionByName(repeated)
+    return kept.unionByName(repeated) if seen.filter("__first").limit(1).count() else kept
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
