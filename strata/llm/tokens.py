@@ -25,7 +25,9 @@ JOINED = 128
 SEGMENT = 1 << 20
 # White space as the byte-level pattern understands it (fixed values).
 _WS = "\t-\r \x85\xa0  -     　"
-_PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+# Letters of one run up to a mark, white space or the end are a piece of their own: no pattern joins them to what follows.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PIECE = re.compile(f" ?[{_LETTER}]++(?=[.,;:!?&%$#*|{_WS}]|\\Z)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 _CUT = re.compile(f"(?<=[^{_WS}]) (?=[^{_WS}])")
 # Characters whose class differs between pattern engines: such texts are encoded whole.
 _ODD = re.compile("[\x1c-\x1f᠎​﻿]")
