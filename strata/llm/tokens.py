@@ -67,20 +67,21 @@ class Encoder:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype)
 
     def _learn(self, new: list[str]) -> None:
-        spaced = [w for w in new if w[0] == " " and len(w) > 1 and not w[1].isspace()]
+        spaced, single = [], []
+        for w in new:
+            (spaced if w[0] == " " and len(w) > 1 and w[1] not in _WS else single).append(w)
         for lo in range(0, len(spaced), JOINED):
             part = spaced[lo:lo + JOINED]
             ids = self._ids("".join(part))
-            cuts = np.flatnonzero(self._spaced[ids])    # only the first id of a piece holds its space
-            if len(cuts) != len(part):
-                for w in part:
-                    self._cache[w] = self._ids(w).tobytes()
-                continue
-            for w, x in zip(part, np.split(ids, cuts[1:])):
-                self._cache[w] = x.tobytes()
-        for w in new:
-            if w not in self._cache:
-                self._cache[w] = self._ids(w).tobytes()
+            cuts = (np.flatnonzero(self._spaced[ids]) * self.dtype.itemsize).tolist()
+            if len(cuts) == len(part):      # only the first id of a piece holds its space
+                raw = ids.tobytes()
+                for w, start, stop in zip(part, cuts, [*cuts[1:], len(raw)]):
+                    self._cache[w] = raw[start:stop]
+            else:
+                single += part
+        for w in single:
+            self._cache[w] = self._ids(w).tobytes()
 
     def _segments(self, text: str):
         at = 0
@@ -101,11 +102,10 @@ class Encoder:
         out = []
         for part in self._segments(text):
             pieces = _PIECE.findall(part)
-            new = set(pieces).difference(self._cache)
-            if new:
-                if len(self._cache) + len(new) > CACHE_PIECES:
-                    self._cache = {}
-                    new = set(pieces)
-                self._learn(list(new))
+            cache = self._cache
+            if new := [w for w in pieces if w not in cache]:
+                if len(cache) + len(new) > CACHE_PIECES:
+                    self._cache, new = {}, pieces
+                self._learn(list(dict.fromkeys(new)))
             out.append(b"".join(map(self._cache.__getitem__, pieces)))
         return np.frombuffer(b"".join(out), self.dtype)
