@@ -7,10 +7,12 @@ band the feature domain (64-bit hashes) is cut into n1 ranges and every range
 into n2 cells; a signature is the content of one subset of n2 - 1 cells of a
 range. With n1 > k / 2 some range holds at most one differing feature, so one
 of its subsets agrees: similar sets share a signature, whatever their other
-content. About one range in ten is spare, and each set leaves out its
-``light`` share of ranges with the fewest features (twice the share is
-spare, so one common range stays for any two similar sets): nearly empty
-ranges would agree by chance.
+content. More exactly, k differing features leave at least 2 n1 - k agreeing
+signatures (the first in a range spoils all but one of its subsets, the
+second the last). With s ranges more on either side, n1 = k / 2 + 1 + 2 s,
+1 + 4 s agree, so each of two sets may leave out the 2 s signatures that
+cover the fewest features, and one agreeing signature stays: (nearly) empty
+ones, which agree by chance, are never written. s is ``light`` of the ranges.
 
 Sets sharing a signature form a bucket. No pairs are listed within a bucket:
 every member is compared with the bucket's centre (the member with most
@@ -79,14 +81,11 @@ class Scheme:
                 continue        # only equal sets are similar, and those are one set here
             at = np.concatenate(([0], np.searchsorted(features, edges), [len(features)]))
             cell = (run[at[1:]] - run[at[:-1]]).reshape(n1, self.n2)
-            ranges = np.arange(n1)
-            if spare:
-                held = np.diff(at).reshape(n1, self.n2).sum(axis=1)
-                ranges = np.sort(np.argsort(held, kind="stable")[spare:])
-            whole = cell.sum(axis=1, dtype=np.uint64)[ranges]
-            for left_out in range(self.n2):
-                out.append(mix(mix((whole - cell[ranges, left_out]) + np.uint64(band))
-                               ^ (ranges.astype(np.uint64) * np.uint64(self.n2) + np.uint64(left_out))))
+            held = np.diff(at).reshape(n1, self.n2)
+            subset = (cell.sum(axis=1, dtype=np.uint64)[:, None] - cell).reshape(-1)
+            covered = (held.sum(axis=1)[:, None] - held).reshape(-1)
+            kept = np.argsort(covered, kind="stable")[2 * spare:]
+            out.append(mix(mix(subset[kept] + np.uint64(band)) ^ kept.astype(np.uint64)))
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -256,8 +255,10 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     reps = wanted.join(sets, "d").select("d", "id")
     texts = src.join(reps, "id").select("d", "text")
     # Rows that repeat an id may hold other texts: a set counts only if its digest is the one asked for.
-    feats = stored(spark, texts.mapInArrow(_sets_checked(words), "d bigint, features binary")
-                   .dropDuplicates(["d"]), "pe-features")
+    feats = texts.mapInArrow(_sets_checked(words), "d bigint, features binary")
+    if about.groupBy("id").count().filter("count > 1").limit(1).count():
+        feats = feats.dropDuplicates(["d"])
+    feats = stored(spark, feats, "pe-features")
     of_centre = feats.select(F.col("d").alias("centre"), F.col("features").alias("fc"))
     pairs = star.join(feats, "d").join(of_centre, "centre").select("centre", "d", "fc", "features")
     tested = stored(spark, pairs.mapInArrow(_verify(num, den), "centre bigint, d bigint, linked boolean"), "pe-tested")
