@@ -63,11 +63,11 @@ def cmd_report(args) -> int:
     if mart is None:
         print("nothing published yet")
         return 1
-    agg.events_by_day_class(mart).orderBy("event_date", "magnitude_class").show(1000, False)
+    _print(agg.events_by_day_class(mart).orderBy("event_date", "magnitude_class"))
     share = agg.share_of_total(mart)
-    agg.top_n_per_group(share, "event_date", [F.desc("events"), F.asc_nulls_last("net")], args.top) \
-        .orderBy("event_date", F.desc("events"), "net").show(1000, False)
-    agg.weighted_daily(mart).orderBy("event_date").show(1000, False)
+    _print(agg.top_n_per_group(share, "event_date", [F.desc("events"), F.asc_nulls_last("net")], args.top)
+           .orderBy("event_date", F.desc("events"), "net"))
+    _print(agg.weighted_daily(mart).orderBy("event_date"))
     return 0
 
 
@@ -76,32 +76,36 @@ def cmd_pageviews(args) -> int:
     spark = _session()
     csv = os.path.join(args.root, "staging_csv")
     pv.stage_dumps(spark, args.dumps, csv)
-    accepted, profile, split = pv.validate(pv.typed_pages(spark, csv))
-    print(profile.asDict())
-    split.show(100, False)
-    pq = os.path.join(args.root, "parquet")
-    pv.load_partitioned(spark, accepted, pq)
-    table = pv.load_snapshots(spark, pq, os.path.join(args.root, "table"))
-    live = table.read()
-    pv.namespace_totals(live).show(100, False)
-    pv.top_pages(live).show(10, False)
-    table.history().show(100, False)
+    hours = [int(h) for h in args.hours.split(",")] if args.hours else None
+    accepted, profile = pv.validate(pv.typed_pages(spark, csv), pv.page_rules(hours))
+    print(profile)
+    pages = pv.load_partitioned(spark, accepted, os.path.join(args.root, "parquet"), profile["outcomes"]["accepted"])
+    live = pv.load_hours(pages, os.path.join(args.root, "table"))
+    _print(pv.namespace_totals(live))
+    _print(pv.top_pages(live))
     if args.lookup:
         pairs = [p.split("=", 1) for p in args.lookup.split(",") if "=" in p]
         lookup = spark.createDataFrame(pairs, "namespace string, content_group string")
-        pv.content_groups(live, lookup).show(100, False)
-        pv.lookup_audit(live, lookup).show()
+        _print(pv.content_groups(live, lookup))
+        _print(pv.lookup_audit(live, lookup))
     return 0
 
 
+def _print(df) -> None:
+    """All rows of a report, fetched a partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="strata")
     sub = ap.add_subparsers(dest="cmd", required=True)
     e = sub.add_parser("elt")
     e.add_argument("--data", required=True)
     e.add_argument("--root", required=True)
-    e.add_argument("--start", default="2025-03-03")
-    e.add_argument("--end", default="2025-03-06")
+    e.add_argument("--start", required=True)
+    e.add_argument("--end", required=True)
     e.add_argument("--cases", default="")
     e.add_argument("--run-id", default="manual")
     r = sub.add_parser("report")
@@ -111,6 +115,7 @@ def main(argv=None) -> int:
     p.add_argument("--dumps", required=True)
     p.add_argument("--root", required=True)
     p.add_argument("--lookup", default="")
+    p.add_argument("--hours", default="", help="accepted hours, comma-separated; all by default")
     args = ap.parse_args(argv)
     return {"elt": cmd_elt, "report": cmd_report, "pageviews": cmd_pageviews}[args.cmd](args)
 

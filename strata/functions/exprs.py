@@ -89,10 +89,12 @@ def first_failing_rule(rules: Sequence[tuple[str, Column]]) -> Column:
 
 
 def row_text(cols: Sequence[str]) -> Column:
-    """Canonical text of a row: columns cast to string, NULL as ``\\N``,
-    joined by ``|``. Used for checksums that must not depend on order."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols]
-    return F.concat_ws("|", *parts)
+    """Canonical text of a row: each column as ``<length>:<text>``, NULL as
+    ``N``, so different rows never have one text. Used for checksums that must
+    not depend on order."""
+    text = lambda c: F.col(c).cast("string")
+    return F.concat(F.lit(""), *[F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("N"))
+                                 for c in cols])
 
 
 def row_digest(cols: Sequence[str]) -> Column:

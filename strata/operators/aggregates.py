@@ -21,19 +21,12 @@ from strata.functions import first_failing_rule, half_up_ratio, row_digest
 # --- reference track 1: class totals, quality profile, accepted split ------
 
 def class_totals(df: DataFrame, group: str, measure: str,
-                 pages: str = "pages", total: str = "total_views",
-                 bounded_groups: bool = False) -> DataFrame:
+                 pages: str = "pages", total: str = "total_views") -> DataFrame:
     """``group -> count(*), sum(measure)`` ordered by the sum, descending
-    (group name breaks ties so the order is total).
-
-    ``bounded_groups=True`` may only be used when the number of groups has a
-    proven small bound (a known-name list plus a default): the few result
-    rows are then sorted in one partition instead of a range-partitioned
-    global sort, which saves the sampling job of the range bounds."""
+    (group name breaks ties so the order is total)."""
     out = (df.groupBy(group)
            .agg(F.count(F.lit(1)).alias(pages), F.sum(measure).cast("long").alias(total)))
-    order = [F.desc(total), F.asc(group)]
-    return out.coalesce(1).sortWithinPartitions(*order) if bounded_groups else out.orderBy(*order)
+    return out.orderBy(F.desc(total), F.asc(group))
 
 
 def quality_profile(df: DataFrame, rules: Sequence[tuple[str, Column]],
@@ -62,6 +55,23 @@ def tag_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]],
     return df.withColumn(reason, first_failing_rule(safe))
 
 
+def profile_and_split(df: DataFrame, rules: Sequence[tuple[str, Column]], share_of: str | None = None) -> dict:
+    """The quality profile and the rows per outcome from one pass over ``df``:
+    ``{"rows", "<rule>": failures, "<rule>_share", "outcomes": {...}}``."""
+    tagged = tag_rejects(df, rules, "_outcome")
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for name, cond in rules:
+        aggs += [F.count_if(F.coalesce(cond, F.lit(True))).alias(name),
+                 F.count_if(F.col("_outcome") == name).alias(f"_first_{name}")]
+    row = tagged.agg(*aggs).first().asDict()
+    out = {k: v for k, v in row.items() if not k.startswith("_first_")}
+    rejected = {name: row[f"_first_{name}"] for name, _ in rules}
+    out["outcomes"] = {"accepted": row["rows"] - sum(rejected.values()), **rejected}
+    if share_of:
+        out[f"{share_of}_share"] = round(row[share_of] / row["rows"], 6) if row["rows"] else None
+    return out
+
+
 def split_summary(tagged: DataFrame, reason: str = "reject_reason") -> DataFrame:
     """Rows per outcome (``accepted`` or the rule name): the balance
     ``rows = accepted + rejected`` holds by construction."""
@@ -70,15 +80,13 @@ def split_summary(tagged: DataFrame, reason: str = "reject_reason") -> DataFrame
 
 
 def split_accepted(df: DataFrame, rules: Sequence[tuple[str, Column]]):
-    """``(accepted, rejected, summary)``; raises on empty input.
+    """``(accepted, rejected, summary)``, all lazy.
 
     Every row gets exactly one outcome (its first failing rule, or accepted),
     so ``rows = accepted + rejected`` holds by construction; the summary (one
     row per outcome, one aggregate over the tagged rows) reports the split."""
     tagged = tag_rejects(df, rules)
     summary = split_summary(tagged)
-    if sum(r["rows"] for r in summary.collect()) == 0:
-        raise ValueError("input is empty")
     accepted = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejected = tagged.filter(F.col("reject_reason").isNotNull())
     return accepted, rejected, summary
@@ -109,8 +117,7 @@ def daily_mart(fact: DataFrame, dim_network: DataFrame, dim_class: DataFrame) ->
                   F.max("magnitude").alias("_max_mag"),
                   F.sum("depth_km").alias("_s_dep"), F.count("depth_km").alias("_n_dep")))
     net = dim_network.select(F.col("network_key").alias("_nk"), "net", "network_name")
-    # the class dimension is a band seed (bounded, see dims.class_dim): broadcast
-    cls = F.broadcast(dim_class.select(F.col("class_key"), F.col("class_name").alias("magnitude_class")))
+    cls = dim_class.select(F.col("class_key"), F.col("class_name").alias("magnitude_class"))
     joined = (cells.join(net, cells["network_key"] == net["_nk"], "left")
               .join(cls, cells["mag_class_key"] == cls["class_key"], "left"))
     grouped = (joined.groupBy(*MART_GRAIN)
@@ -137,12 +144,11 @@ def share_of_total(mart: DataFrame, part: str = "event_date", item: str = "net",
                    measure: str = "events") -> DataFrame:
     """``round(100 * sum(x) / sum(sum(x)) over (partition by part), 1)``.
 
-    The partition totals come from a second partial aggregate joined back by
-    key instead of a window, so a dominant partition value is never funnelled
-    through one window task."""
+    The window runs over rows already reduced to one per (part, item), a NULL
+    ``part`` being a partition like any other."""
     per_item = mart.groupBy(part, item).agg(F.sum(measure).cast("long").alias(measure))
-    totals = per_item.groupBy(part).agg(F.sum(measure).cast("decimal(38,0)").alias("_total"))
-    j = per_item.join(totals, part, "inner").withColumn("_pct100", F.col(measure).cast("decimal(38,0)") * 100)
+    total = F.sum(F.col(measure).cast("decimal(28,0)")).over(Window.partitionBy(part)).cast("decimal(38,0)")
+    j = per_item.select("*", total.alias("_total"), (F.col(measure).cast("decimal(38,0)") * 100).alias("_pct100"))
     return j.select(part, item, measure, half_up_ratio("_pct100", "_total", 0, 1).alias("share_pct"))
 
 

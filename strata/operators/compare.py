@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.aggregates import table_checksum
-from strata.operators.joins import one_row
+from strata.functions import row_digest
 
 
 def _aligned(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -17,23 +16,36 @@ def _aligned(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     return a.select(*cols), b.select(*cols)
 
 
+def _counted(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of both tables with their numbers ``_na`` and ``_nb``: one
+    union and one aggregation answer every comparison."""
+    a, b = _aligned(a, b)
+    side = lambda df, na, nb: df.select("*", F.lit(na).cast("long").alias("_na"), F.lit(nb).cast("long").alias("_nb"))
+    return (side(a, 1, 0).unionByName(side(b, 0, 1)).groupBy(*a.columns)
+            .agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb")))
+
+
 def table_diff(a: DataFrame, b: DataFrame, multiset: bool = False) -> DataFrame:
     """``only_in_a``, ``only_in_b`` row counts (``EXCEPT``; with ``multiset``
     ``EXCEPT ALL``, which also sees differing multiplicities)."""
-    a, b = _aligned(a, b)
-    op = (lambda x, y: x.exceptAll(y)) if multiset else (lambda x, y: x.subtract(y))
-    return one_row(op(a, b).agg(F.count(F.lit(1)).alias("only_in_a")),
-                   op(b, a).agg(F.count(F.lit(1)).alias("only_in_b")))
+    more = lambda x, y: (F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0)) if multiset
+                         else F.count_if((F.col(x) > 0) & (F.col(y) == 0)))
+    return _counted(a, b).agg(more("_na", "_nb").cast("long").alias("only_in_a"),
+                              more("_nb", "_na").cast("long").alias("only_in_b"))
 
 
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:
     """One-row verdict: both set differences, row counts, checksums and
     ``identical`` (both differences empty, counts and checksums equal)."""
-    a, b = _aligned(a, b)
-    diff = table_diff(a, b)
-    ca = table_checksum(a).select(F.col("rows").alias("rows_a"), F.col("checksum").alias("checksum_a"))
-    cb = table_checksum(b).select(F.col("rows").alias("rows_b"), F.col("checksum").alias("checksum_b"))
-    out = one_row(diff, ca, cb)
+    rows = _counted(a, b).withColumn("_digest", row_digest(sorted(a.columns)))
+    only = lambda x, y: F.count_if((F.col(x) > 0) & (F.col(y) == 0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    digest = lambda n: F.coalesce(F.sum((F.col("_digest").cast("decimal(28,0)") * F.col(n).cast("decimal(9,0)"))
+                                        .cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    checksum = lambda n: F.concat_ws(":", total(n).cast("string"), digest(n).cast("string"))
+    out = rows.agg(only("_na", "_nb").alias("only_in_a"), only("_nb", "_na").alias("only_in_b"),
+                   total("_na").alias("rows_a"), checksum("_na").alias("checksum_a"),
+                   total("_nb").alias("rows_b"), checksum("_nb").alias("checksum_b"))
     return out.withColumn("identical", (F.col("only_in_a") == 0) & (F.col("only_in_b") == 0)
                           & (F.col("rows_a") == F.col("rows_b")) & (F.col("checksum_a") == F.col("checksum_b")))
 
@@ -41,9 +53,11 @@ def compare(a: DataFrame, b: DataFrame) -> DataFrame:
 def labelled_diff(a: DataFrame, b: DataFrame, label_a: str = "a", label_b: str = "b",
                   src: str = "src") -> DataFrame:
     """Rows of ``a`` not in ``b`` and vice versa (``EXCEPT ALL``), labelled."""
-    a, b = _aligned(a, b)
-    return (a.exceptAll(b).select(F.lit(label_a).alias(src), "*")
-            .unionByName(b.exceptAll(a).select(F.lit(label_b).alias(src), "*")))
+    cols = sorted(a.columns)
+    diff = _counted(a, b).filter("_na <> _nb")
+    extra = F.abs(F.col("_na") - F.col("_nb")).cast("int")
+    return diff.select(F.when(F.col("_na") > F.col("_nb"), label_a).otherwise(label_b).alias(src), *cols,
+                       F.explode(F.sequence(F.lit(1), extra)).alias("_copy")).drop("_copy")
 
 
 def snapshot(df: DataFrame, root: str, kind: str, name: str) -> str:

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from strata.functions import band_key
 
-# Upper bound on bands handled as an expression; a band table is a seed, so
-# anything larger is a modelling error rather than a scale problem.
-MAX_BANDS = 1000
+# Bands handled as one expression; more are joined.
+CASE_BANDS = 64
 
 
 def scd2_join(fact: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]],
@@ -39,7 +38,8 @@ def scd2_join(fact: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]],
     window days it covers and the join also matches the event's day, so an
     event is compared only with the versions valid on its day: linear even
     for histories that change many times per key, and a hot key is spread
-    over its days. Both strategies return the same rows."""
+    over its days; events on other days take the plain way. Both strategies
+    return the same rows."""
     if days is not None:
         return _scd2_join_by_day(fact, dim, keys, ts, valid_from, valid_to, how, days)
     cond = None
@@ -57,39 +57,54 @@ def _scd2_join_by_day(fact, dim, keys, ts, valid_from, valid_to, how, days):
     first_day = F.greatest(F.to_date(F.col(valid_from)), F.lit(start))
     # the last day a half-open [from, to) interval touches
     last_day = F.least(F.to_date(F.col(valid_to) - F.expr("INTERVAL 1 MICROSECOND")), F.lit(last))
-    d = (dim.withColumn("_scd2_day", F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY"))))
-         .filter(first_day <= last_day))
-    f = fact.withColumn("_scd2_fday", F.to_date(F.col(ts)))
+    d = (dim.filter(first_day <= last_day)
+         .withColumn("_scd2_day", F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY")))))
+    day = F.to_date(F.col(ts))
+    covered = F.coalesce(day.between(F.lit(start), F.lit(last)), F.lit(False))
+    f = fact.filter(covered).withColumn("_scd2_fday", day)
     cond = f["_scd2_fday"] == d["_scd2_day"]
     for fc, dc in keys:
         cond = cond & (f[fc] == d[dc])
     cond = cond & (f[ts] >= d[valid_from]) & (f[ts] < d[valid_to])
-    return f.join(d, cond, how).drop("_scd2_fday", "_scd2_day")
+    inside = f.join(d, cond, how).drop("_scd2_fday", "_scd2_day")
+    # Rows outside the days given meet every version of their key, as without ``days``.
+    return inside.unionByName(scd2_join(fact.filter(~covered), dim, keys, ts, valid_from, valid_to, how))
 
 
 def band_join(df: DataFrame, value: str, bands, out: str = "class_key") -> DataFrame:
-    """Left band join ``lo <= value < hi``.
+    """Left band join ``lo <= value < hi``; a value in several bands gives a
+    row for each.
 
     ``bands`` is a list of ``(key, lo, hi)`` or a DataFrame with columns
-    ``(key, lo, hi)`` in that order. Non-overlapping bands become one CASE
-    expression (no join at all); overlapping bands keep the reference's
-    multiplying semantics through a broadcast nested-loop join, which is only
-    allowed after the band count is checked against ``MAX_BANDS``."""
-    if isinstance(bands, DataFrame):
-        n = bands.count()
-        if n > MAX_BANDS:
-            raise ValueError(f"band table has {n} rows, more than {MAX_BANDS}")
-        rows = [tuple(r) for r in bands.collect()]
-        key_col, lo_col, hi_col = bands.columns[:3]
-    else:
-        rows = [tuple(b) for b in bands]
-        key_col, lo_col, hi_col = "key", "lo", "hi"
-    if not _overlapping(rows):
-        return df.withColumn(out, band_key(value, rows))
+    ``(key, lo, hi)`` in that order; keys keep their type (whole numbers of a
+    list are ``int``). Up to ``CASE_BANDS`` bands that do not overlap are one
+    CASE expression, no join at all. Any others are joined by key: the values'
+    range is cut into about as many cells as there are bands, every band is
+    put into the cells it touches, and a value meets the bands of its cell."""
     spark = df.sparkSession
-    bdf = spark.createDataFrame(rows, [f"_{key_col}", f"_{lo_col}", f"_{hi_col}"])
-    joined = df.join(F.broadcast(bdf), (df[value] >= bdf[f"_{lo_col}"]) & (df[value] < bdf[f"_{hi_col}"]), "left")
-    return joined.withColumnRenamed(f"_{key_col}", out).drop(f"_{lo_col}", f"_{hi_col}")
+    if not isinstance(bands, DataFrame):
+        rows = [tuple(b) for b in bands]
+        if len(rows) <= CASE_BANDS and not _overlapping(rows):
+            return df.withColumn(out, band_key(value, rows, _key_type([r[0] for r in rows])))
+        bands = spark.createDataFrame([(str(k), str(lo), str(hi)) for k, lo, hi in rows], "k string, lo string, hi string")
+        bands = bands.select(F.col("k").cast(_key_type([r[0] for r in rows])).alias("k"),
+                             *[F.col(c).cast("decimal(38,10)").alias(c) for c in ("lo", "hi")])
+    key, lo, hi = bands.columns[:3]
+    b = bands.select(F.col(key).alias("_bk"), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"))
+    n, least, most = b.agg(F.count(F.lit(1)), F.min("_lo").cast("double"), F.max("_hi").cast("double")).first()
+    if not n:
+        return df.withColumn(out, F.lit(None).cast(bands.schema[key].dataType))
+    width = max((most - least) / n, 1e-300)
+    cell = lambda c: F.greatest(F.lit(-1.0), F.least(F.floor((F.col(c).cast("double") - least) / width), F.lit(n + 1)))
+    # One cell more on either side: the cell of a bound may round either way.
+    b = b.withColumn("_cell", F.explode(F.sequence((cell("_lo") - 1).cast("long"), (cell("_hi") + 1).cast("long"))))
+    v = df.withColumn("_vcell", cell(value).cast("long"))
+    hit = (v["_vcell"] == b["_cell"]) & (v[value] >= b["_lo"]) & (v[value] < b["_hi"])
+    return v.join(b, hit, "left").withColumnRenamed("_bk", out).drop("_vcell", "_cell", "_lo", "_hi")
+
+
+def _key_type(keys) -> str:
+    return "int" if all(isinstance(k, int) for k in keys) else "string"
 
 
 def _overlapping(rows) -> bool:

@@ -14,16 +14,21 @@ would stay behind.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.functions import in_window
 from strata.operators.aggregates import table_checksum
+from strata.session import hadoop_path, path_exists
 
 VERSION_COL = "publish_version"
 LOG_SCHEMA = ("run_id string, start_date date, end_date date, rows_published long, "
-              "checksum string, version int, published_at timestamp")
+              "checksum string, version int, published_at timestamp, schema_json string")
+# Tasks that share a day of a publication.
+DAY_FILES = 4
 
 
 def publish_window(candidate: DataFrame, target: DataFrame | None, start, end,
@@ -70,69 +75,87 @@ class Publisher:
         return f"{self.root}/data"
 
     def _log_rows(self) -> list:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
-        except Exception:  # noqa: BLE001 - no log yet
+        """All log rows (one per publication). Only a missing log is an empty
+        one; a log that cannot be read raises."""
+        if not path_exists(self.spark, self.log_path):
             return []
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
 
-    def log(self, rows: list | None = None) -> DataFrame | None:
-        """The publication log as of now, pinned: one row per publication, read
-        once (bounded) and returned as an immutable DataFrame, so a later
-        publication cannot change a result computed from it."""
+    def log(self, rows: list | None = None) -> DataFrame:
+        """The publication log as of now, pinned: one row per publication, so
+        a later publication cannot change a result computed from it."""
         rows = self._log_rows() if rows is None else rows
-        return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else None
+        return self.spark.createDataFrame(rows, LOG_SCHEMA)
 
     def live_version(self) -> int | None:
-        rows = self._log_rows()
-        return max(r["version"] for r in rows) if rows else None
-
-    def _coverage(self, log: DataFrame) -> DataFrame:
-        """``(day, version)``: newest version covering each published day.
-        One row per calendar day of all windows (bounded by the calendar)."""
-        days = log.select("version", F.explode(F.sequence("start_date", F.date_sub("end_date", 1),
-                                                          F.expr("INTERVAL 1 DAY"))).alias("_day"))
-        return days.groupBy("_day").agg(F.max("version").alias("_v"))
+        return max((r["version"] for r in self._log_rows()), default=None)
+
+    @staticmethod
+    def _live_parts(rows: list) -> dict[int, list[tuple[dt.date, dt.date]]]:
+        """Half-open day ranges of each version that later windows left live."""
+        live: dict[int, list[tuple[dt.date, dt.date]]] = {}
+        for r in sorted(rows, key=lambda r: r["version"]):
+            lo, hi = r["start_date"], r["end_date"]
+            for v, parts in live.items():
+                live[v] = [p for s, e in parts for p in ((s, min(e, lo)), (max(s, hi), e)) if p[0] < p[1]]
+            live[r["version"]] = [(lo, hi)]
+        return {v: parts for v, parts in live.items() if parts}
 
     def live(self, rows: list | None = None) -> DataFrame | None:
-        log = self.log(rows)
-        if log is None:
-            return None
-        cov = F.broadcast(self._coverage(log))
-        try:
-            data = self.spark.read.option("basePath", self.data_path).parquet(self.data_path)
-        except Exception:  # noqa: BLE001 - only empty windows published so far: no data files
+        """The published table; None before the first publication. Versions and
+        days are plain predicates on partition columns, so only live folders
+        are listed and read."""
+        rows = self._log_rows() if rows is None else rows
+        if not rows:
             return None
-        joined = data.join(cov, (data[self.date_col] == cov["_day"]) & (data[VERSION_COL] == cov["_v"]),
-                           "left_semi")
-        return joined.drop(VERSION_COL)
+        schema = StructType.fromJson(json.loads(max(rows, key=lambda r: r["version"])["schema_json"]))
+        date = F.col(self.date_col)
+        keep = F.lit(False)
+        for v, parts in self._live_parts(rows).items():
+            days = F.lit(False)
+            for s, e in parts:
+                days = days | ((date >= F.lit(s)) & (date < F.lit(e)))
+            keep = keep | ((F.col(VERSION_COL) == v) & days)
+        full = StructType([*schema.fields, StructField(VERSION_COL, IntegerType())])
+        return (self.spark.read.schema(full).option("basePath", self.data_path).parquet(self.data_path)
+                .filter(keep).select(*schema.fieldNames()))
+
+    def _next_version(self, rows: list) -> int:
+        """One more than any version logged or left behind by a failed run."""
+        used = [r["version"] for r in rows]
+        fs, path = hadoop_path(self.spark, self.data_path)
+        if fs.exists(path):
+            used += [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(path)
+                     if f.getPath().getName().startswith(f"{VERSION_COL}=")]
+        return max(used, default=0) + 1
 
     def publish(self, candidate: DataFrame, start, end, run_id: str) -> dict:
         rows = self._log_rows()
-        live = self.live(rows)
-        schema = None if live is None else live.schema
-        if schema is not None:
-            want = {f.name: f.dataType for f in schema.fields}
-            got = {f.name: f.dataType for f in candidate.schema.fields}
-            if want != got:
-                raise SchemaDrift(f"candidate schema {got} differs from published {want}")
-            candidate = candidate.select(*[f.name for f in schema.fields])
-        version = max((r["version"] for r in rows), default=0) + 1
+        if rows:
+            want = StructType.fromJson(json.loads(max(rows, key=lambda r: r["version"])["schema_json"]))
+            types = lambda schema: {f.name: f.dataType for f in schema.fields}
+            if types(want) != types(candidate.schema):
+                raise SchemaDrift(f"candidate schema {types(candidate.schema)} differs from published {types(want)}")
+            candidate = candidate.select(*want.fieldNames())
+        version = self._next_version(rows)
         path = f"{self.data_path}/{VERSION_COL}={version}"
         inside = candidate.filter(in_window(self.date_col, start, end))
-        inside.write.mode("overwrite").partitionBy(self.date_col).parquet(path)
+        # A day's rows meet in a few tasks: files per day do not grow with the number of tasks.
+        (inside.repartition(F.col(self.date_col), F.pmod(F.xxhash64(*candidate.columns), F.lit(DAY_FILES)))
+         .write.mode("errorifexists").partitionBy(self.date_col).parquet(path))
         # Checksum of the rows as written (a compact re-read instead of
         # recomputing a lazy candidate); the explicit schema makes an empty
         # window read as an empty table.
         written = self.spark.read.schema(inside.schema).option("basePath", path).parquet(path)
         stats = table_checksum(written.select(*candidate.columns)).first()
         row = (run_id, dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end)),
-               int(stats["rows"]), stats["checksum"], version, dt.datetime.now(dt.timezone.utc))
+               int(stats["rows"]), stats["checksum"], version, dt.datetime.now(dt.timezone.utc),
+               candidate.schema.json())
         (self.spark.createDataFrame([row], LOG_SCHEMA)
          .coalesce(1).write.mode("append").parquet(self.log_path))
         return dict(zip(["run_id", "start_date", "end_date", "rows_published", "checksum",
                          "version", "published_at"], row))
 
     def last_publication(self, run_id: str) -> DataFrame:
-        """Latest log row of a run (by version)."""
-        log = self.log()
-        return log.filter(F.col("run_id") == run_id).orderBy(F.desc("version")).limit(1)
+        """Latest log row of a run (by version); empty for an unknown run."""
+        return self.log().filter(F.col("run_id") == run_id).orderBy(F.desc("version")).limit(1)

@@ -137,13 +137,16 @@ def summary_table(spark, tests: Sequence[DataTest], t: Tables, concurrency: int
 
 def store_failures(tests: Sequence[DataTest], t: Tables, audit_path: str,
                    failing: Sequence[str] | None = None) -> dict[str, str]:
-    """Write the failing rows of each (failing) test under ``audit_path/<test>``."""
+    """Write the failing rows of every test under ``audit_path/<test>``. Tests
+    known not to be ``failing`` get an empty table of the same columns without
+    being run again. Returns the paths of all tests."""
     written = {}
     for test in tests:
-        if failing is not None and test.name not in failing:
-            continue
         path = f"{audit_path.rstrip('/')}/{test.name}"
-        test.failing_rows(t).write.mode("overwrite").parquet(path)
+        rows = test.failing_rows(t)
+        if failing is not None and test.name not in failing:
+            rows = rows.sparkSession.createDataFrame([], rows.schema)
+        rows.write.mode("overwrite").parquet(path)
         written[test.name] = path
     return written
 

@@ -116,22 +116,33 @@ def version_chain(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     checkpoint_root(df.sparkSession)
     # The piece id is fixed by a reliable checkpoint: both uses below see the
     # same ids however the shuffle reads are coalesced.
-    ranged = (df.join(multi, list(keys), "inner")
+    ranged = (_same_keys(df, multi, keys)
               .repartitionByRange(n, *sort_cols)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
     w_local = Window.partitionBy("_pid", *keys).orderBy(*[F.asc_nulls_last(c) for c in order])
     local = (ranged.withColumn("_ln", F.row_number().over(w_local))
              .withColumn("_lag", F.lag(track).over(w_local)))
-    last = F.max_by(F.col(track), F.struct(*[F.col(c) for c in order]))
+    # The order of the sort (NULLs last), as one comparable value.
+    last = F.max_by(F.col(track), F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))]))
     edge = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), last.alias("_last"))
     w_key = Window.partitionBy(*keys).orderBy("_pid")
     edge = (edge.withColumn("_offset", F.coalesce(
                 F.sum("_cnt").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("_prev_last", F.lag("_last").over(w_key))
             .drop("_cnt", "_last"))
-    out = local.join(edge, ["_pid", *keys], "inner")
+    out = _same_keys(local, edge, ["_pid", *keys])
     return (out.withColumn("version_no", (F.col("_ln") + F.col("_offset")).cast("int"))
             .withColumn(f"prev_{track}", F.when(F.col("_ln") == 1, F.col("_prev_last"))
                         .otherwise(F.col("_lag")))
             .drop("_pid", "_ln", "_lag", "_offset", "_prev_last"))
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL equals NULL; keys come from ``left``."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])

@@ -37,7 +37,7 @@ def _fact_vs_staging(t):
 
 
 def _class_matches(t):
-    f, c = t["fact"], F.broadcast(t["dim_class"])
+    f, c = t["fact"], t["dim_class"]
     j = f.join(c, f["mag_class_key"] == c["class_key"], "inner")
     return j.filter((F.col("magnitude") < F.col("mag_min")) | (F.col("magnitude") >= F.col("mag_max"))) \
         .select("event_key", "event_id", "magnitude", "class_name", "mag_min", "mag_max")
@@ -133,12 +133,6 @@ def layer_writer(spark: SparkSession, root: str):
     return keep
 
 
-def materialize(spark: SparkSession, layers: Layers, root: str) -> Layers:
-    """Write already-built (lazy) layers; prefer ``build_layers(keep=layer_writer(...))``."""
-    keep = layer_writer(spark, root)
-    return Layers(**{name: keep(name, getattr(layers, name)) for name in LAYER_DIRS})
-
-
 def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, start, end,
             root: str, run_id: str, classes, fact_types, tests=None, publish: bool = True,
             rank_first: bool = False, dense_history: bool = False) -> dict:
@@ -155,7 +149,8 @@ def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, st
     t = test_tables(layers, fact_types)
     results = {r["test_name"]: r["failures"] for r in dq.summary_rows(tests, t)}
     failing = [k for k, v in results.items() if v]
-    audit = dq.store_failures(tests, t, f"{root.rstrip('/')}/dbt_test_audit", failing) if failing else {}
+    # Audit tables of all tests, so a clean run leaves no failures of an earlier one.
+    audit = dq.store_failures(tests, t, f"{root.rstrip('/')}/dbt_test_audit", failing)
     t2 = time.perf_counter()
     out = {"layers": layers, "tests": results, "failing": failing, "audit": audit, "published": None,
            "seconds": {"build": t1 - t0, "tests": t2 - t1, "publish": 0.0}}

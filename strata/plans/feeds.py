@@ -53,8 +53,6 @@ STATUSES = ("reviewed", "automatic")
 # Range test bounds for value and depth (inclusive).
 VALUE_RANGE = (0, 1000)
 DEPTH_RANGE = (0, 100)
-# Processing window covering the whole event table (half-open).
-WINDOW = ("2024-01-01", "2024-02-01")
 # Known leading words of part names (namespace classification), their
 # pattern, the default class, and a partial lookup of content groups.
 KNOWN_WORDS = ("blue", "cold", "hot", "red")
@@ -90,11 +88,17 @@ def events_typed(events: DataFrame, source_system: str = EVENTS_SOURCE,
         F.col("props").alias("place"),
         F.lit(slice_id).alias("_slice_id"),
         F.lit(slice_order).cast("int").alias("_slice_order"),
-        (F.col("event_id") + 1).cast("int").alias("_row_num"),
+        (F.col("event_id") + 1).cast("long").alias("_row_num"),
         F.lit(synthetic).alias("_is_synthetic"),
     )
 
 
+def event_bounds(events: DataFrame) -> tuple[str, str]:
+    """Half-open window of days that holds every event (one row is read back)."""
+    row = events.agg(F.min(F.to_date("ts")).alias("s"), F.date_add(F.max(F.to_date("ts")), 1).alias("e")).first()
+    return (row.s.isoformat(), row.e.isoformat()) if row.s else ("1970-01-01", "1970-01-01")
+
+
 def user_history(events: DataFrame, source_system: str = EVENTS_SOURCE) -> DataFrame:
     """SCD2 history per user from ``events`` (see module doc).
 

@@ -1,6 +1,6 @@
 """Page-view lakehouse plan: hourly dumps -> staging CSV -> typed, classified
-and validated table -> partitioned Parquet -> snapshot table loaded in two
-disjoint slices -> namespace totals, top pages and a lookup join."""
+and validated table -> partitioned Parquet -> table loaded in disjoint
+slices -> namespace totals, top pages and a lookup join."""
 
 from __future__ import annotations
 
@@ -13,11 +13,11 @@ from strata.functions import classify_prefix
 from strata.operators import aggregates as agg
 from strata.operators.joins import join_audit, lookup_join
 from strata.sources.pageviews import STAGING_SCHEMA, read_pageviews
-from strata.sources.snapshots import SnapshotTable
-from strata.sources.tables import assert_roundtrip, read_typed_csv, write_partitioned, write_staging_csv
+from strata.sources.tables import (RoundTripMismatch, assert_roundtrip, load_slices, read_typed_csv,
+                                   write_partitioned, write_staging_csv)
 
 # The namespace prefixes treated as real namespaces, the prefix
-# pattern, the default class, the accepted domain and hours, and the content
+# pattern, the default class, the accepted domain, and the content
 # group of unmatched rows.
 KNOWN_NAMESPACES = (
     "Media", "Special", "Talk", "User", "User_talk", "Wikipedia", "Wikipedia_talk",
@@ -28,7 +28,6 @@ KNOWN_NAMESPACES = (
 NAMESPACE_PATTERN = r"^([A-Za-z_]+):"
 ARTICLE = "(article)"
 DOMAIN = "en"
-HOURS = (1, 2)
 UNMATCHED = "Не сопоставлен"
 
 
@@ -36,8 +35,10 @@ def with_namespace(df: DataFrame, title: str = "page_title") -> DataFrame:
     return df.withColumn("namespace", classify_prefix(title, NAMESPACE_PATTERN, KNOWN_NAMESPACES, ARTICLE))
 
 
-def page_rules(hours: Sequence[int] = HOURS, domain: str = DOMAIN) -> list[tuple[str, Column]]:
-    """Validation rules as null-safe failure conditions, in priority order."""
+def page_rules(hours: Sequence[int] | None = None, domain: str = DOMAIN) -> list[tuple[str, Column]]:
+    """Validation rules as null-safe failure conditions, in priority order;
+    ``hours``: accepted hours of the day, all by default."""
+    hours = range(24) if hours is None else hours
     title, views = F.col("page_title"), F.col("count_views")
     return [
         ("null_page_title", title.isNull() | (F.trim(title) == "")),
@@ -60,37 +61,35 @@ def typed_pages(spark: SparkSession, staging_csv: str) -> DataFrame:
 
 
 def validate(df: DataFrame, rules=None):
-    """``(accepted, profile_row, split_rows)``: one-pass profile, first-failing
-    rule per row, balance ``rows = accepted + rejected`` enforced."""
+    """``(accepted rows, profile)``: profile and outcome counts come from one
+    pass; the accepted rows are lazy."""
     rules = rules or page_rules()
-    profile = agg.quality_profile(df, rules, share_of="null_page_title").first()
+    profile = agg.profile_and_split(df, rules, share_of="null_page_title")
     if profile["rows"] == 0:
         raise ValueError("staging input is empty")
-    accepted, _rejected, summary = agg.split_accepted(df, rules)
-    return accepted, profile, summary
+    return agg.tag_rejects(df, rules).filter("reject_reason IS NULL").drop("reject_reason"), profile
 
 
-def load_partitioned(spark: SparkSession, accepted: DataFrame, path: str) -> DataFrame:
+def load_partitioned(spark: SparkSession, accepted: DataFrame, path: str, expected: int) -> DataFrame:
+    """Accepted rows written once; read back they must be ``expected`` rows of
+    the same columns."""
     write_partitioned(accepted, path, "event_hour")
     back = spark.read.parquet(path)
-    assert_roundtrip(accepted, back)
+    assert_roundtrip(accepted, back, count=False)
+    if (n := back.count()) != expected:
+        raise RoundTripMismatch(f"{n} rows written, {expected} accepted")
     return back
 
 
-def load_snapshots(spark: SparkSession, parquet_path: str, table_root: str,
-                   hours: Sequence[int] = HOURS) -> SnapshotTable:
-    """CTAS with the first hour, then INSERT of each further hour."""
-    table = SnapshotTable(spark, table_root, ["event_hour"])
-    src = spark.read.parquet(parquet_path)
-    table.replace(src.filter(F.col("event_hour") == hours[0]))
-    for h in hours[1:]:
-        table.append(src.filter(F.col("event_hour") == h))
-    return table
+def load_hours(pages: DataFrame, table: str) -> DataFrame:
+    """Replace the table by the first hour and append each further hour (at
+    most 24), then check its rows against ``pages``."""
+    hours = sorted(r[0] for r in pages.select("event_hour").distinct().collect())
+    return load_slices(pages, table, "event_hour", [F.col("event_hour") == h for h in hours])
 
 
 def namespace_totals(df: DataFrame) -> DataFrame:
-    # bounded: one group per known namespace plus the article default
-    return agg.class_totals(df, "namespace", "count_views", bounded_groups=True)
+    return agg.class_totals(df, "namespace", "count_views")
 
 
 def top_pages(df: DataFrame, n: int = 10) -> DataFrame:
@@ -100,8 +99,7 @@ def top_pages(df: DataFrame, n: int = 10) -> DataFrame:
 
 def content_groups(df: DataFrame, lookup: DataFrame, default: str = UNMATCHED) -> DataFrame:
     j = lookup_join(df, lookup, "namespace", "content_group", default)
-    # bounded: one group per lookup value (a literal table) plus the default
-    return agg.class_totals(j, "content_group", "count_views", bounded_groups=True)
+    return agg.class_totals(j, "content_group", "count_views")
 
 
 def lookup_audit(df: DataFrame, lookup: DataFrame) -> DataFrame:

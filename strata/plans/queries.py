@@ -32,9 +32,12 @@ def register(name: str, sql: str | None):
 
 # --- shared builders -----------------------------------------------------------
 
-def events_layers(spark: SparkSession, sf_dir: str, start: str = fd.WINDOW[0],
-                  end: str = fd.WINDOW[1]) -> Layers:
+def events_layers(spark: SparkSession, sf_dir: str, start: str | None = None,
+                  end: str | None = None) -> Layers:
+    """Layers of ``[start, end)``, or of all days of ``events``."""
     events = fd.read_table(spark, sf_dir, "events")
+    if start is None:
+        start, end = fd.event_bounds(events)
     typed = fd.events_typed(events)
     history = fd.user_history(events)
     return build_layers(spark, typed, history, start, end, classes=fd.VALUE_CLASSES,

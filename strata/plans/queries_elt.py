@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions import band_key, half_up_ratio, in_window
 from strata.operators import aggregates as agg
 from strata.operators import quality as dq
 from strata.operators.dims import calendar_from_bounds
@@ -31,8 +30,9 @@ LI_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedpri
             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def case_layers(spark, sf_dir, name, start=fd.WINDOW[0], end=fd.WINDOW[1], keep=None):
+def case_layers(spark, sf_dir, name, keep=None):
     events = fd.read_table(spark, sf_dir, "events")
+    start, end = fd.event_bounds(events)
     typed, hist = sc.make_case(events, name)
     return build_layers(spark, typed, hist, start, end, classes=fd.VALUE_CLASSES, fact_types=fd.FACT_TYPES,
                         keep=keep or checkpoint_dims, parallel=keep is not None)
@@ -67,12 +67,12 @@ def q_latest_version(spark, sf_dir):
 
 
 @register("version_chain", f"""
-WITH c AS (SELECT l_orderkey, l_linenumber, count(*) AS n_versions FROM lineitem
-           GROUP BY 1, 2 HAVING count(*) >= 2)
-SELECT l.l_orderkey, l.l_linenumber, CAST(row_number() OVER w AS INTEGER) AS version_no, c.n_versions,
-       l.l_shipdate, lag(l.l_shipdate) OVER w AS prev_l_shipdate, l.l_partkey, l.l_quantity
-FROM lineitem l JOIN c USING (l_orderkey, l_linenumber)
-WINDOW w AS (PARTITION BY l.l_orderkey, l.l_linenumber ORDER BY {li_order_asc})""")
+SELECT * FROM (
+  SELECT l_orderkey, l_linenumber, CAST(row_number() OVER w AS INTEGER) AS version_no,
+         count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n_versions,
+         l_shipdate, lag(l_shipdate) OVER w AS prev_l_shipdate, l_partkey, l_quantity
+  FROM lineitem WINDOW w AS (PARTITION BY l_orderkey, l_linenumber ORDER BY {li_order_asc})) v
+WHERE n_versions >= 2""")
 def q_version_chain(spark, sf_dir):
     li = fd.read_table(spark, sf_dir, "lineitem")
     return (version_chain(li, LI_KEYS, LI_ORDER, "l_shipdate")
@@ -173,8 +173,7 @@ def q_layer_counts(spark, sf_dir):
   SELECT CAST(ts AS DATE) AS event_date,
          CASE {' '.join(f"WHEN CAST(value AS DECIMAL(18,6)) >= {lo} AND CAST(value AS DECIMAL(18,6)) < {hi} THEN {o.q(n)}" for _k, n, lo, hi in fd.VALUE_CLASSES)} END AS magnitude_class,
          CAST(value AS DECIMAL(18,6)) AS mag
-  FROM events WHERE event_type IN ({o.in_list(fd.FACT_TYPES)})
-    AND {o.window_pred('CAST(ts AS DATE)', *fd.WINDOW)}),
+  FROM events WHERE event_type IN ({o.in_list(fd.FACT_TYPES)})),
 s AS (SELECT event_date, magnitude_class, count(*) AS src_events,
              {o.avg_round('mag', 2)} AS src_avg, max(mag) AS src_max FROM src GROUP BY 1, 2),
 m AS (SELECT event_date, magnitude_class, CAST(sum(events) AS BIGINT) AS mart_events,
@@ -187,27 +186,31 @@ SELECT coalesce(s.event_date, m.event_date) AS event_date,
                 AND s.src_max = m.mart_max, FALSE) AS ok
 FROM s FULL JOIN m ON s.event_date = m.event_date AND s.magnitude_class IS NOT DISTINCT FROM m.magnitude_class""")
 def q_control_check(spark, sf_dir):
-    """Recount per day x class straight from ``events`` (no shared code with
-    the mart build) and compare with the mart: counts and maxima must be
-    equal, averages within 0.01; a cell missing on either side fails."""
+    """Recount per day x class straight from ``events`` and compare with the
+    mart: counts and maxima must be equal, averages within 0.01; a cell missing
+    on either side fails. The recount shares no code or constants with the
+    mart build: the class is the number of lower bounds reached, averages are
+    plain decimal quotients."""
     ev = fd.read_table(spark, sf_dir, "events")
     mag = F.col("value").cast("decimal(18,6)")
-    names = [(n, lo, hi) for _k, n, lo, hi in fd.VALUE_CLASSES]
-    src = (ev.filter(F.col("event_type").isin(list(fd.FACT_TYPES)) & in_window(F.to_date("ts"), *fd.WINDOW))
-           .select(F.to_date("ts").alias("event_date"), band_key(mag, names, "string").alias("magnitude_class"),
-                   mag.alias("mag")))
+    lows = F.array(*[F.lit(x) for x in (0, 1, 10, 50, 100, 200, 400)])
+    names = F.array(*[F.lit(x) for x in "micro minor light moderate strong major great".split()])
+    reached = F.size(F.filter(lows, lambda low: low <= mag))
+    src = (ev.filter("event_type IN ('purchase', 'click', 'view')")
+           .select(F.to_date("ts").alias("event_date"), mag.alias("mag"),
+                   F.when(mag < 1000, F.get(names, reached - 1)).alias("magnitude_class")))
+    quotient = lambda total, n: F.round(F.col(total).cast("decimal(28,8)") / F.col(n), 2).cast("decimal(18,2)")
     s = (src.groupBy("event_date", "magnitude_class")
          .agg(F.count(F.lit(1)).alias("src_events"), F.sum("mag").alias("_s"), F.count("mag").alias("_n"),
               F.max("mag").alias("src_max"))
-         .select("event_date", "magnitude_class", "src_events", half_up_ratio("_s", "_n", 6, 2).alias("src_avg"),
-                 "src_max"))
+         .select("event_date", "magnitude_class", "src_events", quotient("_s", "_n").alias("src_avg"), "src_max"))
     mart = events_layers(spark, sf_dir).mart
     m = (mart.groupBy("event_date", "magnitude_class")
          .agg(F.sum("events").cast("long").alias("mart_events"),
               F.sum(F.col("avg_magnitude") * F.col("events")).alias("_w"),
               F.max("max_magnitude").alias("mart_max"))
          .select(F.col("event_date").alias("_m_date"), F.col("magnitude_class").alias("_m_class"),
-                 "mart_events", half_up_ratio("_w", "mart_events", 3, 2).alias("mart_avg"), "mart_max"))
+                 "mart_events", quotient("_w", "mart_events").alias("mart_avg"), "mart_max"))
     j = s.join(m, (s["event_date"] == m["_m_date"]) & s["magnitude_class"].eqNullSafe(m["_m_class"]), "full")
     ok = F.coalesce((F.col("src_events") == F.col("mart_events"))
                     & (F.abs(F.col("src_avg") - F.col("mart_avg")) <= F.lit(0.01).cast("decimal(3,2)"))
@@ -267,28 +270,32 @@ def q_key_counts(spark, sf_dir):
 
 
 @register("dq_range", o.case_ctes("corrupt") + f"""SELECT event_key, event_id, magnitude, depth_km FROM fact
-WHERE magnitude IS NULL OR magnitude NOT BETWEEN {fd.VALUE_RANGE[0]} AND {fd.VALUE_RANGE[1]}
-   OR depth_km IS NULL OR depth_km NOT BETWEEN {fd.DEPTH_RANGE[0]} AND {fd.DEPTH_RANGE[1]}""")
+WHERE NOT coalesce(greatest({fd.VALUE_RANGE[0]} - magnitude, magnitude - {fd.VALUE_RANGE[1]}) <= 0, FALSE)
+   OR NOT coalesce(greatest({fd.DEPTH_RANGE[0]} - depth_km, depth_km - {fd.DEPTH_RANGE[1]}) <= 0, FALSE)""")
 def q_dq_range(spark, sf_dir):
     layers = case_layers(spark, sf_dir, "corrupt")
     return _in_range(fd.VALUE_RANGE, fd.DEPTH_RANGE)({"fact": layers.fact})
 
 
-@register("dq_overlaps", o.case_ctes("overlap") + """SELECT a.source_system, a.net, a.network_key AS version_a,
-  b.network_key AS version_b, a.valid_from AS a_from, a.valid_to AS a_to, b.valid_from AS b_from, b.valid_to AS b_to
-FROM dim_network a JOIN dim_network b ON a.source_system = b.source_system AND a.net = b.net
-  AND a.network_key < b.network_key AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to""")
+@register("dq_overlaps", o.case_ctes("overlap") + """,
+hist_lists AS (
+  SELECT source_system, net, list({'k': network_key, 's': valid_from, 't': valid_to}) AS vs
+  FROM dim_network GROUP BY ALL),
+one AS (SELECT source_system, net, vs, unnest(vs) AS x FROM hist_lists),
+two AS (SELECT source_system, net, x, unnest(vs) AS y FROM one)
+SELECT source_system, net, x.k AS version_a, y.k AS version_b, x.s AS a_from, x.t AS a_to, y.s AS b_from, y.t AS b_to
+FROM two WHERE x.k < y.k AND greatest(x.s, y.s) < least(x.t, y.t)""".replace("\n,", ",", 1))
 def q_dq_overlaps(spark, sf_dir):
     from strata.operators.joins import find_overlaps
     return find_overlaps(case_layers(spark, sf_dir, "overlap").dim_network, ["source_system", "net"], "network_key")
 
 
-@register("dq_ambiguous", o.case_ctes("overlap") + f"""SELECT e.event_key, e.event_id, e.source_system, e.net,
-  count(*) AS matching_versions
-FROM latest e JOIN dim_network n ON n.source_system = e.source_system AND n.net = e.net
-  AND e.event_ts >= n.valid_from AND e.event_ts < n.valid_to
-WHERE e.event_type IN ({o.in_list(fd.FACT_TYPES)})
-GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""")
+@register("dq_ambiguous", o.case_ctes("overlap") + f"""SELECT * FROM (
+  SELECT event_key, event_id, source_system, net,
+         (SELECT count(*) FROM dim_network d WHERE d.net = v.net AND d.source_system = v.source_system
+            AND v.event_ts BETWEEN d.valid_from AND d.valid_to - INTERVAL 1 MICROSECOND) AS matching_versions
+  FROM latest v WHERE event_type IN ({o.in_list(fd.FACT_TYPES)})) x
+WHERE matching_versions > 1""")
 def q_dq_ambiguous(spark, sf_dir):
     layers = case_layers(spark, sf_dir, "overlap")
     return _one_version({"latest": layers.latest, "dim_network": layers.dim_network,

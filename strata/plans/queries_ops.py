@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions import classify_prefix, half_up_ratio
+from strata.functions import classify_prefix
 from strata.operators import aggregates as agg
 from strata.operators.compare import compare, labelled_diff
 from strata.operators.publish import Publisher
@@ -16,9 +16,7 @@ from strata.plans import oracle as o
 from strata.plans.queries import events_layers, register
 from strata.plans.queries_elt import case_layers
 from strata.session import shared_dir
-from strata.sources.files import file_inventory, footprint
-from strata.sources.snapshots import SnapshotTable, new_snapshots
-from strata.sources.tables import assert_roundtrip, write_partitioned
+from strata.sources.tables import assert_roundtrip, load_slices, write_partitioned
 
 # --- document quality profile (page-view validation rules) ------------------------------
 
@@ -44,9 +42,7 @@ DOC_RULES_SQL = [
             "AS blank_text_share FROM documents")
 def q_quality_profile(spark, sf_dir):
     docs = fd.read_table(spark, sf_dir, "documents").select("text", "n_chars", "lang")
-    prof = agg.quality_profile(docs, doc_rules())
-    return prof.withColumn("_b", F.col("blank_text").cast("decimal(38,0)")) \
-        .withColumn("blank_text_share", half_up_ratio("_b", "rows", 0, 6)).drop("_b")
+    return agg.quality_profile(docs, doc_rules(), share_of="blank_text")
 
 
 @register("accepted_split", "SELECT CASE "
@@ -57,6 +53,14 @@ def q_accepted_split(spark, sf_dir):
     return agg.split_summary(agg.tag_rejects(docs, doc_rules()))
 
 
+@register("accepted_rows", "SELECT doc_id, lang, n_chars FROM documents WHERE NOT ("
+          + " OR ".join(f"coalesce({c}, TRUE)" for _n, c in DOC_RULES_SQL) + ")")
+def q_accepted_rows(spark, sf_dir):
+    docs = fd.read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", "lang")
+    accepted, _rejected, _summary = agg.split_accepted(docs, doc_rules())
+    return accepted.select("doc_id", "lang", "n_chars")
+
+
 # --- publication --------------------------------------------------------------------------
 
 PUB_WINDOW = ("2024-01-10", "2024-01-20")
@@ -68,7 +72,8 @@ def _published(spark, sf_dir):
     """Publish the baseline mart for the whole window, then the mart of the
     late-correction run for a sub-window; returns the publisher."""
     pub = Publisher(spark, shared_dir(spark, "published-mart"))
-    pub.publish(events_layers(spark, sf_dir).mart, *fd.WINDOW, run_id="run-baseline")
+    bounds = fd.event_bounds(fd.read_table(spark, sf_dir, "events"))
+    pub.publish(events_layers(spark, sf_dir).mart, *bounds, run_id="run-baseline")
     pub.publish(case_layers(spark, sf_dir, "late").mart, *PUB_WINDOW, run_id="run-late")
     return pub
 
@@ -84,7 +89,7 @@ SELECT * FROM {_mart_sql('late')} b WHERE {o.window_pred('event_date', *PUB_WIND
 
 
 def checksum_sql(table: str, cols) -> str:
-    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols)
+    text = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')" for c in cols)
     return (f"SELECT count(*) AS rows, CAST(count(*) AS VARCHAR) || ':' || "
             f"CAST(coalesce(sum(('0x' || substr(md5({text}), 1, 15))::BIGINT), 0) AS VARCHAR) AS checksum "
             f"FROM {table}")
@@ -96,55 +101,37 @@ def q_publish_window(spark, sf_dir):
 
 
 @register("publication_log", f"""
-SELECT 'run-baseline' AS run_id, DATE {o.q(fd.WINDOW[0])} AS start_date, DATE {o.q(fd.WINDOW[1])} AS end_date,
+SELECT 'run-baseline' AS run_id, {o.FIRST_DAY} AS start_date, {o.END_DAY} AS end_date,
        rows AS rows_published, checksum, 1 AS version
-FROM ({checksum_sql(f"(SELECT * FROM {_mart_sql('baseline')} m WHERE {o.window_pred('event_date', *fd.WINDOW)}) x", MART_COLS)}) c1
+FROM ({checksum_sql(f"(SELECT * FROM {_mart_sql('baseline')}) x", MART_COLS)}) c1
 UNION ALL
 SELECT 'run-late', DATE {o.q(PUB_WINDOW[0])}, DATE {o.q(PUB_WINDOW[1])}, rows, checksum, 2
 FROM ({checksum_sql(f"(SELECT * FROM ({PUBLISHED_SQL}) p WHERE {o.window_pred('event_date', *PUB_WINDOW)}) y", MART_COLS)}) c2""")
 def q_publication_log(spark, sf_dir):
-    return _published(spark, sf_dir).log().drop("published_at")
+    return _published(spark, sf_dir).log().drop("published_at", "schema_json")
+
 
+@register("publication_last", f"""
+SELECT 'run-late' AS run_id, DATE {o.q(PUB_WINDOW[0])} AS start_date, DATE {o.q(PUB_WINDOW[1])} AS end_date,
+       rows AS rows_published, checksum, 2 AS version
+FROM ({checksum_sql(f"(SELECT * FROM {_mart_sql('late')} p WHERE {o.window_pred('event_date', *PUB_WINDOW)}) y", MART_COLS)}) c""")
+def q_publication_last(spark, sf_dir):
+    return _published(spark, sf_dir).last_publication("run-late").drop("published_at", "schema_json")
 
-# --- snapshot table: replace with the first slice, append the second ---------------------
+
+# --- a table replaced by its first slice, further slices appended --------------------------
 
 SPLIT_DAY = "2024-01-16"
 
 
-def _snapshot_table(spark, sf_dir):
+@register("sliced_load", """SELECT CAST(ts AS DATE) AS event_date, count(*) AS rows FROM events GROUP BY 1""")
+def q_sliced_load(spark, sf_dir):
+    """Versions loaded as two disjoint slices; the load itself fails unless
+    the final table holds as many rows as were accepted."""
     versions = events_layers(spark, sf_dir).versions
-    table = SnapshotTable(spark, shared_dir(spark, "snapshot-events"), ["event_date"])
-    before = table.snapshots()
-    table.replace(versions.filter(F.col("event_date") < F.lit(SPLIT_DAY).cast("date")))
-    mid = table.snapshots()
-    table.append(versions.filter(F.col("event_date") >= F.lit(SPLIT_DAY).cast("date")))
-    return table, before, mid
-
-
-@register("snapshot_history", f"""
-SELECT CAST(1 AS BIGINT) AS snapshot_id, 'overwrite' AS operation,
-       count(*) FILTER (WHERE CAST(ts AS DATE) < DATE {o.q(SPLIT_DAY)}) AS added_records,
-       count(*) FILTER (WHERE CAST(ts AS DATE) < DATE {o.q(SPLIT_DAY)}) AS total_records FROM events
-UNION ALL
-SELECT CAST(2 AS BIGINT), 'append', count(*) FILTER (WHERE CAST(ts AS DATE) >= DATE {o.q(SPLIT_DAY)}),
-       count(*) FROM events""")
-def q_snapshot_history(spark, sf_dir):
-    table, _, _ = _snapshot_table(spark, sf_dir)
-    live = table.read().count()
-    hist = table.history()
-    last = hist.agg(F.max("total_records")).first()[0]
-    if live != last:
-        raise AssertionError(f"live rows {live} != logged total {last}")
-    return hist.drop("committed_at")
-
-
-@register("new_snapshots", f"""
-SELECT CAST(2 AS BIGINT) AS snapshot_id,
-       count(*) FILTER (WHERE CAST(ts AS DATE) >= DATE {o.q(SPLIT_DAY)}) AS added_records FROM events""")
-def q_new_snapshots(spark, sf_dir):
-    table, _, mid = _snapshot_table(spark, sf_dir)
-    after = table.snapshots()
-    return new_snapshots(mid, after).join(after.select("snapshot_id", "added_records"), "snapshot_id")
+    split = F.col("event_date") < F.lit(SPLIT_DAY).cast("date")
+    table = load_slices(versions, shared_dir(spark, "sliced-events") + "/t", "event_date", [split, ~split])
+    return table.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # --- comparing two runs ---------------------------------------------------------------------
@@ -206,7 +193,7 @@ def classified_pages(spark, sf_dir):
 def _namespace_totals(df):
     """The compared query: pages and views per namespace, by views (at most
     one group per known word plus the default class)."""
-    return agg.class_totals(df, "namespace", "count_views", bounded_groups=True)
+    return agg.class_totals(df, "namespace", "count_views")
 
 
 @register("format_compare", f"""
@@ -229,17 +216,5 @@ def q_partitioned_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "versions-by-date")
     write_partitioned(versions, path, "event_date")
     back = spark.read.parquet(path)
-    assert_roundtrip(versions, back, count=False)
+    assert_roundtrip(versions, back)
     return back.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
-
-
-# --- landed files (no SQL oracle: file metadata) --------------------------------------------
-
-@register("landed_inventory", None)
-def q_landed_inventory(spark, sf_dir):
-    return file_inventory(spark, sf_dir, "*.parquet").select("file_name", "length")
-
-
-@register("storage_footprint", None)
-def q_storage_footprint(spark, sf_dir):
-    return footprint(spark, sf_dir, "*.parquet")

@@ -40,6 +40,17 @@ def late_delta(events: DataFrame) -> DataFrame:
             .withColumn("updated_ts", F.lit(LATE_UPDATED).cast(ts_type)))
 
 
+def moved_delta(events: DataFrame) -> DataFrame:
+    """Corrections that move every ``click`` event three days on, as far as
+    the last day of ``events`` allows (typed, slice order 1)."""
+    ts_type = events.schema["ts"].dataType
+    last = F.lit(events.agg(F.max(F.to_date("ts"))).first()[0])
+    later = F.when(F.date_add(F.to_date("ts"), 3) <= last, F.col("ts") + F.expr("INTERVAL 3 DAYS")).otherwise(F.col("ts"))
+    moved = events.filter(F.col("event_type") == "click").withColumn("ts", later.cast(ts_type))
+    return (fd.events_typed(moved, slice_id="moved", slice_order=1, synthetic=True)
+            .withColumn("updated_ts", F.lit(LATE_UPDATED).cast(ts_type)))
+
+
 def make_case(events: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """``(typed_events, network_history)`` for the baseline plus one delta."""
     base = fd.events_typed(events)

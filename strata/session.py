@@ -8,7 +8,7 @@ turn out small, coalescing of tiny partitions, splitting of skewed ones).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -54,25 +54,39 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Read from the session; only when it is unset (local runs, tests) a
-    private folder is created and registered, so cluster jobs always write to
-    the shared file system the operator configured.
+    Read from the session. Where it is unset a private folder is used in
+    local mode only; on a cluster executors could not see it, so that raises.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 
 
 def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
+    """A sub-folder of the shared checkpoint folder for written tables,
+    removed when the driver's JVM ends."""
     root = checkpoint_root(spark)
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     path = root.rstrip("/") + "/strata/" + leaf
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    fs, hpath = hadoop_path(spark, path)
+    fs.mkdirs(hpath)
+    fs.deleteOnExit(hpath)
     return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a folder wherever Spark can reach it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = hadoop_path(spark, path)
+    return fs.exists(hpath)

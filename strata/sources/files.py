@@ -31,12 +31,3 @@ def footprint(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     inv = file_inventory(spark, path, glob)
     return inv.agg(F.count(F.lit(1)).alias("files"), F.sum("length").cast("long").alias("bytes")) \
         .withColumn("mib", F.round(F.col("bytes") / F.lit(1024 * 1024), 2))
-
-
-def size_ratio(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``bytes_a / bytes_b`` of two footprints (e.g. CSV over Parquet)."""
-    x = a.select(F.col("bytes").alias("bytes_a"))
-    y = b.select(F.col("bytes").alias("bytes_b"))
-    from strata.operators.joins import one_row
-    j = one_row(x, y)
-    return j.withColumn("ratio", F.round(F.col("bytes_a") / F.col("bytes_b"), 2))

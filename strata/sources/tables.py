@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -49,20 +50,28 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str],
 
 
 def check_header(spark: SparkSession, path: str, expected: Sequence[str]) -> None:
-    """Header contract: stripped, lower-cased header equals ``expected``."""
-    first = spark.read.option("header", False).csv(path).limit(1).collect()
-    if not first:
+    """Header contract: the stripped, lower-cased header of every file at
+    ``path`` equals ``expected``."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"))
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    names = F.transform(F.split(F.lower("line"), ","), lambda x: F.trim(F.regexp_replace(F.trim(x), '^"|"$', "")))
+    wrong = first.select("file", names.alias("header")).filter(F.col("header") != F.array(*[F.lit(c) for c in expected]))
+    bad = wrong.limit(1).collect()
+    if bad:
+        raise HeaderMismatch(f"{bad[0]['file']}: header {bad[0]['header']} != {list(expected)}")
+    if not first.limit(1).count():
         raise HeaderMismatch(f"{path}: empty file")
-    header = [(h or "").strip().lower() for h in first[0]]
-    if header != list(expected):
-        raise HeaderMismatch(f"{path}: header {header} != {list(expected)}")
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] | str,
-                      mode: str = "overwrite") -> None:
-    """Snappy Parquet partitioned by low-cardinality column(s)."""
+                      mode: str = "overwrite", files: int = 4) -> None:
+    """Snappy Parquet partitioned by low-cardinality column(s); rows of one
+    partition value meet in at most ``files`` tasks, so the number of files
+    does not grow with the number of tasks."""
     by = [by] if isinstance(by, str) else list(by)
-    df.write.mode(mode).option("compression", "snappy").partitionBy(*by).parquet(path)
+    df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(files))).write.mode(mode).option("compression", "snappy").partitionBy(*by).parquet(path)
 
 
 def assert_roundtrip(a: DataFrame, b: DataFrame, count: bool = True) -> int | None:
@@ -82,6 +91,20 @@ def assert_roundtrip(a: DataFrame, b: DataFrame, count: bool = True) -> int | No
     return ca
 
 
+def load_slices(df: DataFrame, path: str, by: str, slices: Sequence[Column]) -> DataFrame:
+    """Replace the table at ``path`` by the first slice of ``df`` and append the
+    others (``slices`` are disjoint conditions), then check that the table
+    holds exactly the accepted rows."""
+    for k, condition in enumerate(slices):
+        part = df.filter(condition)
+        write_partitioned(part, path, by, mode="append" if k else "overwrite")
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    accepted, final = df.count(), table.count()
+    if final != accepted:
+        raise RoundTripMismatch(f"{final} rows in the table, {accepted} accepted")
+    return table
+
+
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
@@ -93,6 +116,15 @@ def sql_on_files(spark: SparkSession, fmt: str, path: str, where: str | None = N
     return spark.sql(text + (f" WHERE {where}" if where else ""))
 
 
+def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Names of the catalog's tables and views."""
+    return sorted(t.name for t in spark.catalog.listTables(database))
+
+
+def table_exists(spark: SparkSession, name: str, database: str | None = None) -> bool:
+    return spark.catalog.tableExists(f"{database}.{name}" if database else name)
+
+
 def ensure_database(spark: SparkSession, name: str) -> bool:
     """``CREATE DATABASE IF NOT EXISTS``; returns whether it existed."""
     existed = spark.catalog.databaseExists(name)

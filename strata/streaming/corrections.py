@@ -5,13 +5,15 @@ republished).
 Correction slices (event CSV files with the raw 22-column header) arrive in a
 folder. Each micro-batch (``foreachBatch``):
 
-1. types the rows and appends them, with lineage, to the versions store
-   (append-only Parquet; slice order = batch id + 1, after the baseline);
+1. types the rows and writes them, with lineage, to the versions store under
+   ``epoch=<batch id>`` (a replayed batch overwrites its own folder; slice
+   order = batch id + 1, after the baseline);
 2. finds the days touched by the corrected keys (every day any version of
    such a key falls on, so an event moved between days updates both);
-3. recomputes latest -> fact -> mart for each contiguous run of touched days
-   from the versions store (filter-then-rank, as in batch) and publishes each
-   run as a window (copy-on-write per day).
+3. ranks, once, all versions of every key with a version on a touched day,
+   rebuilds latest -> fact -> mart of those days and publishes each contiguous
+   run of days as a window. A batch whose publications are all in the log is
+   not applied again.
 
 No watermark is used: a correction may arrive months late and must never be
 dropped; the state is the versions store itself, not an in-memory aggregate.
@@ -28,6 +30,7 @@ from pyspark.sql import types as T
 from strata.operators.publish import Publisher
 from strata.operators.staging import stage_versions, type_raw_events
 from strata.plans.quakes import build_layers
+from strata.session import checkpoint_root
 from strata.sources.raw import EVENT_COLUMNS
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EVENT_COLUMNS])
@@ -61,7 +64,13 @@ class CorrectionStream:
 
     def seed(self, typed: DataFrame) -> None:
         """Initial (baseline) versions, all dates kept."""
-        stage_versions(typed, None, None).write.mode("append").parquet(self.versions_path)
+        self._write(stage_versions(typed, None, None), -1)
+
+    def _write(self, versions: DataFrame, epoch_id: int) -> None:
+        versions.write.mode("overwrite").parquet(f"{self.versions_path}/epoch={epoch_id}")
+
+    def _store(self) -> DataFrame:
+        return self.spark.read.option("basePath", self.versions_path).parquet(self.versions_path).drop("epoch")
 
     def _process(self, batch: DataFrame, epoch_id: int) -> None:
         raw = batch.select(
@@ -77,19 +86,27 @@ class CorrectionStream:
         self._apply(stage_versions(batch, None, None), epoch_id)
 
     def _apply(self, new: DataFrame, epoch_id: int) -> None:
-        new.write.mode("append").parquet(self.versions_path)
-        store = self.spark.read.parquet(self.versions_path)
-        touched = new.select("event_key").distinct()
-        days = [r["event_date"] for r in store.join(touched, "event_key", "left_semi")
-                .select("event_date").distinct().collect()]          # bounded by the calendar
-        for start, end in day_runs(days):
-            self.publish_window(start, end, run_id=f"stream-{epoch_id}")
-
-    def publish_window(self, start, end, run_id: str) -> dict:
-        """Rebuild latest -> fact -> mart for ``[start, end)`` from the versions
-        store (filter-then-rank, as in batch) and publish that window."""
-        typed = self.spark.read.parquet(self.versions_path).drop("event_key", "event_date")
-        layers = build_layers(self.spark, typed, self.history, start, end,
+        done = {(r["start_date"], r["end_date"]) for r in self.publisher.log().filter(
+            F.col("run_id") == f"stream-{epoch_id}").collect()}
+        self._write(new, epoch_id)
+        store = self._store()
+        touched = self.spark.read.parquet(f"{self.versions_path}/epoch={epoch_id}").select("event_key").distinct()
+        days = sorted(r["event_date"] for r in store.join(touched, "event_key", "left_semi")
+                      .select("event_date").distinct().collect())    # bounded by the calendar
+        todo = [run for run in day_runs(days) if run not in done]
+        if not todo:
+            return
+        keys = store.filter(F.col("event_date").isin(days)).select("event_key").distinct()
+        typed = store.join(keys, "event_key", "left_semi").drop("event_key", "event_date")
+        checkpoint_root(self.spark)
+        mart = build_layers(self.spark, typed, self.history, days[0], days[-1] + dt.timedelta(days=1),
+                            classes=self.classes, fact_types=self.fact_types, rank_first=True).mart.checkpoint()
+        for start, end in todo:
+            self.publisher.publish(mart, start, end, run_id=f"stream-{epoch_id}")
+
+    def publish_all(self, start, end, run_id: str) -> dict:
+        """Build ``[start, end)`` from the whole versions store and publish it."""
+        layers = build_layers(self.spark, self._store().drop("event_key", "event_date"), self.history, start, end,
                               classes=self.classes, fact_types=self.fact_types)
         return self.publisher.publish(layers.mart, start, end, run_id=run_id)
 

@@ -8,14 +8,14 @@ from strata.cli import main
 
 def test_elt_then_report(spark, workdir, capsys):
     data = os.path.join(workdir, "data")
-    qf.write_slice(data, "slice", "usgs", False, qf.BASELINE_ROWS, qf.BASE_HISTORY)
+    qf.write_slice(data, "slice", "feed", False, qf.BASELINE_ROWS, qf.BASE_HISTORY)
     tests = os.path.join(data, "tests")
-    qf.write_slice(tests, "late", "usgs", True, qf.LATE_ROWS)
-    qf.write_slice(tests, "corrupt", "usgs", True, qf.CORRUPT_ROWS)
+    qf.write_slice(tests, "late", "feed", True, qf.LATE_ROWS)
+    qf.write_slice(tests, "corrupt", "feed", True, qf.CORRUPT_ROWS)
     root = os.path.join(workdir, "wh")
-    assert main(["elt", "--data", data, "--root", root, "--run-id", "r1"]) == 0
-    assert main(["elt", "--data", data, "--root", root, "--cases", "corrupt", "--run-id", "r2"]) == 1
-    assert main(["elt", "--data", data, "--root", root, "--cases", "late", "--run-id", "r3"]) == 0
+    assert main(["elt", "--data", data, "--root", root, "--start", qf.WINDOW[0], "--end", qf.WINDOW[1], "--run-id", "r1"]) == 0
+    assert main(["elt", "--data", data, "--root", root, "--start", qf.WINDOW[0], "--end", qf.WINDOW[1], "--cases", "corrupt", "--run-id", "r2"]) == 1
+    assert main(["elt", "--data", data, "--root", root, "--start", qf.WINDOW[0], "--end", qf.WINDOW[1], "--cases", "late", "--run-id", "r3"]) == 0
     out = capsys.readouterr().out
     assert "PASS=32 ERROR=0" in out and "PASS=29 ERROR=3" in out
     assert "not published" in out and "rows=1" in out

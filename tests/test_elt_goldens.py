@@ -1,5 +1,5 @@
-"""Mini-goldens of the ELT track (hand-derived from the reference's SQL and
-the three baseline rows it repeats verbatim), one test per scenario."""
+"""Mini-goldens of the ELT track, derived by hand from three own baseline rows
+(FIXTURES.md), one test per scenario."""
 
 import datetime as dt
 from decimal import Decimal
@@ -32,20 +32,20 @@ def mart(res):
                    r["avg_magnitude"], r["max_magnitude"], r["avg_depth_km"]) for r in rows)
 
 
-USNAME = "USGS National Earthquake Information Center"
-LIGHT = ("light", "usgs", USNAME, 2, Decimal("4.400"), Decimal("4.500000"), Decimal("37.65"))
-MINOR = ("minor", "usgs", USNAME, 1, Decimal("3.900"), Decimal("3.900000"), Decimal("65.41"))
+AANAME = "Alpha Array"
+LIGHT = ("light", "feed", AANAME, 2, Decimal("4.350"), Decimal("4.600000"), Decimal("25.61"))
+MINOR = ("minor", "feed", AANAME, 1, Decimal("3.400"), Decimal("3.400000"), Decimal("12.35"))
 
 
 def test_baseline(spark, workdir):
     res = run(spark, workdir)
     assert counts(res) == (3, 3, 3)
     assert len(res["tests"]) == 32 and not res["failing"]
-    assert mart(res) == [LIGHT, MINOR]          # 37.645 rounds half up to 37.65
+    assert mart(res) == [LIGHT, MINOR]          # 25.605 rounds half up to 25.61
     assert res["published"]["rows_published"] == 2
     cal = [(r["date_key"], r["iso_weekday"], r["weekday_name"]) for r in
            res["layers"].dim_date.orderBy("date_key").collect()]
-    assert cal == [(dt.date(2025, 3, 3), 1, "Mon"), (dt.date(2025, 3, 4), 2, "Tue"), (dt.date(2025, 3, 5), 3, "Wed")]
+    assert cal == [(dt.date(2024, 6, 10), 1, "Mon"), (dt.date(2024, 6, 11), 2, "Tue"), (dt.date(2024, 6, 12), 3, "Wed")]
 
 
 def test_dup_is_idempotent(spark, workdir):
@@ -62,7 +62,7 @@ def test_late_correction_republishes_day(spark, workdir):
     res = run(spark, workdir + "/b", ["late"], wh=wh, run_id="late")
     assert counts(res) == (4, 3, 3)
     assert not res["failing"]
-    assert mart(res) == [("light", "usgs", USNAME, 3, Decimal("4.367"), Decimal("4.500000"), Decimal("46.90"))]
+    assert mart(res) == [("light", "feed", AANAME, 3, Decimal("4.300"), Decimal("4.600000"), Decimal("21.19"))]
     assert res["published"]["rows_published"] == 1
     live = Publisher(spark, wh + "/mart/daily").live()
     assert sorted(r["magnitude_class"] for r in live.collect()) == ["light"]  # old minor row deleted
@@ -72,8 +72,7 @@ def test_second_source(spark, workdir):
     res = run(spark, workdir, ["source_b"])
     assert counts(res) == (6, 6, 6)
     assert not res["failing"]
-    sb = ("minor", "synthetic_b", "Synthetic second source network", 3, Decimal("3.200"),
-          Decimal("3.300000"), Decimal("46.90"))
+    sb = ("minor", "second", "Beta Bureau", 3, Decimal("3.300"), Decimal("3.500000"), Decimal("21.19"))
     assert mart(res) == sorted([LIGHT, MINOR, sb])
     ids = res["layers"].latest.select("event_id").distinct().count()
     keys = res["layers"].latest.select("event_key").distinct().count()
@@ -109,18 +108,18 @@ def test_overlap_early_multiplies_fact(spark, workdir):
         "network_history_no_overlap": 1, "one_network_version_per_event": 3,
         "unique_fact_event_key": 3, "fact_matches_stg_count": 1}
     names = sorted(r[2] for r in mart(res))
-    assert names.count(USNAME) == 2 and names.count("USGS NEIC renamed (synthetic overlap)") == 2
+    assert names.count(AANAME) == 2 and names.count("Alpha Array renamed") == 2
 
 
 def test_windows_compose(spark, workdir):
-    """Publishing [03-03,03-04) then [03-04,03-06) equals publishing [03-03,03-06)."""
+    """Publishing [06-10,06-11) then [06-11,06-13) equals publishing [06-10,06-13)."""
     from strata.operators.compare import compare
     raw_ev, raw_hist = load_raw(spark, qf.slices(workdir + "/data"))
     typed, hist = type_raw_events(raw_ev), stage_network_history(raw_hist)
     one = run_elt(spark, typed, hist, *qf.WINDOW, root=workdir + "/one", run_id="w",
                   classes=MAGNITUDE_CLASSES, fact_types=("earthquake",))
     two_root = workdir + "/two"
-    for s, e in (("2025-03-03", "2025-03-04"), ("2025-03-04", "2025-03-06")):
+    for s, e in (("2024-06-10", "2024-06-11"), ("2024-06-11", "2024-06-13")):
         run_elt(spark, typed, hist, s, e, root=two_root, run_id=f"w{s}", classes=MAGNITUDE_CLASSES,
                 fact_types=("earthquake",))
     a = Publisher(spark, workdir + "/one/mart/daily").live()
@@ -131,17 +130,17 @@ def test_windows_compose(spark, workdir):
 
 EDGE_ROWS = [
     # NULL updated wins over any updated value (PostgreSQL DESC = NULLS FIRST)
-    '2025-03-03T02:00:00.000Z,1,1,10,3.0,mb,,,,,us,e_null_upd,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,us,us',
-    '2025-03-03T02:00:00.000Z,1,1,10,4.1,mb,,,,,us,e_null_upd,,p,earthquake,,,,,reviewed,us,us',
+    '2024-06-10T02:00:00.000Z,1,1,10,3.0,mb,,,,,aa,e_null_upd,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,aa,aa',
+    '2024-06-10T02:00:00.000Z,1,1,10,4.1,mb,,,,,aa,e_null_upd,,p,earthquake,,,,,reviewed,aa,aa',
     # correction moving the event out of the window
-    '2025-03-04T02:00:00.000Z,1,1,10,2.5,mb,,,,,us,e_moved,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,us,us',
-    '2025-03-10T02:00:00.000Z,1,1,10,2.5,mb,,,,,us,e_moved,2025-06-01T00:00:00.000Z,p,earthquake,,,,,reviewed,us,us',
+    '2024-06-11T02:00:00.000Z,1,1,10,2.5,mb,,,,,aa,e_moved,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,aa,aa',
+    '2024-06-20T02:00:00.000Z,1,1,10,2.5,mb,,,,,aa,e_moved,2025-06-01T00:00:00.000Z,p,earthquake,,,,,reviewed,aa,aa',
     # not an earthquake: latest yes, fact no
-    '2025-03-04T03:00:00.000Z,1,1,0,1.9,ml,,,,,us,e_mine,2025-05-01T00:00:00.000Z,p,mining explosion,,,,,reviewed,us,us',
+    '2024-06-11T03:00:00.000Z,1,1,0,1.9,ml,,,,,aa,e_mine,2025-05-01T00:00:00.000Z,p,mining explosion,,,,,reviewed,aa,aa',
     # band lower bounds are inclusive
-    '2025-03-05T00:00:00.000Z,1,1,5,2,ml,,,,,us,e_m2,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,us,us',
-    '2025-03-05T00:00:01.000Z,1,1,5,4,ml,,,,,us,e_m4,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,us,us',
-    '2025-03-05T00:00:02.000Z,1,1,5,5,ml,,,,,us,e_m5,2025-05-01T00:00:00.000Z,p,earthquake,,,,,,us,us',
+    '2024-06-12T00:00:00.000Z,1,1,5,2,ml,,,,,aa,e_m2,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,aa,aa',
+    '2024-06-12T00:00:01.000Z,1,1,5,4,ml,,,,,aa,e_m4,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,aa,aa',
+    '2024-06-12T00:00:02.000Z,1,1,5,5,ml,,,,,aa,e_m5,2025-05-01T00:00:00.000Z,p,earthquake,,,,,,aa,aa',
 ]
 
 
@@ -149,7 +148,7 @@ def test_edge_rows(spark, workdir):
     res = run(spark, workdir, publish=False, baseline_events=EDGE_ROWS)
     latest = {r["event_id"]: r for r in res["layers"].latest.collect()}
     assert latest["e_null_upd"]["magnitude"] == Decimal("4.100000")       # NULL updated won
-    assert latest["e_moved"]["event_date"] == dt.date(2025, 3, 4)          # old in-window version stays
+    assert latest["e_moved"]["event_date"] == dt.date(2024, 6, 11)          # old in-window version stays
     assert "e_mine" in latest
     fact = {r["event_id"]: r for r in res["layers"].fact.collect()}
     assert "e_mine" not in fact
@@ -165,8 +164,8 @@ def test_rank_first_drops_moved_event(spark, workdir):
 
 def test_out_of_range_and_unknown_network(spark, workdir):
     rows = [
-        '2025-03-03T00:00:00.000Z,1,1,10,10.5,mw,,,,,us,e_big,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,us,us',
-        '2025-03-03T00:00:00.000Z,1,1,10,3.0,mw,,,,,zz,e_zz,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,zz,zz',
+        '2024-06-10T00:00:00.000Z,1,1,10,10.5,mw,,,,,aa,e_big,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,aa,aa',
+        '2024-06-10T00:00:00.000Z,1,1,10,3.0,mw,,,,,zz,e_zz,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,zz,zz',
     ]
     res = run(spark, workdir, publish=False, baseline_events=rows)
     fact = {r["event_id"]: r for r in res["layers"].fact.collect()}
@@ -179,7 +178,7 @@ def test_out_of_range_and_unknown_network(spark, workdir):
 
 @pytest.mark.parametrize("bad", ["not-a-number"])
 def test_bad_cast_raises(spark, workdir, bad):
-    rows = [f'2025-03-03T00:00:00.000Z,1,1,10,{bad},mw,,,,,us,e_bad,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,us,us']
+    rows = [f'2024-06-10T00:00:00.000Z,1,1,10,{bad},mw,,,,,aa,e_bad,2025-05-01T00:00:00.000Z,p,earthquake,,,,,reviewed,aa,aa']
     with pytest.raises(Exception):
         run(spark, workdir, publish=False, baseline_events=rows)
 

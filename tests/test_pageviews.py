@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import pageviews as pv
 from strata.sources.pageviews import InvalidUtf8, kept_per_file, read_pageviews
-from strata.sources.snapshots import new_snapshots
+from strata.sources.tables import RoundTripMismatch, load_slices
 
 LINES = [
     "en Main_Page 5 0",
@@ -93,29 +93,26 @@ def test_validation_first_reason_and_balance(spark):
         ("de", None, -5, 0, None, 7),   # several faults: first one wins
     ]
     df = pv.with_namespace(spark.createDataFrame(rows, pv.STAGING_SCHEMA))
-    accepted, profile, summary = pv.validate(df)
-    split = {r["outcome"]: r["rows"] for r in summary.collect()}
+    accepted, profile = pv.validate(df, pv.page_rules((1, 2)))
+    split = profile["outcomes"]
     assert split == {"accepted": 1, "null_page_title": 2, "bad_count_views": 2, "bad_domain": 2, "bad_time": 2}
     assert sum(split.values()) == profile["rows"] == 9
     assert accepted.count() == 1
     assert profile["null_page_title"] == 2 and profile["bad_domain"] == 3
 
 
-def test_partitioned_parquet_and_snapshots(spark, dumps, workdir):
+def test_partitioned_parquet_and_slices(spark, dumps, workdir):
     csv = os.path.join(workdir, "staging")
     pv.stage_dumps(spark, dumps, csv)
-    accepted, _p, _s = pv.validate(pv.typed_pages(spark, csv))
+    accepted, profile = pv.validate(pv.typed_pages(spark, csv))
     pq = os.path.join(workdir, "parquet")
-    back = pv.load_partitioned(spark, accepted, pq)
+    back = pv.load_partitioned(spark, accepted, pq, profile["outcomes"]["accepted"])
     assert back.count() == 7
-    table = pv.load_snapshots(spark, pq, os.path.join(workdir, "table"))
-    hist = [(r["snapshot_id"], r["operation"], r["added_records"], r["total_records"]) for r in table.history().collect()]
-    assert hist == [(1, "overwrite", 5, 5), (2, "append", 2, 7)]
-    assert table.read().count() == 7
-    before = table.snapshots()
-    table.replace(back.filter(F.col("event_hour") == 2))       # replace keeps history
-    assert [r["snapshot_id"] for r in new_snapshots(before, table.snapshots()).collect()] == [3]
-    assert table.read().count() == 2 and table.read(as_of=2).count() == 7
-    assert [r["total_records"] for r in table.history().collect()] == [5, 7, 2]
-    top = pv.top_pages(table.read(as_of=2), 2).collect()
+    with pytest.raises(RoundTripMismatch):
+        pv.load_partitioned(spark, accepted, pq, 8)
+    table = pv.load_hours(back, os.path.join(workdir, "table"))
+    assert sorted(map(tuple, table.groupBy("event_hour").count().collect())) == [(1, 5), (2, 2)]
+    with pytest.raises(RoundTripMismatch):          # slices that leave rows out
+        load_slices(back, os.path.join(workdir, "part"), "event_hour", [F.col("event_hour") == 1])
+    top = pv.top_pages(table, 2).collect()
     assert [(r["page_title"], r["count_views"]) for r in top] == [("Special:Search", 7), ("Main_Page", 5)]

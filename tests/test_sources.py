@@ -24,10 +24,20 @@ def test_missing_input_raises(spark, workdir):
 def test_header_contract(spark, workdir):
     p = os.path.join(workdir, "h.csv")
     with open(p, "w") as f:
-        f.write(" Net ,NETWORK_NAME,valid_from,valid_to\nus,x,1900-01-01,9999-12-31\n")
+        f.write(" Net ,NETWORK_NAME,valid_from,valid_to\naa,x,1900-01-01,9999-12-31\n")
     check_header(spark, p, ["net", "network_name", "valid_from", "valid_to"])
     with pytest.raises(HeaderMismatch):
         check_header(spark, p, ["net", "name", "valid_from", "valid_to"])
+    # every file of a folder is checked
+    d = os.path.join(workdir, "many")
+    os.makedirs(d)
+    for k, head in enumerate(("x,y", '"X", y', "y,x")):
+        with open(os.path.join(d, f"{k}.csv"), "w") as f:
+            f.write(head + "\n1,2\n3,4\n")
+        if k < 2:
+            check_header(spark, d, ["x", "y"])
+    with pytest.raises(HeaderMismatch):
+        check_header(spark, d, ["x", "y"])
 
 
 def test_manifest_optional_keys_and_union_order(spark, workdir):
@@ -59,6 +69,6 @@ def test_qa_snapshot_and_trace(spark, workdir):
     raw, _h = load_raw(spark, qf.slices(workdir + "/d", ["corrupt"]))
     p = snapshot(raw.select("id", "mag"), workdir + "/qa", "raw", "run1")
     assert read_snapshot(spark, workdir + "/qa", "raw", "run1").count() == 4 and p.endswith("raw_run1")
-    failing = spark.createDataFrame([("usgs", "corrupt_0001")], "source_system string, event_id string")
+    failing = spark.createDataFrame([("feed", "bad-1")], "source_system string, event_id string")
     traced = trace_to_raw(failing, raw).collect()
     assert [(r["_slice_id"], r["_is_synthetic"]) for r in traced] == [("corrupt", True)]
