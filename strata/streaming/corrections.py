@@ -52,7 +52,7 @@ class CorrectionStream:
     Parquet files of already typed rows (with their own lineage)."""
 
     def __init__(self, spark: SparkSession, versions_path: str, publish_root: str,
-                 history: DataFrame, classes, fact_types, source_system: str = "usgs"):
+                 history: DataFrame, classes, fact_types, source_system: str):
         self.spark = spark
         self.versions_path = versions_path
         self.publisher = Publisher(spark, publish_root)

@@ -225,3 +225,93 @@ def test_publish_empty_window_first(spark, workdir):
     assert pub.publish(cand, "2025-03-01", "2025-03-03", "empty")["rows_published"] == 0
     assert pub.publish(cand, "2025-03-01", "2025-03-06", "full")["rows_published"] == 1
     assert [(r["event_date"], r["v"]) for r in pub.live().collect()] == [(d(5), 1)]
+
+
+def test_unreadable_log_raises_and_keeps_published_days(spark, workdir):
+    import datetime as dt
+    import os
+
+    from strata.operators.publish import Publisher
+    pub = Publisher(spark, workdir + "/p")
+    assert pub.last_publication("none").count() == 0
+    rows = spark.createDataFrame([(dt.date(2024, 5, d), "a") for d in (3, 4)], "event_date date, v string")
+    pub.publish(rows, "2024-05-03", "2024-05-05", "r1")
+    with open(os.path.join(pub.log_path, "part-bad.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        pub.publish(rows, "2024-05-09", "2024-05-10", "r2")
+    os.remove(os.path.join(pub.log_path, "part-bad.parquet"))
+    assert sorted(r["event_date"].day for r in pub.live().collect()) == [3, 4]
+
+
+def test_failed_run_leaves_its_version_number_unused(spark, workdir):
+    import datetime as dt
+    import os
+
+    from strata.operators.publish import Publisher
+    pub = Publisher(spark, workdir + "/p")
+    os.makedirs(workdir + "/p/data/publish_version=1")      # left behind by a run that died before its log row
+    rows = spark.createDataFrame([(dt.date(2024, 5, 3), "a")], "event_date date, v string")
+    assert pub.publish(rows, "2024-05-03", "2024-05-04", "r1")["version"] == 2
+    assert pub.live().count() == 1
+
+
+def test_version_chain_with_null_keys_and_null_order_values(spark):
+    from strata.operators.staging import version_chain
+    rows = [("k", i // 2, None if i % 2 else i, i) for i in range(60)] + [(None, i, i, 100 + i) for i in range(2)]
+    df = spark.createDataFrame(rows, "key string, a int, b int, id int").repartition(5)
+    expect = {}
+    for key in ("k", None):
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2] is None, r[2] or 0))
+        for n, r in enumerate(mine):
+            expect[r[3]] = (n + 1, len(mine), mine[n - 1][2] if n else None)
+    for partitions in (1, 4, 7):
+        got = version_chain(df, ["key"], ["a", "b"], "b", partitions=partitions).collect()
+        assert {r["id"]: (r["version_no"], r["n_versions"], r["prev_b"]) for r in got} == expect
+
+
+def test_checksum_tells_separators_and_nulls_apart(spark):
+    from strata.operators.aggregates import table_checksum
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("\\N", "x"), ("N", "x"), ("", "x"), ("1:N", ""), ("N", "1:")]
+    sums = {table_checksum(spark.createDataFrame([r], "a string, b string")).first()["checksum"] for r in rows}
+    assert len(sums) == len(rows)
+
+
+def test_share_keeps_null_partition(spark):
+    from strata.operators.aggregates import share_of_total
+    df = spark.createDataFrame([(None, "x", 3), ("d", "x", 1), ("d", "y", 3)], "event_date string, net string, events long")
+    assert sorted((str(r[0]), r[1], float(r[3])) for r in share_of_total(df).collect()) == [
+        ("None", "x", 100.0), ("d", "x", 25.0), ("d", "y", 75.0)]
+
+
+def test_bands_many_overlapping_and_text_keys(spark):
+    from strata.operators.joins import band_join
+    values = [-1, 0, 5, 9.99, 10, 500, 999.5, 1500.25, 1501, None]
+    df = spark.createDataFrame([(None if v is None else str(v),) for v in values], "s string").selectExpr(
+        "CAST(s AS DECIMAL(18,6)) AS v")
+    many = [(i, i, i + 1) for i in range(1501)]
+    overlapping = [("low", 0, 10), ("all", -5, 2000), ("edge", 10, 500)]
+    for bands in (many, overlapping, [("a", 0, 10), ("b", 10, 20)]):
+        for given in (bands, spark.createDataFrame([(k, float(a), float(b)) for k, a, b in bands], "k string, lo double, hi double")
+                      if isinstance(bands[0][0], str) else spark.createDataFrame(bands, "k int, lo int, hi int")):
+            got = band_join(df, "v", given, "k")
+            assert got.schema["k"].dataType.simpleString() == ("string" if isinstance(bands[0][0], str) else "int")
+            expect = []
+            for v in values:
+                hit = [k for k, a, b in bands if v is not None and a <= v < b] or [None]
+                expect += [(None if v is None else float(v), k) for k in hit]
+            assert sorted(((None if r["v"] is None else float(r["v"]), r["k"]) for r in got.collect()), key=str) == \
+                sorted(expect, key=str)
+
+
+def test_scd2_by_day_equals_plain_outside_the_days_too(spark):
+    from strata.operators.joins import scd2_join
+    fact = spark.sql("SELECT 'a' AS k, TIMESTAMP '2024-05-01 10:00:00' AS ts UNION ALL "
+                     "SELECT 'a', TIMESTAMP '2024-05-20 10:00:00' UNION ALL SELECT 'z', TIMESTAMP '2024-05-01 00:00:00' "
+                     "UNION ALL SELECT 'a', NULL")
+    dim = spark.sql("SELECT 'a' AS dk, 1 AS v, TIMESTAMP '2024-01-01 00:00:00' AS valid_from, "
+                    "TIMESTAMP '2024-05-10 00:00:00' AS valid_to UNION ALL "
+                    "SELECT 'a', 2, TIMESTAMP '2024-05-10 00:00:00', TIMESTAMP '9999-12-31 00:00:00'")
+    rows = lambda df: sorted(map(str, df.select("k", "ts", "v").collect()))
+    assert rows(scd2_join(fact, dim, [("k", "dk")], "ts", days=("2024-05-01", "2024-05-03"))) == \
+        rows(scd2_join(fact, dim, [("k", "dk")], "ts"))

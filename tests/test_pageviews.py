@@ -109,7 +109,7 @@ def test_partitioned_parquet_and_slices(spark, dumps, workdir):
     back = pv.load_partitioned(spark, accepted, pq, profile["outcomes"]["accepted"])
     assert back.count() == 7
     with pytest.raises(RoundTripMismatch):
-        pv.load_partitioned(spark, accepted, pq, 8)
+        pv.load_partitioned(spark, accepted, os.path.join(workdir, "other"), 8)
     table = pv.load_hours(back, os.path.join(workdir, "table"))
     assert sorted(map(tuple, table.groupBy("event_hour").count().collect())) == [(1, 5), (2, 2)]
     with pytest.raises(RoundTripMismatch):          # slices that leave rows out

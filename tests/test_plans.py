@@ -43,10 +43,26 @@ def test_literal_lookup_is_broadcast(spark):
     assert "BroadcastHashJoin" in text
 
 
-def test_share_uses_join_not_day_window(spark):
+def test_share_plans_the_mart_once(spark):
+    """Totals are a window over the reduced rows, not a second copy of the chain."""
     from strata.plans.registry import all_queries
-    text = plan(all_queries()["mart_share"](spark, SF))
-    assert "windowspecdefinition(event_date" not in text
+    text = all_queries()["mart_share"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("WindowGroupLimit") <= 1 and text.count("Window [") <= 2
+
+
+def test_live_read_is_pruned_to_live_days(spark, workdir):
+    import datetime as dt
+
+    from strata.operators.publish import Publisher
+    pub = Publisher(spark, workdir + "/pub")
+    rows = lambda v: spark.createDataFrame([(dt.date(2024, 5, d), v) for d in (1, 2, 3)], "event_date date, v string")
+    for v, (s, e) in enumerate((("2024-05-01", "2024-05-04"), ("2024-05-02", "2024-05-03"))):
+        pub.publish(rows(f"v{v}"), s, e, f"r{v}")
+    live = pub.live()
+    assert sorted((r["event_date"].day, r["v"]) for r in live.collect()) == [(1, "v0"), (2, "v1"), (3, "v0")]
+    text = live._jdf.queryExecution().executedPlan().toString()
+    filters = text[text.index("PartitionFilters: ["):]
+    assert "publish_version" in filters and "event_date" in filters
 
 
 def test_no_registered_query_plans_a_pairwise_join(spark):

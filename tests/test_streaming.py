@@ -19,7 +19,7 @@ def test_day_runs():
 def test_stream_republishes_corrected_day(spark, workdir):
     raw_ev, raw_hist = load_raw(spark, qf.slices(workdir + "/data"))
     cs = CorrectionStream(spark, workdir + "/versions", workdir + "/pub",
-                          stage_network_history(raw_hist), MAGNITUDE_CLASSES, ("earthquake",))
+                          stage_network_history(raw_hist), MAGNITUDE_CLASSES, ("earthquake",), "feed")
     cs.seed(type_raw_events(raw_ev))
     inbox = os.path.join(workdir, "inbox")
     os.makedirs(inbox)
@@ -35,7 +35,7 @@ def test_stream_republishes_corrected_day(spark, workdir):
 def _stream(spark, workdir, rows):
     raw_ev, raw_hist = load_raw(spark, qf.slices(workdir + "/data", baseline_events=rows))
     cs = CorrectionStream(spark, workdir + "/versions", workdir + "/pub",
-                          stage_network_history(raw_hist), MAGNITUDE_CLASSES, ("earthquake",))
+                          stage_network_history(raw_hist), MAGNITUDE_CLASSES, ("earthquake",), "feed")
     cs.seed(type_raw_events(raw_ev))
     cs.publish_all("2024-06-10", "2024-06-20", run_id="base")
     return cs
