@@ -12,7 +12,8 @@ signatures (the first in a range spoils all but one of its subsets, the
 second the last). With s ranges more on either side, n1 = k / 2 + 1 + 2 s,
 1 + 4 s agree, so each of two sets may leave out the 2 s signatures that
 cover the fewest features, and one agreeing signature stays: (nearly) empty
-ones, which agree by chance, are never written. s is ``light`` of the ranges.
+ones, which agree by chance, are hardly written. s is chosen for each band,
+up to ``light`` of the ranges.
 
 Sets sharing a signature form a bucket. No pairs are listed within a bucket:
 every member is compared with the bucket's centre (the member with most
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import small_batches, stored
 from strata.llm.components import components
@@ -37,7 +39,8 @@ from strata.llm.words import mix, shingle_set, word_hashes
 
 # Members of one block of a bucket group compared within a task.
 BLOCK_MEMBERS = 512
-LIGHT = 0.05
+# Share of the ranges that may be spare on either side.
+LIGHT = 0.1
 
 
 class Scheme:
@@ -62,13 +65,27 @@ class Scheme:
         if band not in self._edges:
             k = 2 * self.top(band) * (self.den - self.num) // (self.den + self.num)
             n1 = k // 2 + 1
-            spare = round(self.light * n1)
+            spare = self._spare(self.top(band - 1) + 1 if band else 1, n1)
             n1 += 2 * spare
             cells = n1 * self.n2
             edges = np.array([((i << 64) // cells) for i in range(1, cells)], np.uint64)
             self._edges[band] = (k, n1, spare, edges)
         return self._edges[band]
 
+    def _spare(self, size: int, n1: int) -> int:
+        """Ranges to spare that leave the fewest empty signatures to be
+        written, by their expected number in a set of ``size`` features."""
+        best, least = 0, None
+        for s in range(int(self.light * n1) + 2):
+            m = (n1 + 2 * s) * self.n2
+            mean = m * (1 - (self.n2 - 1) / m) ** size
+            x = np.arange(2 * s)
+            chance = np.exp(x * np.log(mean) - mean - np.cumsum(np.log(np.maximum(x, 1)))) if mean > 0 else x == 0
+            left = mean - 2 * s + float(((2 * s - x) * chance).sum())
+            if least is None or left < least - 1e-3:
+                best, least = s, left
+        return best
+
     def signatures(self, features: np.ndarray) -> np.ndarray:
         """Signatures of a sorted set, for its own band and the next one."""
         out = []
@@ -143,13 +160,22 @@ def _similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def _verify(num: int, den: int):
+    """Streams rows (centre, blk, member, d, features) sorted by the first
+    three: the centre's own row comes first in each block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, of = None, None
         for b in batches:
-            fp, fd = b.column(2).to_pylist(), b.column(3).to_pylist()
-            linked = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)
-                      for x, y in zip(fp, fd)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(linked, pa.bool_())],
-                                             ["centre", "d", "linked"])
+            out = []
+            for centre, member, d, raw in zip(*(b.column(k).to_pylist() for k in (0, 2, 3, 4))):
+                features = np.frombuffer(raw, np.uint64)
+                if not member:
+                    own, of = features, centre
+                elif of == centre:
+                    out.append((centre, d, _similar(own, features, num, den)))
+            if out:
+                c, d, linked = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(d, pa.int64()),
+                                                  pa.array(linked, pa.bool_())], ["centre", "d", "linked"])
     return run
 
 
@@ -251,33 +277,36 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     star = stored(spark, buckets.select("sig", "d").join(centres, "sig").filter("d <> centre")
                   .select("centre", "d").distinct(), "pe-star")
 
-    wanted = star.select("d").union(star.select(F.col("centre").alias("d"))).distinct()
-    reps = wanted.join(sets, "d").select("d", "id")
-    texts = src.join(reps, "id").select("d", "text")
-    # Rows that repeat an id may hold other texts: a set counts only if its digest is the one asked for.
-    feats = texts.mapInArrow(_sets_checked(words), "d bigint, features binary")
-    if about.groupBy("id").count().filter("count > 1").limit(1).count():
-        feats = feats.dropDuplicates(["d"])
-    feats = stored(spark, feats, "pe-features")
-    of_centre = feats.select(F.col("d").alias("centre"), F.col("features").alias("fc"))
-    pairs = star.join(feats, "d").join(of_centre, "centre").select("centre", "d", "fc", "features")
-    tested = stored(spark, pairs.mapInArrow(_verify(num, den), "centre bigint, d bigint, linked boolean"), "pe-tested")
+    # Where each set goes: to a block of every centre it is compared with, and to all blocks of its own group.
+    group = star.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("nb"))
+    block = F.struct("centre", F.pmod(F.xxhash64("d"), F.col("nb")).cast("int").alias("blk"), F.lit(True).alias("member"))
+    goes = (star.join(group, "centre").groupBy("d").agg(F.collect_list(block).alias("to"))
+            .join(group.withColumnRenamed("centre", "d"), "d", "full"))
+    feats = _features(spark, src, sets, goes, words)
+    none = F.array().cast(goes.schema["to"].dataType)
+    all_blocks = F.transform(F.sequence(F.lit(0), F.col("nb") - 1),
+                             lambda k: F.struct(F.col("d").alias("centre"), k.alias("blk"), F.lit(False).alias("member")))
+    dealt = feats.select("d", "features", F.explode(F.concat(F.coalesce("to", none), F.coalesce(all_blocks, none)))
+                         .alias("t")).select("t.centre", "t.blk", "t.member", "d", "features")
+    tested = stored(spark, dealt.repartition("centre", "blk").sortWithinPartitions("centre", "blk", "member")
+                    .mapInArrow(_verify(num, den), "centre bigint, d bigint, linked boolean").distinct(), "pe-tested")
 
     links = tested.filter("linked").select(F.col("centre").alias("a"), F.col("d").alias("b"))
     comp = components(spark, links)
     label = lambda df, key: (df.join(comp.withColumnRenamed("node", key), key, "left")
                              .withColumn("comp", F.coalesce("comp", key)))
+    # Rows that repeat an id and text come twice; what is compared twice gives the same links.
     # Groups of a centre whose members are not yet of one component: compare members of different components.
     member = label(tested.select("centre", "d"), "d")
     group = member.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"),
                                          F.max("comp").alias("hi")).filter("size > 1 AND lo <> hi")
-    open_ = (member.join(group, "centre")
-             .withColumn("nb", F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int"))
-             .withColumn("own", F.pmod(F.xxhash64("d"), F.col("nb")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-             .select("centre", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     "d", "comp", F.col("own").alias("side")))
-    more = (open_.join(feats, "d").select("centre", "i", "j", "d", "comp", "side", "features")
+    nb = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
+    open_ = stored(spark, member.join(group, "centre").groupBy("d").agg(F.collect_list(F.struct(
+        "centre", "comp", nb.alias("nb"), F.pmod(F.xxhash64("d"), nb).cast("int").alias("own"))).alias("to")), "pe-open")
+    more = _features(spark, src, sets, open_, words).select("d", "features", F.explode("to").alias("t"))
+    more = more.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t.nb") - 1)))
+    more = (more.select("t.centre", F.least("t.own", "other").alias("i"), F.greatest("t.own", "other").alias("j"), "d",
+                        "t.comp", F.col("t.own").alias("side"), "features")
             .repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "d")
             .mapInArrow(_blocks(num, den), "a bigint, b bigint"))
     more = stored(spark, more, "pe-more")
@@ -318,7 +347,23 @@ def _keep_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(held, [True])
 
 
+def _features(spark: SparkSession, src: DataFrame, sets: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``wanted`` (d, further columns) with the features of its sets, made anew
+    from the texts of one row each: sets of other rows are never moved."""
+    reps = stored(spark, wanted.join(sets.select("d", "id", "copies"), "d"), "pe-wanted")
+    # Spark may build a Bloom filter (8 MB at most) of the few ids and skip other texts before the shuffle.
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
+    extra = [c for c in wanted.columns if c != "d"]
+    texts = src.join(reps.filter("copies >= 1"), "id").select("d", "text", *extra)
+    schema = T.StructType([T.StructField("d", T.LongType()), T.StructField("features", T.BinaryType()),
+                           *[wanted.schema[c] for c in extra]])
+    return texts.mapInArrow(_sets_checked(words), schema)
+
+
 def _sets_checked(words: int):
+    """Rows (d, text, ...) to (d, features, ...). Rows that repeat an id may
+    hold other texts: only a set of the digest asked for counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             want = b.column(0).to_pylist()
@@ -326,5 +371,7 @@ def _sets_checked(words: int):
             keep = [i for i, s in enumerate(sets) if len(s) and _digest(s)[0] == want[i]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([want[i] for i in keep], pa.int64()),
-                 pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["d", "features"])
+                 pa.array([sets[i].tobytes() for i in keep], pa.binary()),
+                 *[c.take(pa.array(keep, pa.int64())) for c in b.columns[2:]]],
+                ["d", "features", *b.schema.names[2:]])
     return run
