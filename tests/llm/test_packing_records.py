@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from strata.llm import packing, records
+from strata.llm import common, packing, records
 from strata.llm.common import crc_u32
 from strata.llm.tokens import Encoder, tokenizer_path
 
@@ -79,7 +79,8 @@ def test_empty_table(spark):
     assert manifest.count() == 0 and records.read_records(spark, manifest, root).collect() == []
 
 
-def test_records_round_trip_in_order(spark, docs, enc):
+def test_records_round_trip_in_order(spark, docs, enc, monkeypatch):
+    monkeypatch.setattr(records, "small_batches", lambda s: common.small_batches(s, 4))     # several shards
     manifest, root = records.write_records(spark, docs, end_id=2, shard_bytes=2000)
     assert manifest.count() > 1
     back = sorted(records.read_records(spark, manifest, root).collect(), key=lambda r: r.start)

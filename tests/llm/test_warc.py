@@ -57,7 +57,7 @@ def test_empty_table(spark):
 def test_damage_raises():
     import zlib
     raw = warc.record_head("1", "u", 5, digest("hello"), None) + b"hello" + b"\r\n\r\n"
-    gz = lambda b: zlib.compressobj(6, zlib.DEFLATED, 31).compress(b"") + zlib.compress(b, 6, 31)
+    gz = lambda b: zlib.compress(b, 6, 31)
     assert [r[8] for r in warc.records_of(io.BytesIO(gz(raw)), 2)] == [b"he", b"ll", b"o"]
     with pytest.raises(ValueError):
         list(warc.records_of(io.BytesIO(gz(raw.replace(b"hello", b"jello"))), 2))
