@@ -8,6 +8,7 @@ def _load():
     from strata.plans import queries  # noqa: F401
     from strata.plans import queries_elt  # noqa: F401
     from strata.plans import queries_ops  # noqa: F401
+    from strata.plans import queries_raw  # noqa: F401
     from strata.plans import queries_stream  # noqa: F401
     return queries.QUERIES, queries.ORACLE
 
