@@ -185,6 +185,11 @@ def exact_daily(fact: DataFrame) -> DataFrame:
                     half_up_ratio("_s", "_n", 6, 2).alias("avg_depth_km"), "events")
 
 
+def field_counts(df: DataFrame, day, field: str, date_col: str = "event_date") -> DataFrame:
+    """``field -> rows`` on one day (a NULL value counts as a value)."""
+    return df.filter(F.col(date_col) == day).groupBy(field).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "duplicates") -> DataFrame:
     """``group by keys having count(*) > 1`` (NULL keys group together)."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))

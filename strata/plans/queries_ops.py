@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from strata.functions import classify_prefix
 from strata.operators import aggregates as agg
-from strata.operators.compare import compare, labelled_diff
+from strata.operators.compare import compare, labelled_diff, read_snapshot, snapshot
 from strata.operators.publish import Publisher
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
@@ -174,6 +174,23 @@ def q_labelled_diff(spark, sf_dir):
     return labelled_diff(a, b, "baseline", "late")
 
 
+@register("qa_copy", f"SELECT * FROM {_mart_sql('baseline')} m")
+def q_qa_copy(spark, sf_dir):
+    """The mart through a named QA copy."""
+    root = shared_dir(spark, "qa")
+    snapshot(events_layers(spark, sf_dir).mart, root, "mart", "baseline")
+    return read_snapshot(spark, root, "mart", "baseline")
+
+
+@register("day_field_counts", """SELECT event_type, count(*) AS rows FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1""")
+def q_day_field_counts(spark, sf_dir):
+    """Events per type on the last day."""
+    versions = events_layers(spark, sf_dir).versions
+    last = F.date_sub(F.lit(fd.event_bounds(fd.read_table(spark, sf_dir, "events"))[1]).cast("date"), 1)
+    return agg.field_counts(versions, last, "event_type")
+
+
 # --- format round trips ----------------------------------------------------------------------
 
 PAGE_SCHEMA = T.StructType([

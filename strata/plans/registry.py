@@ -6,6 +6,7 @@ from __future__ import annotations
 def _load():
     # Importing the modules registers their queries.
     from strata.plans import queries  # noqa: F401
+    from strata.plans import queries_dumps  # noqa: F401
     from strata.plans import queries_elt  # noqa: F401
     from strata.plans import queries_ops  # noqa: F401
     from strata.plans import queries_raw  # noqa: F401

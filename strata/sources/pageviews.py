@@ -4,8 +4,8 @@ only in the file name (``pageviews-YYYYMMDD-HHmmss[.gz]``).
 ``read_pageviews`` keeps lines with exactly four fields and the wanted
 domain, attaches ``event_date``/``event_hour`` parsed from the file name and
 enforces strict UTF-8 (a line that is not valid UTF-8 fails the read, or is
-quarantined). gzip files are one task each: the decoded rows are
-repartitioned so later stages run in parallel."""
+quarantined). A gzip file is decoded by one task; ``partitions`` deals the
+decoded rows out again where few large files feed heavy stages."""
 
 from __future__ import annotations
 
