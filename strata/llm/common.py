@@ -42,16 +42,7 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder in the cluster's shared checkpoint folder, removed when
     the driver's JVM ends."""
-    path = shared_dir(spark, name)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    return shared_dir(spark, name)
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
