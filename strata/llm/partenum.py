@@ -19,8 +19,12 @@ Sets sharing a signature form a bucket. No pairs are listed within a bucket:
 every member is compared with the bucket's centre (the member with most
 company over all buckets), links are closed to components, and only the
 centres whose members still differ in component are worked through again, in
-square blocks of bounded size that return spanning links only. All
-comparisons are exact, on whole sets; nothing is capped or sampled.
+square blocks of bounded size that return spanning links only. Before whole
+sets are moved, candidates are compared by sketches a sixty-fourth of their
+size: counts of features per range of the domain, whose absolute differences
+add up to at most the number of differing features, so no similar pair is
+dismissed. All decisions are exact, on whole sets; nothing is capped or
+sampled.
 """
 
 from __future__ import annotations
@@ -118,6 +122,20 @@ def _digest(features: np.ndarray) -> tuple[int, int]:
     return int(one[0].astype(np.int64)), int(two.astype(np.int64))
 
 
+def sketch(features: np.ndarray) -> np.ndarray:
+    """Features (at most 255) in each of about len / 8 equal ranges of the domain."""
+    bits = max(3, (len(features) // 8).bit_length())
+    return np.minimum(np.bincount((features >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits),
+                      255).astype(np.uint8)
+
+
+def _folded(raw: list[bytes]) -> np.ndarray:
+    """Sketches as rows of one length, that of the shortest."""
+    rows = [np.frombuffer(r, np.uint8) for r in raw]
+    m = min(len(r) for r in rows)
+    return np.stack([r.reshape(m, -1).sum(axis=1, dtype=np.int32) for r in rows])
+
+
 def _describe(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -125,8 +143,9 @@ def _describe(words: int):
             dig = [_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([d[0] for d in dig], pa.int64()), pa.array([d[1] for d in dig], pa.int64())],
-                ["id", "n", "d", "d2"])
+                 pa.array([d[0] for d in dig], pa.int64()), pa.array([d[1] for d in dig], pa.int64()),
+                 pa.array([sketch(s).tobytes() if len(s) else b"" for s in sets], pa.binary())],
+                ["id", "n", "d", "d2", "sketch"])
     return run
 
 
@@ -159,6 +178,53 @@ def _similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * inter >= num * (len(a) + len(b) - inter)
 
 
+def _near(num: int, den: int):
+    """Of pairs (centre, d, n, sketch, n, sketch) those that may be similar."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_numpy() + b.column(4).to_numpy()
+            apart = np.array([np.abs(np.subtract(*_folded(list(p)))).sum()
+                              for p in zip(b.column(3).to_pylist(), b.column(5).to_pylist())], np.int64)
+            keep = pa.array(np.flatnonzero(apart * (den + num) <= n * (den - num)))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep)], ["centre", "d"])
+    return run
+
+
+def _retain(num: int, den: int):
+    """Streams rows (centre, i, j, d, comp, side, n, sketch) sorted by the first
+    three; returns those that may be similar to a member of another component."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def close():
+            at = np.zeros(0, np.int64)
+            if len(held) > 1:
+                comp, side, n = (np.array([h[k] for h in held], np.int64) for k in (4, 5, 6))
+                m = _folded([h[7] for h in held])
+                may = np.zeros(len(held), bool)
+                for i in range(len(held)):
+                    ok = (np.abs(m - m[i]).sum(axis=1) * (den + num) <= (n + n[i]) * (den - num)) & (comp != comp[i])
+                    if key[1] != key[2]:
+                        ok &= side != side[i]
+                    may[i] = ok.any()
+                at = np.flatnonzero(may)
+            cols = list(zip(*[held[i][:6] for i in at])) or [()] * 6
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                              ["centre", "i", "j", "d", "comp", "side"])
+
+        for b in batches:
+            for row in zip(*(b.column(k).to_pylist() for k in range(8))):
+                if row[:3] != key:
+                    if len(held) > 1:
+                        yield close()
+                    key, held = row[:3], []
+                held.append(row)
+        if len(held) > 1:
+            yield close()
+    return run
+
+
 def _verify(num: int, den: int):
     """Streams rows (centre, blk, member, d, features) sorted by the first
     three: the centre's own row comes first in each block."""
@@ -259,9 +325,11 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     small_batches(spark)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
-    about = stored(spark, src.mapInArrow(_describe(words), f"id {id_type}, n bigint, d bigint, d2 bigint"), "pe-docs")
+    about = stored(spark, src.mapInArrow(_describe(words), f"id {id_type}, n bigint, d bigint, d2 bigint, sketch binary"),
+                   "pe-docs")
     sets = stored(spark, about.filter("n > 0 AND id IS NOT NULL").groupBy("d").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"),
+        F.min("sketch").alias("sketch"),
         (F.max("d2") != F.min("d2")).alias("clash")), "pe-sets")
     if sets.filter("clash").limit(1).count():
         raise ValueError("two different sets share a 64-bit digest")
@@ -277,10 +345,16 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     star = stored(spark, buckets.select("sig", "d").join(centres, "sig").filter("d <> centre")
                   .select("centre", "d").distinct(), "pe-star")
 
+    drawn = sets.select("d", "n", "sketch")
+    of_centre = drawn.toDF("centre", "nc", "sc")
+    near = stored(spark, star.join(drawn, "d").join(of_centre, "centre")
+                  .select("centre", "d", "n", "sketch", "nc", "sc").mapInArrow(_near(num, den), "centre bigint, d bigint"),
+                  "pe-near")
+
     # Where each set goes: to a block of every centre it is compared with, and to all blocks of its own group.
-    group = star.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("nb"))
+    group = near.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("nb"))
     block = F.struct("centre", F.pmod(F.xxhash64("d"), F.col("nb")).cast("int").alias("blk"), F.lit(True).alias("member"))
-    goes = (star.join(group, "centre").groupBy("d").agg(F.collect_list(block).alias("to"))
+    goes = (near.join(group, "centre").groupBy("d").agg(F.collect_list(block).alias("to"))
             .join(group.withColumnRenamed("centre", "d"), "d", "full"))
     feats = _features(spark, src, sets, goes, words)
     none = F.array().cast(goes.schema["to"].dataType)
@@ -297,16 +371,22 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                              .withColumn("comp", F.coalesce("comp", key)))
     # Rows that repeat an id and text come twice; what is compared twice gives the same links.
     # Groups of a centre whose members are not yet of one component: compare members of different components.
-    member = label(tested.select("centre", "d"), "d")
+    member = label(star, "d")
     group = member.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"),
                                          F.max("comp").alias("hi")).filter("size > 1 AND lo <> hi")
-    nb = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
-    open_ = stored(spark, member.join(group, "centre").groupBy("d").agg(F.collect_list(F.struct(
-        "centre", "comp", nb.alias("nb"), F.pmod(F.xxhash64("d"), nb).cast("int").alias("own"))).alias("to")), "pe-open")
-    more = _features(spark, src, sets, open_, words).select("d", "features", F.explode("to").alias("t"))
-    more = more.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t.nb") - 1)))
-    more = (more.select("t.centre", F.least("t.own", "other").alias("i"), F.greatest("t.own", "other").alias("j"), "d",
-                        "t.comp", F.col("t.own").alias("side"), "features")
+    open_ = (member.join(group, "centre")
+             .withColumn("nb", F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("d"), F.col("nb")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+             .select("centre", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "d", "comp",
+                     F.col("own").alias("side")))
+    kept = (open_.join(drawn, "d").select(*open_.columns, "n", "sketch")
+            .repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
+            .mapInArrow(_retain(num, den), "centre bigint, i int, j int, d bigint, comp bigint, side int"))
+    kept = stored(spark, kept.groupBy("d").agg(F.collect_list(F.struct("centre", "i", "j", "comp", "side")).alias("to")),
+                  "pe-open")
+    more = _features(spark, src, sets, kept, words).select("d", "features", F.explode("to").alias("t"))
+    more = (more.select("t.centre", "t.i", "t.j", "d", "t.comp", "t.side", "features")
             .repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "d")
             .mapInArrow(_blocks(num, den), "a bigint, b bigint"))
     more = stored(spark, more, "pe-more")
