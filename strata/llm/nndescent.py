@@ -88,7 +88,7 @@ def fit_trees(sample: np.ndarray, rows: int, trees: int = TREES, leaf: int = LEA
             leaves += 1
             if parent is not None:
                 children[parent][side] = -leaves
-        dim = sample.shape[1] if len(sample) else 0
+        dim = max(1, sample.shape[1])
         out.append((np.array(normals, np.float32).reshape(-1, dim), np.array(cuts, np.float32),
                     np.array(children, np.int64).reshape(-1, 2)))
     return out
