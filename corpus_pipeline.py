@@ -39,7 +39,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = linededup.remove_boilerplate(spark, docs, removed="__removed")
+    clean = linededup.remove_boilerplate(spark, docs, removed="__removed", by_classes=True)
     n = F.when(F.col("__removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", n).select(docs.columns)
 

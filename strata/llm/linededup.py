@@ -11,6 +11,15 @@ parts are built first, then merged by aggregation, so a line on a third of
 all rows is never one task's input. Only lines with at least ``min_sites``
 occurrences can spread that far, so only they get sketches. Lines whose
 estimates come near a threshold get exact distinct counts.
+
+That rule is the one the SQL of op5_line_dedup states. It spares notices that
+keep a neighbour (a document's edge, a blank line, the rest of a longer
+notice) and takes the lines of a text copied exactly. The pipeline therefore
+decides by classes of near copies (``spread_boilerplate``): a line goes if it
+stands on enough distinct sites and in ``MIN_TEXTS`` or more classes of texts.
+Texts are of one class if linked by an equal band of minhashes of their word
+shingles, so a document copied to many sites, exactly or nearly, is one class
+wherever it stands, and neighbours play no part.
 """
 
 from __future__ import annotations
@@ -19,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
+from strata.llm.components import components
 
 MIN_SITES = 15
 MIN_COMPANY = 0.25
@@ -27,6 +37,11 @@ LG_K = 12
 NEAR = 0.1
 SALT = 16
 COUNTED = ("site", "before", "after", "doc")
+# Classes of near copies that must hold a line.
+MIN_TEXTS = 10
+# Shingles of WORDS words; the LOWEST hashes stand for a text; equal BANDS of ROWS minhashes link texts: nearly always
+# where nine tenths of the shingles are shared, seldom where a third is (1 - (1 - share ** ROWS) ** BANDS).
+WORDS, LOWEST, BANDS, ROWS = 3, 64, 8, 4
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -44,28 +59,66 @@ def _lines(docs: DataFrame) -> DataFrame:
 def boilerplate(spark: SparkSession, lines: DataFrame, min_sites: int = MIN_SITES,
                 min_company: float = MIN_COMPANY) -> DataFrame:
     """(h): hashes of boilerplate lines among ``_lines`` rows."""
-    often = stored(spark, lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_sites)
+    cand = _often(spark, lines, min_sites).select("h", *COUNTED)
+    company = F.least("before", "after")
+    return _passing(spark, cand, COUNTED, lambda slack_up, slack_down: (
+        (F.col("site") >= min_sites * slack_up)
+        & (company * slack_down >= F.col("doc") * min_company * slack_up)), "lines-boilerplate")
+
+
+def _often(spark: SparkSession, lines: DataFrame, least: int) -> DataFrame:
+    """Rows of the lines that occur at least so often."""
+    often = stored(spark, lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
                    .select("h"), "lines-often")
-    cand = lines.join(often, "h", "left_semi").select("h", *COUNTED)
+    return lines.join(often, "h", "left_semi")
+
+
+def _passing(spark: SparkSession, cand: DataFrame, counted: tuple, passes, name: str) -> DataFrame:
+    """(h): lines whose distinct counts of the ``counted`` columns pass, by sketches first, exactly near a threshold."""
     parts = cand.groupBy("h", F.pmod("doc", F.lit(SALT)).alias("salt")).agg(
-        *[F.hll_sketch_agg(c, LG_K).alias(c) for c in COUNTED])
-    merged = parts.groupBy("h").agg(*[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).alias(c) for c in COUNTED])
+        *[F.hll_sketch_agg(c, LG_K).alias(c) for c in counted])
+    merged = parts.groupBy("h").agg(*[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).alias(c) for c in counted])
     merged = stored(spark, merged, "lines-spread")
-    company = F.least("before", "after")
-    passes = lambda slack_up, slack_down: ((F.col("site") >= min_sites * slack_up)
-                                           & (company * slack_down >= F.col("doc") * min_company * slack_up))
     sure = merged.filter(passes(1 + NEAR, 1 - NEAR)).select("h")
     near = merged.filter(passes(1 - NEAR, 1 + NEAR) & ~passes(1 + NEAR, 1 - NEAR)).select("h")
     exact = (cand.join(near, "h", "left_semi").groupBy("h")
-             .agg(*[F.count_distinct(c).alias(c) for c in COUNTED]).filter(passes(1, 1)).select("h"))
-    return stored(spark, sure.unionByName(exact), "lines-boilerplate")
+             .agg(*[F.count_distinct(c).alias(c) for c in counted]).filter(passes(1, 1)).select("h"))
+    return stored(spark, sure.unionByName(exact), name)
+
+
+def _bands(flat: DataFrame) -> DataFrame:
+    """(doc, band): hashes of the bands of minhashes of each text."""
+    words = flat.select("doc", F.split(F.trim(F.lower("text")), r"\s+").alias("w"))
+    grams = F.transform("w", lambda x, i: F.xxhash64(x, *[F.get("w", i + k) for k in range(1, WORDS)]))
+    low = words.select("doc", F.slice(F.sort_array(F.array_distinct(grams)), 1, LOWEST).alias("low"))
+    least = lambda b, r: F.array_min(F.transform("low", lambda h: F.xxhash64(h, b, F.lit(r))))
+    bands = F.transform(F.sequence(F.lit(1), F.lit(BANDS)), lambda b: F.xxhash64(b, *[least(b, r) for r in range(ROWS)]))
+    return low.select("doc", F.explode(bands).alias("band"))
+
+
+def spread_boilerplate(spark: SparkSession, flat: DataFrame, lines: DataFrame, min_sites: int = MIN_SITES,
+                       min_texts: int = MIN_TEXTS) -> DataFrame:
+    """(h): hashes of the lines that stand on ``min_sites`` sites and in ``min_texts`` classes of near copies."""
+    cand = _often(spark, lines, max(min_sites, min_texts)).select("h", "doc", "site")
+    at_least = lambda texts: lambda up, _: (F.col("site") >= min_sites * up) & (F.col(texts) >= min_texts * up)
+    wide = _passing(spark, cand, ("site", "doc"), at_least("doc"), "lines-wide")
+    cand = stored(spark, cand.join(wide, "h", "left_semi").distinct(), "lines-held")
+    holders = cand.select("doc").distinct()
+    bands = stored(spark, _bands(flat.select("doc", "text")).join(holders, "doc", "left_semi").distinct(), "lines-bands")
+    shared = bands.groupBy("band").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).filter("a < z").select("band")
+    classes = components(spark, bands.join(shared, "band", "left_semi"), "doc", "band")
+    cand = (cand.join(classes, cand.doc == classes.node, "left")
+            .select("h", "doc", "site", F.coalesce("comp", "doc").alias("class")))
+    return _passing(spark, cand, ("site", "class"), at_least("class"), "lines-boilerplate")
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        site_col: str = "source", min_sites: int = MIN_SITES, min_company: float = MIN_COMPANY,
-                       removed: str = "removed_lines") -> DataFrame:
+                       removed: str = "removed_lines", by_classes: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines taken out of its text and a count of
-    them in the new column ``removed``.
+    them in the new column ``removed``; ``by_classes`` decides by classes of
+    near copies instead of by
+    neighbours.
 
     Every row stays; a text all of whose lines go becomes empty. Blank lines
     are never boilerplate. Null texts stay null, a null site counts for no
@@ -79,7 +132,9 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     flat = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(text).alias("doc"),
                        F.col(site_col).cast("string").alias("site"), text.alias("text"))
     lines = _lines(flat)
-    drop = lines.select("key", "pos", "h").join(boilerplate(spark, lines, min_sites, min_company), "h", "left_semi")
+    bad = (spread_boilerplate(spark, flat, lines, min_sites) if by_classes
+           else boilerplate(spark, lines, min_sites, min_company))
+    drop = lines.select("key", "pos", "h").join(bad, "h", "left_semi")
     # Rows with one key have one text: their positions coincide.
     per_doc = drop.groupBy("key").agg(F.collect_set("pos").alias("gone"))
     names = [f"c{i}" for i in range(len(docs.columns))]     # own names while joined: inputs may clash with them
