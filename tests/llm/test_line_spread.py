@@ -32,3 +32,11 @@ def test_notices_go_wherever_they_stand(spark, place, sites):
                                 "block": [*b[:4], *notice, *b[4:]]}[place]))
     kept = ["\n".join([*b[:4], "", "", *b[4:]] if place == "blank" else b) for b in own]
     assert run(spark, texts, sites) == kept
+
+
+def test_exact_and_near_copies_keep_their_lines(spark):
+    r = random.Random(2)
+    base, other = prose(r, 12), prose(r, 12)
+    near = [[*other[:k % 12], other[k % 12] + f" edit{k}", *other[k % 12 + 1:]] for k in range(120)]
+    texts = ["\n".join(base)] * 40 + ["\n".join(t) for t in near] + ["\n".join(prose(r)) for _ in range(20)]
+    assert run(spark, texts, 20) == texts
