@@ -37,7 +37,7 @@ LG_K = 12
 NEAR = 0.1
 SALT = 16
 COUNTED = ("site", "before", "after", "doc")
-# Classes of near copies that must hold a line.
+# Classes of near copies that must hold a line; the sites it must reach are half of the table's, from 2 to MIN_SITES.
 MIN_TEXTS = 10
 # Shingles of WORDS words; the LOWEST hashes stand for a text; equal BANDS of ROWS minhashes link texts: nearly always
 # where nine tenths of the shingles are shared, seldom where a third is (1 - (1 - share ** ROWS) ** BANDS).
@@ -96,9 +96,12 @@ def _bands(flat: DataFrame) -> DataFrame:
     return low.select("doc", F.explode(bands).alias("band"))
 
 
-def spread_boilerplate(spark: SparkSession, flat: DataFrame, lines: DataFrame, min_sites: int = MIN_SITES,
+def spread_boilerplate(spark: SparkSession, flat: DataFrame, lines: DataFrame, most_sites: int = MIN_SITES,
                        min_texts: int = MIN_TEXTS) -> DataFrame:
-    """(h): hashes of the lines that stand on ``min_sites`` sites and in ``min_texts`` classes of near copies."""
+    """(h): hashes of the lines that stand on half of the table's sites (from
+    2 to ``most_sites``) and in ``min_texts`` classes of near copies."""
+    sites = flat.filter("site IS NOT NULL").select("site").distinct().count()
+    min_sites = min(most_sites, max(2, -(-sites // 2)))
     cand = _often(spark, lines, max(min_sites, min_texts)).select("h", "doc", "site")
     at_least = lambda texts: lambda up, _: (F.col("site") >= min_sites * up) & (F.col(texts) >= min_texts * up)
     wide = _passing(spark, cand, ("site", "doc"), at_least("doc"), "lines-wide")
@@ -117,7 +120,7 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
                        removed: str = "removed_lines", by_classes: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines taken out of its text and a count of
     them in the new column ``removed``; ``by_classes`` decides by classes of
-    near copies instead of by
+    near copies (``min_sites`` is then the most sites asked for) instead of by
     neighbours.
 
     Every row stays; a text all of whose lines go becomes empty. Blank lines

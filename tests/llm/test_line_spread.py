@@ -21,7 +21,7 @@ def run(spark, texts, sites):
     return [got[i][0] for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("sites", [20])
+@pytest.mark.parametrize("sites", [3, 20])
 @pytest.mark.parametrize("place", ["last", "first", "blank", "block"])
 def test_notices_go_wherever_they_stand(spark, place, sites):
     r = random.Random(1)
@@ -40,3 +40,16 @@ def test_exact_and_near_copies_keep_their_lines(spark):
     near = [[*other[:k % 12], other[k % 12] + f" edit{k}", *other[k % 12 + 1:]] for k in range(120)]
     texts = ["\n".join(base)] * 40 + ["\n".join(t) for t in near] + ["\n".join(prose(r)) for _ in range(20)]
     assert run(spark, texts, 20) == texts
+
+
+def test_notice_on_copies_and_others_goes(spark):
+    r = random.Random(3)
+    base = prose(r)
+    texts = ["\n".join([*base, "Notice."])] * 30 + ["\n".join([*prose(r), "Notice."]) for _ in range(40)]
+    assert run(spark, texts, 8) == [t.removesuffix("\nNotice.") for t in texts]
+
+
+def test_one_source_loses_nothing(spark):
+    r = random.Random(4)
+    texts = ["\n".join([*prose(r), "Notice."]) for _ in range(40)]
+    assert run(spark, texts, 1) == texts
