@@ -281,15 +281,15 @@ def _states(t: Tree) -> np.ndarray:
     return y
 
 
-def extract(model: Model, pages: list[str | None]) -> list[str]:
-    """Content blocks of each page in order, joined by a line feed."""
+def extract(model: Model, pages: list[str | None], separator: str = "\n") -> list[str]:
+    """Content blocks of each page in order, joined by ``separator``."""
     trees = [parse(p) for p in pages]
     if not trees:
         return []
     keep = propagate(model, Forest(trees))[0][:, 1] >= 0.5
     out, at = [], 0
     for t in trees:
-        out.append("\n".join(s for s, k in zip(t.text, keep[at:at + len(t.text)]) if k and s))
+        out.append(separator.join(s for s, k in zip(t.text, keep[at:at + len(t.text)]) if k and s))
         at += len(t.text)
     return out
 
@@ -366,9 +366,9 @@ def labelled_pages(count: int = 300, seed: int = 7) -> list[str]:
 
 
 def extract_pages(spark: SparkSession, pages: DataFrame, html_col: str = "html", out: str = "text",
-                  model: Model | None = None) -> DataFrame:
-    """``pages`` with its main text in a new column ``out``; every row gets
-    one, empty for a null, empty or contentless page. Rows are independent:
+                  model: Model | None = None, separator: str = "\n\n") -> DataFrame:
+    """``pages`` with its main text in a new column ``out``, its blocks joined
+    by ``separator``; every row gets one, empty for a null, empty or contentless page. Rows are independent:
     nulls elsewhere and repeated rows are passed through; an empty table stays
     empty; an existing column ``out`` is an error."""
     if out in pages.columns:
@@ -379,7 +379,7 @@ def extract_pages(spark: SparkSession, pages: DataFrame, html_col: str = "html",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = extract(held.value, b.column(at).to_pylist())
+            text = extract(held.value, b.column(at).to_pylist(), separator)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], [*b.schema.names, out])
 
     return pages.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())]))
