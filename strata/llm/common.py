@@ -25,9 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Short Arrow batches, and this package on the Python path of all tasks."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def ship(spark: SparkSession) -> None:
+    """This package on the Python path of all tasks."""
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = Path(strata.__file__).parent
@@ -39,6 +38,12 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         _SHIPPED.add(sc.applicationId)
 
 
+def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Short Arrow batches, and this package on the Python path of all tasks."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    ship(spark)
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder in the cluster's shared checkpoint folder, removed when
     the driver's JVM ends."""

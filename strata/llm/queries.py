@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, htmlgraph, linededup, nndescent, ownership, packing, records, toxicity, warc
+from strata.llm import (decontaminate, htmlgraph, linededup, nndescent, ownership, packing, records, resample, sharding,
+                        toxicity, warc, whitening)
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
-from strata.llm.sql import JACCARD_SQL, LINES_SQL, SECRETS_SQL, WARC_SQL
+from strata.llm.sql import JACCARD_SQL, LINES_SQL, RESAMPLE_SQL, SECRETS_SQL, WARC_SQL
 
 
 @register("op1_packing")
@@ -91,3 +92,27 @@ def op9_nn_descent(spark, sf_dir):
 def op10_decontamination(spark, sf_dir):
     found = decontaminate.find_passages(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@register("op11_resampling", RESAMPLE_SQL)
+def op11_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = table(spark, sf_dir, "benchmark").select("text")
+    return resample.resample(spark, docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op12_sharding")
+def op12_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = sharding.read_shards(spark, sharding.write_shards(spark, docs), docs)
+    return back.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+                       F.lit("bytes").alias("law"), "shard", F.col("number").alias("slot"),
+                       F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+@register("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(spark, vectors)
+    white = whitening.whiten(spark, vectors, model).drop("embedding")
+    return whitening.components(white, model)

@@ -101,3 +101,44 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
        CASE WHEN d.page_id = f.first THEN NULL ELSE f.first END AS refers_to
 FROM d JOIN f USING (x)
 """
+
+# crc32 of the distinct words by its table of 256; sums and noise in doubles, means by whole-number division.
+RESAMPLE_SQL = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+cut AS (
+  SELECT 's' AS side, doc_id AS id, row_number() OVER () AS r, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 't', item_id, row_number() OVER (), regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+flat AS (SELECT side, r, w, count(*) AS n FROM (SELECT side, r, unnest(w) AS w FROM cut) GROUP BY ALL),
+word AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(CAST(length(h) / 2 AS BIGINT)),
+              lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 10000 AS b
+  FROM (SELECT DISTINCT w, hex(encode(w)) AS h FROM flat), tab),
+counts AS (SELECT b, sum(n) FILTER (WHERE side = 's') AS s, sum(n) FILTER (WHERE side = 't') AS t
+           FROM flat JOIN word USING (w) GROUP BY b),
+total AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM counts),
+gain AS (SELECT b, CAST(floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all::DOUBLE + 10000)
+                                        / ((coalesce(s, 0)::DOUBLE + 1) * (t_all::DOUBLE + 10000)))) AS BIGINT) AS g
+         FROM counts, total),
+per AS (SELECT r, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * g) AS BIGINT) AS g
+        FROM flat JOIN word USING (w) JOIN gain USING (b) WHERE side = 's' GROUP BY r),
+scored AS (
+  SELECT id AS doc_id, coalesce(n, 0) AS n_features,
+         CASE WHEN n IS NULL THEN 0 ELSE (g - ((g % n) + n) % n) // n END AS weight,
+         CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(id::VARCHAR, '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                                   / 4294967296::DOUBLE))) AS BIGINT) AS noise
+  FROM cut LEFT JOIN per USING (r) WHERE side = 's'),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS k,
+                  10 * count(*) OVER () // 100 AS places
+           FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, s.n_features, CAST(s.weight AS BIGINT) AS weight, CAST(s.weight + s.noise AS BIGINT) AS score,
+       CASE WHEN k <= places THEN k END AS rank
+FROM scored s LEFT JOIN ranked USING (doc_id)
+"""
