@@ -12,13 +12,13 @@ reread as the next one's input.
 
 Nulls: a null text counts as empty and is never toxic by its words, similar
 to anything or contaminated; a row without an id is kept by stages 1 to 4.
-Rows that repeat an id are one document: the stage near_duplicates keeps the
-one with the smallest text. Empty tables pass through.
+Rows are told apart by id and text: of rows that repeat both, the stage
+near_duplicates keeps one. Empty tables pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, linededup, packing, toxicity
@@ -45,15 +45,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_groups(spark, docs, words=5, num=80, den=100)
-    # Ids that stand for another document of their group, and ids of repeated rows: the only rows to look at again.
-    per_id = groups.filter("id IS NOT NULL").groupBy(F.col("id").alias("__id")).agg(
+    # A row's key orders by id, then by text: rows that repeat an id with another text are documents of their own.
+    key = (F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 48).cast("decimal(15,0)")).cast("decimal(38,0)")
+    tail = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 16)
+    keyed = docs.withColumn("__key", (key + tail).cast("decimal(38,0)"))
+    groups = jaccard_groups(spark, keyed, id_col="__key", words=5, num=80, den=100)
+    # Keys that stand for another document of their group, and keys of repeated rows: the only rows to look at again.
+    per_key = groups.filter("id IS NOT NULL").groupBy(F.col("id").alias("__key")).agg(
         F.min(F.col("component") == F.col("id")).alias("__first"), F.count(F.lit(1)).alias("__rows"))
-    seen = stored(spark, per_id.filter(~F.col("__first") | (F.col("__rows") > 1)), "pipeline-repeats")
-    kept = docs.join(seen.select("__id"), F.col("doc_id") == F.col("__id"), "left_anti")
-    repeated = (docs.join(seen.filter("__first"), F.col("doc_id") == F.col("__id"))
-                .withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy("text")))
-                .filter("__n = 1").select(docs.columns))
+    seen = stored(spark, per_key.filter(~F.col("__first") | (F.col("__rows") > 1)), "pipeline-repeats")
+    kept = keyed.join(seen.select("__key"), "__key", "left_anti").select(docs.columns)
+    # One row of those that repeat, by an aggregation that keeps a single row per key from the first task on.
+    repeated = (keyed.join(seen.filter("__first").select("__key"), "__key")
+                .groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*"))
     return kept.unionByName(repeated) if seen.filter("__first").limit(1).count() else kept
 
 
