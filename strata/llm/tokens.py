@@ -17,8 +17,8 @@ import re
 import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-# Distinct pieces kept per task process before the table starts anew.
-CACHE_PIECES = 1_000_000
+# Distinct pieces kept per task process before the table starts anew: about 40 MB.
+CACHE_PIECES = 300_000
 # Pieces encoded by one call: longer calls cost more per piece.
 JOINED = 128
 # Characters of a text split at once.
@@ -50,11 +50,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
         size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         spec = json.loads(self.tok.to_str())
         pre = spec.get("pre_tokenizer") or {}
+        added = [t["content"] for t in spec.get("added_tokens") or ()]
+        # Added tokens are found in a text before anything else: texts that hold one are encoded whole.
+        self._added = re.compile("|".join(map(re.escape, added))) if added else None
         self.by_pieces = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                           and not pre.get("add_prefix_space") and not spec.get("normalizer")
                           and all(t["special"] for t in spec.get("added_tokens") or ()))
@@ -97,7 +99,7 @@ class Encoder:
         """Ids of a whole text; null is empty."""
         if not text:
             return np.zeros(0, self.dtype)
-        if not self.by_pieces or _ODD.search(text):
+        if not self.by_pieces or _ODD.search(text) or (self._added and self._added.search(text)):
             return self._ids(text)
         out = []
         for part in self._segments(text):

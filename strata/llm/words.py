@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 _MULT = 0x5851F42D4C957F2D
 _INV = pow(_MULT, -1, 1 << 64)
 _POW: dict[str, np.ndarray] = {}

@@ -17,18 +17,31 @@ def enc():
     return tokens.Encoder(tokens.tokenizer_path())
 
 
+@pytest.fixture(scope="module")
+def plain():
+    """The library's own object, as a user loads it."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(tokens.tokenizer_path())
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.lists(PIECES, max_size=25))
-def test_pieces_equal_whole(enc, parts):
+def test_pieces_equal_whole(enc, plain, parts):
     text = "".join(parts)
-    assert enc.encode(text).tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+    assert enc.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
-def test_long_text_segments_and_cache_reset(enc, monkeypatch):
+def test_long_text_segments_and_cache_reset(enc, plain, monkeypatch):
     monkeypatch.setattr(tokens, "SEGMENT", 50)
     monkeypatch.setattr(tokens, "CACHE_PIECES", 7)
     text = " ".join(f"word{i}, again" for i in range(200)) + "\n\n  end"
-    assert enc.encode(text).tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+    assert enc.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_special_strings_are_the_librarys(enc, plain):
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext", "it's <|endoftext|>. end"):
+        assert enc.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert enc.encode("a <|endoftext|> b").tolist().count(50256) == 1
 
 
 def test_null_and_empty(enc):
