@@ -1,20 +1,26 @@
 """Counterfactual-regularised toxicity classifier.
 
 A logistic model over the density of hashed words and word beginnings. To the
-labelled rows' log loss it adds, for every labelled text that names a group,
-the squared change of the score when the group term is swapped for another of
-its kind: what the label does not explain then does not hang on who is
-mentioned, and neutral mentions score low.
+labelled rows' log loss it adds the squared change of the score when a group
+term in a labelled text is swapped for another of its kind: what the label
+does not explain then does not hang on who is mentioned, and neutral mentions
+score low. A text that names a group is paired with its swapped version and
+with one that has a neutral word in the term's place. Into every other text a
+term, chosen by the text, is put at a slot, and paired with the same text with
+another term there, and with none; such a mention keeps its text's label. (The
+model weighs words, not their order: the place of the slot does not matter.)
 
 Fitting uses a bounded sample of labelled rows (``MAX_TRAIN``, those with the
 smallest hash of the id); features are chosen by their class frequencies in
-it. Scoring covers every row and whole texts: the score of a text is the mean
-weight of its tokens, one pass without a shuffle.
+it, and those of the group terms are always among them. Scoring covers every
+row and whole texts: the score of a text is the mean weight of its tokens, one
+pass without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +41,9 @@ DENSITY = 50.0
 ROUNDS = 150
 L2 = 1e-5
 SWAP_WEIGHT = 1.0       # weight of the counterfactual term
-# Group terms, swapped within their row.
+MENTION_WEIGHT = 0.1    # weight of a text with a term put in, beside the text itself
+NEUTRAL = "0"           # stands for a term in the neutral version of a text
+# Group terms, swapped within their row (English, German, French, Spanish).
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
@@ -44,6 +52,12 @@ IDENTITY_TERMS = (
     ("gay", "lesbian", "straight", "bisexual", "transgender"),
     ("immigrants", "natives", "refugees", "foreigners"),
     ("old", "young"), ("disabled", "deaf", "blind"),
+    ("frauen", "männer"), ("frau", "mann"), ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("türken", "deutsche", "polen", "syrer", "ausländer"), ("schwul", "lesbisch", "bisexuell", "heterosexuell"),
+    ("femmes", "hommes"), ("femme", "homme"), ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("arabes", "africains", "asiatiques", "européens"), ("lesbienne", "hétérosexuelle", "bisexuelle"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("gitanos", "negros", "blancos", "asiáticos", "latinos"), ("lesbianas", "heterosexuales", "bisexuales"),
 )
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -57,6 +71,7 @@ _FOLD[128:] = np.arange(128, 256)
 class Model:
     weights: np.ndarray     # one per hashed feature
     bias: float
+    pairs: int = 0          # swapped pairs fitted on
 
 
 def _fold(text: str | None) -> bytes:
@@ -67,9 +82,10 @@ def _swapper(groups):
     other = {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
     pattern = re.compile(r"\b(" + "|".join(sorted(map(re.escape, other), key=len, reverse=True)) + r")\b", re.I)
 
-    def swap(text: str) -> str | None:
+    def swap(text: str) -> tuple[str | None, str | None]:
+        """The text with its terms swapped, and with a neutral word for each."""
         out, n = pattern.subn(lambda m: other[m[1].lower()], text)
-        return out if n else None
+        return (out, pattern.sub(NEUTRAL, text)) if n else (None, None)
     return swap
 
 
@@ -124,57 +140,87 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                       pa.array(seen[0, f].astype(np.int64))], ["f", "n1", "n0"])
 
 
+def _pairs(texts: list[str | None], groups, own: list[tuple[np.ndarray, np.ndarray]]):
+    """For each text: differences (features, densities) of the text from its
+    swapped and from its neutral version, and of the text with a term put in
+    the (features, densities, words) of the term. What isn't there is None."""
+    swap = _swapper(groups)
+    turned = [swap(t or "") for t in texts]
+    swapped, neutral = features([t for t, _ in turned]), features([t for _, t in turned])
+    flat = [(row, t) for row in groups for t in row]
+    place = {t: k for k, (_, t) in enumerate(flat)}
+    single = features([t for _, t in flat])
+    for text, (new, _), o, e, (u, v) in zip(texts, turned, swapped, neutral, own):
+        if new is not None:
+            yield *[(np.concatenate((u, x[0])), np.concatenate((v, -x[1]))) for x in (o, e)], None
+        elif len(u):
+            row, term = flat[zlib.crc32(text.encode()) % len(flat)]
+            n = len(_fold(text).split())
+            (a, av), (b, bv) = single[place[term]], single[place[row[(row.index(term) + 1) % len(row)]]]
+            mention = (a, av / (n + 1))
+            yield (np.concatenate((a, b)), np.concatenate((av, -bv)) / (n + 1)), mention, (*mention, n)
+        else:
+            yield None, None, None
+
+
 def _rows_task(chosen: np.ndarray, groups):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << BITS, -1)
         place[chosen] = np.arange(len(chosen))
-        swap = _swapper(groups)
 
         def row(f):
-            u, v = f
-            u = place[u]
-            return u[u >= 0].astype("<i4").tobytes(), v[u >= 0].astype("<f4").tobytes()
+            if f is None:
+                return None, None
+            u = place[f[0]]
+            return u[u >= 0].astype("<i4").tobytes(), f[1][u >= 0].astype("<f4").tobytes()
 
         for b in batches:
             texts = b.column(1).to_pylist()
-            own = [row(f) for f in features(texts)]
-            turned = [swap(t or "") for t in texts]
-            other = features(turned)
-            pairs = [row(o) if t is not None else (None, None) for o, t in zip(other, turned)]
+            own = features(texts)
+            swaps, neutrals, mentions = zip(*_pairs(texts, groups, own)) if texts else ((), (), ())
+            sides = [[row(f) for f in side] for side in (own, swaps, neutrals, [m and m[:2] for m in mentions])]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array([x[k] for x in own], pa.binary()) for k in (0, 1)],
-                 *[pa.array([x[k] for x in pairs], pa.binary()) for k in (0, 1)]], ["y", "u", "v", "su", "sv"])
+                [b.column(0), *[pa.array([x[k] for x in side], pa.binary()) for side in sides for k in (0, 1)],
+                 pa.array([m and m[2] for m in mentions], pa.int64())], _ROW_COLUMNS)
     return run
 
 
+_ROW_COLUMNS = ["y", "u", "v", "du", "dv", "eu", "ev", "mu", "mv", "words"]
+
+
 def _sparse(us, vs):
     us, vs = [np.frombuffer(u, "<i4") for u in us], [np.frombuffer(v, "<f4") for v in vs]
     row = np.repeat(np.arange(len(us)), np.array([len(u) for u in us], np.int64))
     return row, *(np.concatenate(x) if x else np.zeros(0, t) for x, t in ((us, np.int32), (vs, np.float32)))
 
 
-def fit_rows(y: np.ndarray, rows, swapped, size: int, swap_weight: float = SWAP_WEIGHT) -> tuple[np.ndarray, float]:
-    """Weights and bias for sparse rows; ``swapped``: for rows that name a
-    group, (row number, sparse row of the swapped text)."""
+def fit_rows(y: np.ndarray, rows, pairs, mentions, size: int,
+             swap_weight: float = SWAP_WEIGHT) -> tuple[np.ndarray, float]:
+    """Weights and bias for sparse rows; ``pairs``: (weight of each pair, sparse
+    differences); ``mentions``: (row numbers, words of the row, sparse terms),
+    rows with a term put in."""
     r, c, v = rows
-    at, (sr, sc, sv) = swapped
-    # Difference rows: features of the text less those of its swapped version.
-    turn = np.full(len(y), -1)
-    turn[at] = np.arange(len(at))
-    keep = turn[r] >= 0
-    dr = np.concatenate((turn[r][keep], sr))
-    dc = np.concatenate((c[keep], sc))
-    dv = np.concatenate((v[keep], -sv))
+    pair, (dr, dc, dv) = pairs
+    at, n_words, (mr, mc, mv) = mentions
+    share = n_words / (n_words + 1.0)       # what a term put in leaves of the densities
     w, bias = np.zeros(size), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0
     m, s = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, ROUNDS + 1):
-        z = np.bincount(r, v * w[c], minlength=len(y)) + bias
-        g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        grad = np.bincount(c, v * g[r], minlength=size) / max(len(y), 1) + L2 * w
+        z = np.bincount(r, v * w[c], minlength=len(y))
+        g = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30))) - y
+        slope = g.mean() if len(y) else 0.0
+        extra = np.zeros(size)
         if len(at):
-            change = np.bincount(dr, dv * w[dc], minlength=len(at))
-            grad += swap_weight * np.bincount(dc, dv * change[dr], minlength=size) / len(at)
-        full = np.append(grad, g.mean() if len(y) else 0.0)
+            za = z[at] * share + np.bincount(mr, mv * w[mc], minlength=len(at)) + bias
+            ga = MENTION_WEIGHT * (1 / (1 + np.exp(-np.clip(za, -30, 30))) - y[at])
+            g[at] += ga * share
+            slope += ga.sum() / len(y)
+            extra = np.bincount(mc, mv * ga[mr], minlength=size) / len(y)
+        grad = np.bincount(c, v * g[r], minlength=size) / max(len(y), 1) + extra + L2 * w
+        if len(pair):
+            change = pair * np.bincount(dr, dv * w[dc], minlength=len(pair))
+            grad += swap_weight * np.bincount(dc, dv * change[dr], minlength=size)
+        full = np.append(grad, slope)
         m, s = 0.9 * m + 0.1 * full, 0.98 * s + 0.02 * full * full
         step = 0.3 * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.98 ** t)) + 1e-9)
         w -= step[:-1]
@@ -185,14 +231,16 @@ def fit_rows(y: np.ndarray, rows, swapped, size: int, swap_weight: float = SWAP_
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", groups=IDENTITY_TERMS, swap_weight: float = SWAP_WEIGHT,
           max_train: int = MAX_TRAIN) -> Model:
-    """Fit on at most ``max_train`` labelled rows of ``labels`` (ids repeated
-    there count once, by their largest label; null ids and labels are left
-    out). Without labelled rows every score is 0.5."""
+    """Fit on at most ``max_train`` labelled rows of ``labels`` that have a
+    document (ids repeated there count once, by their largest label; null ids
+    and labels other than 0 and 1 are left out). Without labelled rows every
+    score is 0.5. Labelled texts without any swapped pair are an error."""
     small_batches(spark)
-    lab = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    lab = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
            .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
+           .join(src.select("id"), "id", "left_semi")
            .orderBy(F.xxhash64("id"), "id").limit(max_train))
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most max_train rows of two numbers are sent to the tasks.
     sample = stored(spark, src.join(F.broadcast(lab), "id").select("y", "text"), "toxic-sample")
     counts = sample.mapInArrow(_count_task, "f bigint, n1 bigint, n0 bigint").groupBy("f").agg(
@@ -201,16 +249,25 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
     odds = F.log((F.col("n1") + 0.5) / (n.get(1, 0) + 1.0)) - F.log((F.col("n0") + 0.5) / (n.get(0, 0) + 1.0))
     chosen = [x.f for x in counts.filter("n1 + n0 >= 3").orderBy(
         F.desc(F.abs(odds) * F.sqrt(F.col("n1") + F.col("n0"))), "f").limit(MAX_FEATURES).select("f").collect()]
-    chosen = np.sort(np.array(chosen, np.int64))
+    of_terms = [f for f, _ in features([t for row in groups for t in row])]
+    chosen = np.unique(np.concatenate([np.array(chosen, np.int64), *of_terms]))
     got = sample.mapInArrow(_rows_task(chosen, groups),
-                            "y int, u binary, v binary, su binary, sv binary").collect()
-    at = [i for i, x in enumerate(got) if x.su is not None]
+                            "y int, " + ", ".join(f"{c} binary" for c in _ROW_COLUMNS[1:-1]) + ", words bigint").collect()
+    turned = [x for x in got if x.du is not None]
+    at = [i for i, x in enumerate(got) if x.mu is not None]
+    if any(x.u for x in got) and not turned:
+        raise ValueError("no counterfactual pair: the group terms give none")
+    # Texts that name a group count as much as all others together, however few they are.
+    kind = np.array([x.mu is None for x in turned], int)
+    pair = 1 / np.bincount(kind, minlength=2)[kind] if turned else np.zeros(0)
+    differences = _sparse([x.du for x in turned] + [x.eu for x in turned], [x.dv for x in turned] + [x.ev for x in turned])
     w, bias = fit_rows(np.array([x.y for x in got], float), _sparse([x.u for x in got], [x.v for x in got]),
-                       (np.array(at, np.int64), _sparse([got[i].su for i in at], [got[i].sv for i in at])),
-                       len(chosen), swap_weight)
+                       (np.concatenate((pair, pair)), differences),
+                       (np.array(at, np.int64), np.array([got[i].words for i in at], float),
+                        _sparse([got[i].mu for i in at], [got[i].mv for i in at])), len(chosen), swap_weight)
     weights = np.zeros(1 << BITS)
     weights[chosen] = w
-    return Model(weights, bias)
+    return Model(weights, bias, len(turned))
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text",
@@ -221,12 +278,17 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "t
     if out in docs.columns:
         raise ValueError(f"column {out} exists")
     small_batches(spark)
-    held = spark.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
+    # The few weights that are not zero travel with the task.
+    places = np.flatnonzero(model.weights)
+    values, size, bias = model.weights[places], len(model.weights), model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = np.zeros(size)
+        dense[places] = values
+        fitted = Model(dense, bias)
         for b in batches:
-            s = score_texts(held.value, b.column(at).to_pylist())
+            s = score_texts(fitted, b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, out])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))

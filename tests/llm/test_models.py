@@ -121,6 +121,39 @@ def test_scores_for_every_row(spark):
         tx.score(spark, docs, model, out="y")
 
 
+def test_pairs_act_in_the_query(spark):
+    """The query's own model: pairs in every labelled text, and scores that hang little on the group named."""
+    from pyspark.sql import functions as F
+    from strata.llm.common import table
+    d = "/root/testdata/sf0.01"
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    fair, plain = (tx.train(spark, docs, labels, swap_weight=w) for w in (1.0, 0.0))
+    assert fair.pairs == labels.join(docs, "doc_id").filter("text rlike '[0-9A-Za-z]'").count() > 200
+    texts = [x.text for x in docs.filter("length(text) < 400").orderBy("doc_id").limit(40).collect()]
+
+    def spread(m):
+        return np.mean([np.ptp(tx.score_texts(m, [f"{t} {g}" for g in row])) for row in tx.IDENTITY_TERMS for t in texts])
+    assert spread(fair) < 0.01 and spread(fair) <= spread(plain)
+
+
+def test_scores_equal_plain_python(spark):
+    rows = corpus(5, 150)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(7, 2), (8, -1)], "doc_id long, toxic int")
+    model = tx.train(spark, docs, labels)
+    code = {}
+
+    def weight(word):           # of one word with its beginnings
+        if word not in code:
+            code[word] = sum(model.weights[f] * v / tx.DENSITY for f, v in zip(*tx.features([word])[0]))
+        return code[word]
+    for r in tx.score(spark, docs, model).collect():
+        words = r.text.lower().split()
+        z = model.bias + tx.DENSITY * sum(map(weight, words)) / len(words)
+        assert math.isclose(r.score, 1 / (1 + math.exp(-z)), rel_tol=1e-9)
+
+
 def test_long_text_scores_like_its_blocks(monkeypatch):
     from strata.llm import words
     m = tx.Model(np.random.default_rng(0).normal(size=1 << tx.BITS), 0.1)

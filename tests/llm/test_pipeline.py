@@ -37,6 +37,10 @@ def test_awkward_rows(spark):
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "3", "4", "None", "None"]
     twice = docs.filter("doc_id = 2 OR doc_id = 3")
     assert sorted(r.doc_id for r in cp.drop_near_duplicates(spark, twice, SF).collect()) == [2, 3]
+    other = "completely different words that nothing else in this table comes near to " * 3
+    mixed = docs.filter("doc_id = 1").unionByName(spark.createDataFrame([(1, other, "en", "s", 1), (1, other, "en", "s", 1)],
+                                                                        docs.schema))
+    assert sorted(r.text for r in cp.drop_near_duplicates(spark, mixed, SF).collect()) == sorted([good, other])
     for df in (docs, docs.limit(0)):
         for _, stage in cp.STAGES:
             assert stage(spark, df, SF).count() >= 0
