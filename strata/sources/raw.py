@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.tables import read_text_csv
+from strata.sources.quoted import read_quoted_csv
 
 # Expected (lower-cased) headers of the two raw inputs.
 EVENT_COLUMNS = [
@@ -42,29 +42,25 @@ def read_manifest(spark: SparkSession, folder: str) -> dict:
             "events_file": d.get("events_file"), "history_file": d.get("history_file")}
 
 
-def _lineage(df: DataFrame, meta: dict, slice_id: str, order: int, row_num: bool) -> DataFrame:
-    cols = [F.lit(meta["source_system"]).alias("_source_system"), F.lit(slice_id).alias("_slice_id"),
-            F.lit(order).cast("int").alias("_slice_order")]
-    if row_num:
-        # Order only: increasing within a file (multi-line CSV files are
-        # read by one task each).
-        cols.append(F.monotonically_increasing_id().alias("_row_num"))
-    cols += [F.lit(bool(meta["synthetic"])).alias("_is_synthetic"),
-             F.current_timestamp().alias("_loaded_at")]
-    return df.select("*", *cols)
+def _lineage(df: DataFrame, meta: dict, slice_id: str, order: int) -> DataFrame:
+    return df.select([c for c in df.columns if c != "_row_num"] + [
+        F.lit(meta["source_system"]).alias("_source_system"), F.lit(slice_id).alias("_slice_id"),
+        F.lit(order).cast("int").alias("_slice_order"), *[c for c in df.columns if c == "_row_num"],
+        F.lit(bool(meta["synthetic"])).alias("_is_synthetic"), F.current_timestamp().alias("_loaded_at")])
 
 
 def load_raw(spark: SparkSession, slices: Sequence[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
-    """``(raw_events, raw_history)`` for ``[(slice_id, folder), ...]``."""
+    """``(raw_events, raw_history)`` for ``[(slice_id, folder), ...]``.
+    ``_row_num`` of events grows within a file, whichever tasks read it."""
     events, history = [], []
     for order, (slice_id, folder) in enumerate(slices):
         meta = read_manifest(spark, folder)
         if meta["events_file"]:
-            ev = read_text_csv(spark, f"{folder.rstrip('/')}/{meta['events_file']}", EVENT_COLUMNS)
-            events.append(_lineage(ev, meta, slice_id, order, True))
+            ev = read_quoted_csv(spark, f"{folder.rstrip('/')}/{meta['events_file']}", EVENT_COLUMNS)
+            events.append(_lineage(ev, meta, slice_id, order))
         if meta["history_file"]:
-            h = read_text_csv(spark, f"{folder.rstrip('/')}/{meta['history_file']}", HISTORY_COLUMNS)
-            history.append(_lineage(h, meta, slice_id, order, False))
+            h = read_quoted_csv(spark, f"{folder.rstrip('/')}/{meta['history_file']}", HISTORY_COLUMNS).drop("_row_num")
+            history.append(_lineage(h, meta, slice_id, order))
     return _union(spark, events, EVENT_COLUMNS, True), _union(spark, history, HISTORY_COLUMNS, False)
 
 

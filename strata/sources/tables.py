@@ -38,17 +38,6 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType,
             .csv(path))
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str],
-                  multiline: bool = True) -> DataFrame:
-    """CSV scan where every column is text (raw landing). The header is
-    lower-cased and stripped, then must equal ``columns`` in order."""
-    check_header(spark, path, columns)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-            .option("mode", "FAILFAST").option("quote", '"').option("escape", '"')
-            .option("multiLine", multiline).csv(path))
-
-
 def check_header(spark: SparkSession, path: str, expected: Sequence[str]) -> None:
     """Header contract: the stripped, lower-cased header of every file at
     ``path`` equals ``expected``."""
