@@ -23,12 +23,11 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from strata.functions import in_window
 from strata.operators.aggregates import table_checksum
 from strata.session import hadoop_path, path_exists
+from strata.sources.tables import FILE_ROWS, by_size
 
 VERSION_COL = "publish_version"
 LOG_SCHEMA = ("run_id string, start_date date, end_date date, rows_published long, "
               "checksum string, version int, published_at timestamp, schema_json string")
-# Tasks that share a day of a publication.
-DAY_FILES = 4
 
 
 def publish_window(candidate: DataFrame, target: DataFrame | None, start, end,
@@ -140,9 +139,9 @@ class Publisher:
         version = self._next_version(rows)
         path = f"{self.data_path}/{VERSION_COL}={version}"
         inside = candidate.filter(in_window(self.date_col, start, end))
-        # A day's rows meet in a few tasks: files per day do not grow with the number of tasks.
-        (inside.repartition(F.col(self.date_col), F.pmod(F.xxhash64(*candidate.columns), F.lit(DAY_FILES)))
-         .write.mode("errorifexists").partitionBy(self.date_col).parquet(path))
+        # Files per day follow the day's size, not the number of tasks.
+        (by_size(inside, [self.date_col]).write.mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS)
+         .partitionBy(self.date_col).parquet(path))
         # Checksum of the rows as written (a compact re-read instead of
         # recomputing a lazy candidate); the explicit schema makes an empty
         # window read as an empty table.

@@ -43,12 +43,9 @@ def _class_matches(t):
         .select("event_key", "event_id", "magnitude", "class_name", "mag_min", "mag_max")
 
 
-def _in_range(mag, depth):
-    def q(t):
-        m, d = F.col("magnitude"), F.col("depth_km")
-        bad = (m.isNull() | ~m.between(mag[0], mag[1]) | d.isNull() | ~d.between(depth[0], depth[1]))
-        return t["fact"].filter(bad).select("event_key", "event_id", "magnitude", "depth_km")
-    return q
+def _out_of_range(mag, depth) -> str:
+    return " OR ".join(f"{c} IS NULL OR {c} NOT BETWEEN {lo} AND {hi}"
+                       for c, (lo, hi) in (("magnitude", mag), ("depth_km", depth)))
 
 
 def _mart_grain(t):
@@ -108,7 +105,8 @@ def elt_tests(statuses=QUAKE_STATUSES, event_types=QUAKE_TYPES,
         dq.not_null("mart", "events"),
         dq.singular("fact_matches_stg_count", _fact_vs_staging),
         dq.singular("mag_class_matches_magnitude", _class_matches),
-        dq.singular("magnitude_and_depth_in_range", _in_range(mag_range, depth_range)),
+        dq.rows_where("magnitude_and_depth_in_range", "fact", _out_of_range(mag_range, depth_range),
+                      ("event_key", "event_id", "magnitude", "depth_km")),
         dq.singular("mart_grain_unique", _mart_grain),
         dq.singular("mart_reconciles_with_fact", _mart_reconciles),
         dq.singular("network_history_no_overlap", _no_overlap),
@@ -120,15 +118,19 @@ LAYER_DIRS = {"versions": "stg", "latest": "stg", "network_history": "stg", "dim
               "dim_class": "dds", "dim_date": "dds", "fact": "dds", "mart": "mart_candidate"}
 
 
-def layer_writer(spark: SparkSession, root: str):
+def layer_writer(spark: SparkSession, root: str, tests=(), seen: dict | None = None):
     """``keep`` callback for ``build_layers``: write the layer as Parquet under
     ``root/<layer dir>/<table>`` and continue from the written table. Each
     layer is computed once from its written parents, lineage is cut (a lost
     executor re-reads files instead of recomputing the chain) and the tests
-    scan compact columnar tables."""
+    scan compact columnar tables. The failures of single-row ``tests`` are
+    counted by the write itself and put into ``seen``."""
     def keep(name: str, df: DataFrame) -> DataFrame:
         path = f"{root.rstrip('/')}/{LAYER_DIRS[name]}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        watched, failures = dq.watch(df, tests, name)
+        watched.write.mode("overwrite").parquet(path)
+        if seen is not None:
+            seen.update(failures())
         return spark.read.parquet(path)
     return keep
 
@@ -141,16 +143,16 @@ def run_elt(spark: SparkSession, typed_events: DataFrame, history: DataFrame, st
     The result carries ``seconds`` per phase (build, tests, publish)."""
     import time
     t0 = time.perf_counter()
+    tests = tests if tests is not None else elt_tests()
+    seen: dict[str, int] = {}
     layers = build_layers(spark, typed_events, history, start, end, classes=classes,
-                          fact_types=fact_types, keep=layer_writer(spark, root), rank_first=rank_first,
+                          fact_types=fact_types, keep=layer_writer(spark, root, tests, seen), rank_first=rank_first,
                           dense_history=dense_history, parallel=True)
     t1 = time.perf_counter()
-    tests = tests if tests is not None else elt_tests()
     t = test_tables(layers, fact_types)
-    results = {r["test_name"]: r["failures"] for r in dq.summary_rows(tests, t)}
+    results = {r["test_name"]: r["failures"] for r in dq.summary_rows(tests, t, known=seen)}
     failing = [k for k, v in results.items() if v]
-    # Audit tables of all tests, so a clean run leaves no failures of an earlier one.
-    audit = dq.store_failures(tests, t, f"{root.rstrip('/')}/dbt_test_audit", failing)
+    audit = dq.store_failures(spark, tests, t, f"{root.rstrip('/')}/dbt_test_audit", failing)
     t2 = time.perf_counter()
     out = {"layers": layers, "tests": results, "failing": failing, "audit": audit, "published": None,
            "seconds": {"build": t1 - t0, "tests": t2 - t1, "publish": 0.0}}

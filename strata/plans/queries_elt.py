@@ -13,7 +13,7 @@ from strata.operators.staging import latest_version, version_chain
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
 from strata.plans import scenarios as sc
-from strata.plans.elt import _in_range, _one_version, elt_tests, layer_writer, test_tables
+from strata.plans.elt import _one_version, elt_tests, layer_writer, test_tables
 from strata.plans.queries import events_layers, register
 from strata.plans.quakes import build_layers, checkpoint_dims
 from strata.session import shared_dir
@@ -39,8 +39,9 @@ def case_layers(spark, sf_dir, name, keep=None):
 
 
 def case_summary(spark, sf_dir, name):
-    layers = case_layers(spark, sf_dir, name, keep=layer_writer(spark, shared_dir(spark, f"elt-{name}")))
-    return dq.summary_table(spark, elt_tests(**DRIVER_TESTS), test_tables(layers, fd.FACT_TYPES))
+    tests, seen = elt_tests(**DRIVER_TESTS), {}
+    layers = case_layers(spark, sf_dir, name, keep=layer_writer(spark, shared_dir(spark, f"elt-{name}"), tests, seen))
+    return dq.summary_table(spark, tests, test_tables(layers, fd.FACT_TYPES), known=seen)
 
 
 def summary_sql(name):
@@ -274,7 +275,8 @@ WHERE NOT coalesce(greatest({fd.VALUE_RANGE[0]} - magnitude, magnitude - {fd.VAL
    OR NOT coalesce(greatest({fd.DEPTH_RANGE[0]} - depth_km, depth_km - {fd.DEPTH_RANGE[1]}) <= 0, FALSE)""")
 def q_dq_range(spark, sf_dir):
     layers = case_layers(spark, sf_dir, "corrupt")
-    return _in_range(fd.VALUE_RANGE, fd.DEPTH_RANGE)({"fact": layers.fact})
+    test = next(x for x in elt_tests(**DRIVER_TESTS) if x.name == "magnitude_and_depth_in_range")
+    return test.failing_rows({"fact": layers.fact})
 
 
 @register("dq_overlaps", o.case_ctes("overlap") + """,

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.quality import trace_to_raw
+from strata.operators.quality import read_failures, trace_to_raw
 from strata.operators.staging import latest_version, stage_versions, type_raw_events
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
@@ -130,12 +130,26 @@ def q_gate_blocked(spark, sf_dir):
 
 @register("audit_failures", f"SELECT test_name, failures AS stored_rows FROM ({summary_sql('corrupt')}) s")
 def q_audit_failures(spark, sf_dir):
-    """Rows in every audit table after the corrupt run: failing tests hold
-    their failing rows, all others are empty."""
-    _root, (_first, _again, bad) = _gated(spark, sf_dir)
-    out = None
-    for name, path in bad["audit"].items():
-        one = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored_rows")).select(
-            F.lit(name).alias("test_name"), "stored_rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Rows of every test in the audit table after the corrupt run: failing
+    tests hold their failing rows, all others none."""
+    root, (_first, _again, bad) = _gated(spark, sf_dir)
+    stored = read_failures(spark, f"{root}/dbt_test_audit").groupBy("test_name").agg(F.count(F.lit(1)).alias("n"))
+    names = spark.createDataFrame([(k,) for k in bad["tests"]], "test_name string")
+    return names.join(stored, "test_name", "left").select("test_name", F.coalesce("n", F.lit(0)).alias("stored_rows"))
+
+
+RANGE_TEST = "magnitude_and_depth_in_range"
+
+
+@register("audit_rows", f"""SELECT '{RANGE_TEST}' AS test_name, event_key, event_id,
+  CAST(magnitude AS DECIMAL(18,6)) AS magnitude, CAST(depth_km AS DECIMAL(18,6)) AS depth_km
+FROM {o.layer_sql('corrupt', 'fact')} f
+WHERE magnitude IS NULL OR magnitude NOT BETWEEN {fd.VALUE_RANGE[0]} AND {fd.VALUE_RANGE[1]}
+   OR depth_km IS NULL OR depth_km NOT BETWEEN {fd.DEPTH_RANGE[0]} AND {fd.DEPTH_RANGE[1]}""")
+def q_audit_rows(spark, sf_dir):
+    """Content of the stored failures: the rows out of range of a blocked run."""
+    root, _runs = _gated(spark, sf_dir)
+    of = lambda c: F.get_json_object("row", f"$.{c}")
+    return (read_failures(spark, f"{root}/dbt_test_audit").filter(F.col("test_name") == RANGE_TEST)
+            .select("test_name", of("event_key").alias("event_key"), of("event_id").alias("event_id"),
+                    *[of(c).cast("decimal(18,6)").alias(c) for c in ("magnitude", "depth_km")]))

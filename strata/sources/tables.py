@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import shared_dir
+
 
 class HeaderMismatch(ValueError):
     pass
@@ -54,13 +56,24 @@ def check_header(spark: SparkSession, path: str, expected: Sequence[str]) -> Non
         raise HeaderMismatch(f"{path}: empty file")
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] | str,
-                      mode: str = "overwrite", files: int = 4) -> None:
-    """Snappy Parquet partitioned by low-cardinality column(s); rows of one
-    partition value meet in at most ``files`` tasks, so the number of files
-    does not grow with the number of tasks."""
+# Rows of one written file, at most.
+FILE_ROWS = 20_000_000
+
+
+def by_size(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``df`` dealt out for a write partitioned by ``by``: rows of a value meet
+    in one shuffle partition; adaptive execution splits one whose measured
+    bytes exceed the session's advisory size over as many tasks as it needs,
+    and joins small ones."""
+    return df.hint("rebalance", *by)
+
+
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str] | str, mode: str = "overwrite") -> None:
+    """Snappy Parquet partitioned by low-cardinality column(s). Tasks and files
+    follow the size of the data: a small value is one file, a large one many."""
     by = [by] if isinstance(by, str) else list(by)
-    df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(files))).write.mode(mode).option("compression", "snappy").partitionBy(*by).parquet(path)
+    (by_size(df, by).write.mode(mode).option("compression", "snappy").option("maxRecordsPerFile", FILE_ROWS)
+     .partitionBy(*by).parquet(path))
 
 
 def assert_roundtrip(a: DataFrame, b: DataFrame, count: bool = True) -> int | None:
@@ -83,13 +96,28 @@ def assert_roundtrip(a: DataFrame, b: DataFrame, count: bool = True) -> int | No
 def load_slices(df: DataFrame, path: str, by: str, slices: Sequence[Column]) -> DataFrame:
     """Replace the table at ``path`` by the first slice of ``df`` and append the
     others (``slices`` are disjoint conditions), then check that the table
-    holds exactly the accepted rows."""
-    for k, condition in enumerate(slices):
-        part = df.filter(condition)
-        write_partitioned(part, path, by, mode="append" if k else "overwrite")
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
-    accepted, final = df.count(), table.count()
-    if final != accepted:
+    holds exactly the accepted rows.
+
+    ``df`` is computed once, in a write by slice that also counts the rows;
+    the table is then filled from there, slice by slice. Rows of no slice (a
+    null date among them) raise before the table is touched."""
+    number = F.lit(None).cast("int")
+    for k in range(len(slices) - 1, -1, -1):
+        number = F.when(slices[k], F.lit(k)).otherwise(number)
+    spark = df.sparkSession
+    held = shared_dir(spark, "slices") + "/t"
+    total = Observation()
+    (by_size(df.withColumn("__slice", number).observe(total, F.count(F.lit(1)).alias("accepted"),
+                                                      F.count("__slice").alias("taken")), ["__slice", by])
+     .write.partitionBy("__slice").parquet(held))
+    accepted, taken = total.get["accepted"], total.get["taken"]
+    if taken != accepted:
+        raise RoundTripMismatch(f"{taken} rows in the slices, {accepted} accepted")
+    stored = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__slice", T.IntegerType())])).parquet(held)
+    for k in range(len(slices)):
+        write_partitioned(stored.filter(F.col("__slice") == k).drop("__slice"), path, by, mode="append" if k else "overwrite")
+    table = spark.read.schema(df.schema).parquet(path)
+    if (final := table.count()) != accepted:
         raise RoundTripMismatch(f"{final} rows in the table, {accepted} accepted")
     return table
 
