@@ -3,17 +3,24 @@ path (newer ``updated`` re-classifies an old event, its day is recomputed and
 republished).
 
 Correction slices (event CSV files with the raw 22-column header) arrive in a
-folder. Each micro-batch (``foreachBatch``):
-
-1. types the rows and writes them, with lineage, to the versions store under
-   ``epoch=<batch id>`` (a replayed batch overwrites its own folder; slice
-   order = batch id + 1, after the baseline);
-2. finds the days touched by the corrected keys (every day any version of
-   such a key falls on, so an event moved between days updates both);
-3. ranks, once, all versions of every key with a version on a touched day,
-   rebuilds latest -> fact -> mart of those days and publishes each contiguous
-   run of days as a window. A batch whose publications are all in the log is
-   not applied again.
+folder. The versions store has three tables, each with a folder per batch
+(a replayed batch overwrites its own): ``versions`` by day, ``keys`` (the days
+of every key, by bucket of the key's hash) and ``moved`` (the days of the few
+keys that have versions on several). Each micro-batch (``foreachBatch``):
+
+1. types the rows and writes them, with lineage, to the store under
+   ``epoch=<batch id>`` (slice order = batch id + 1, after the baseline);
+2. looks its keys up in their buckets of ``keys``: the days touched are all
+   days on which they have a version, so an event moved between days updates
+   both;
+3. reads the versions of the touched days, and from other days those of keys
+   that ``moved`` lists for a touched day; ranks them, once, rebuilds latest ->
+   fact -> mart of the touched days and publishes each contiguous run of days
+   as a window. A batch whose publications are all in the log is not applied
+   again.
+
+So a batch reads the buckets of its keys and the days it touches, by folder,
+however large the store is.
 
 No watermark is used: a correction may arrive months late and must never be
 dropped; the state is the versions store itself, not an in-memory aggregate.
@@ -32,7 +39,11 @@ from strata.operators.staging import stage_versions, type_raw_events
 from strata.plans.quakes import build_layers
 from strata.session import checkpoint_root
 from strata.sources.raw import EVENT_COLUMNS
+from strata.sources.tables import by_size
 
+# Buckets of the key index.
+BUCKETS = 16
+KEY_SCHEMAS = {"keys": "event_key string, event_date date, bucket int", "moved": "event_key string, event_date date"}
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EVENT_COLUMNS])
 
 
@@ -52,25 +63,70 @@ class CorrectionStream:
     Parquet files of already typed rows (with their own lineage)."""
 
     def __init__(self, spark: SparkSession, versions_path: str, publish_root: str,
-                 history: DataFrame, classes, fact_types, source_system: str):
+                 history: DataFrame, classes, fact_types, source_system: str, buckets: int = BUCKETS):
         self.spark = spark
-        self.versions_path = versions_path
+        self.versions_path = versions_path.rstrip("/")
+        self.buckets = buckets
+        self._schema = None         # of the versions; read from their files in a process that has written none
         self.publisher = Publisher(spark, publish_root)
         self.history = history
         self.classes = classes
         self.fact_types = fact_types
         self.source_system = source_system
-        self._typed_schema = None
 
     def seed(self, typed: DataFrame) -> None:
         """Initial (baseline) versions, all dates kept."""
         self._write(stage_versions(typed, None, None), -1)
+        self._note_moved(self._table("keys", -1), -1)
+
+    def _path(self, table: str, epoch_id: int | None = None) -> str:
+        return f"{self.versions_path}/{table}" + ("" if epoch_id is None else f"/epoch={epoch_id}")
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64("event_key"), F.lit(self.buckets)).cast("int")
 
     def _write(self, versions: DataFrame, epoch_id: int) -> None:
-        versions.write.mode("overwrite").parquet(f"{self.versions_path}/epoch={epoch_id}")
+        self._schema = versions.schema
+        (by_size(versions, ["event_date"]).write.mode("overwrite").partitionBy("event_date")
+         .parquet(self._path("versions", epoch_id)))
+        days = self._table("versions", epoch_id).filter("event_date IS NOT NULL").select("event_key", "event_date").distinct()
+        (by_size(days.withColumn("bucket", self._bucket()), ["bucket"]).write.mode("overwrite").partitionBy("bucket")
+         .parquet(self._path("keys", epoch_id)))
+
+    def _table(self, table: str, epoch_id: int | None = None) -> DataFrame:
+        """A table of the store, or one batch's part of it."""
+        path = self._path(table, epoch_id)
+        reader = self.spark.read.option("basePath", path)
+        if (schema := KEY_SCHEMAS.get(table) or self._schema) is not None:
+            reader = reader.schema(schema)          # no look at the files' footers
+        return reader.parquet(path).drop("epoch")
 
     def _store(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.versions_path).parquet(self.versions_path).drop("epoch")
+        return self._table("versions")
+
+    def _note_moved(self, days_of_keys: DataFrame, epoch_id: int) -> None:
+        """Writes the keys that have versions on several days, with their days."""
+        several = days_of_keys.groupBy("event_key").agg(F.collect_set("event_date").alias("days")).filter("size(days) > 1")
+        several.select("event_key", F.explode("days").alias("event_date")).write.mode("overwrite").parquet(
+            self._path("moved", epoch_id))
+
+    def _days_of(self, keys: DataFrame) -> DataFrame:
+        """(event_key, event_date) of all versions of ``keys``, from their buckets only."""
+        buckets = [r.b for r in keys.select(self._bucket().alias("b")).distinct().collect()]      # at most self.buckets
+        return self._table("keys").filter(F.col("bucket").isin(buckets)).join(
+            keys, "event_key", "left_semi").select("event_key", "event_date").distinct()
+
+    def _versions_for(self, days: list[dt.date]) -> DataFrame:
+        """All versions of every key with a version on one of ``days``."""
+        moved = self._table("moved").distinct()
+        here = moved.filter(F.col("event_date").isin(days)).select("event_key").distinct()
+        away = moved.join(here, "event_key", "left_semi").filter(~F.col("event_date").isin(days))
+        others = [r.event_date for r in away.select("event_date").distinct().collect()]           # bounded by the calendar
+        store = self._store()
+        rows = store.filter(F.col("event_date").isin(days))
+        if others:
+            rows = rows.unionByName(store.filter(F.col("event_date").isin(others)).join(here, "event_key", "left_semi"))
+        return rows
 
     def _process(self, batch: DataFrame, epoch_id: int) -> None:
         raw = batch.select(
@@ -89,15 +145,16 @@ class CorrectionStream:
         done = {(r["start_date"], r["end_date"]) for r in self.publisher.log().filter(
             F.col("run_id") == f"stream-{epoch_id}").collect()}
         self._write(new, epoch_id)
-        store = self._store()
-        touched = self.spark.read.parquet(f"{self.versions_path}/epoch={epoch_id}").select("event_key").distinct()
-        days = sorted(r["event_date"] for r in store.join(touched, "event_key", "left_semi")
-                      .select("event_date").distinct().collect())    # bounded by the calendar
+        touched = self._table("keys", epoch_id).select("event_key").distinct()
+        day_list = f"{self._path('touched', epoch_id)}"
+        self._days_of(touched).write.mode("overwrite").parquet(day_list)
+        days_of_keys = self.spark.read.parquet(day_list)
+        self._note_moved(days_of_keys, epoch_id)
+        days = sorted(r["event_date"] for r in days_of_keys.select("event_date").distinct().collect())   # the calendar
         todo = [run for run in day_runs(days) if run not in done]
         if not todo:
             return
-        keys = store.filter(F.col("event_date").isin(days)).select("event_key").distinct()
-        typed = store.join(keys, "event_key", "left_semi").drop("event_key", "event_date")
+        typed = self._versions_for(days).drop("event_key", "event_date")
         checkpoint_root(self.spark)
         mart = build_layers(self.spark, typed, self.history, days[0], days[-1] + dt.timedelta(days=1),
                             classes=self.classes, fact_types=self.fact_types, rank_first=True).mart.checkpoint()

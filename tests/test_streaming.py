@@ -56,3 +56,24 @@ def test_event_moved_to_a_day_apart_counts_once_and_replay_changes_nothing(spark
         workdir + "/delta2", baseline_events=[day(10, "k1", "2024-12-02T00:00:00.000Z")]))[0])
     cs._process_typed(fixed, 1)
     assert sorted((r["event_date"].day, r["events"]) for r in cs.publisher.live().collect()) == [(10, 1), (12, 2)]
+
+
+def test_a_batch_reads_its_days_and_buckets_only(spark, workdir):
+    day = lambda d, i, seen=qf.SEEN: qf.row(f"2024-06-{d}T10:00:00.000Z", "5", "3.0", "aa", i, seen, "p")
+    cs = _stream(spark, workdir, [day(d, f"e{d}{k}") for d in range(10, 20) for k in range(3)])
+    keys = cs._table("keys").filter("event_date = DATE '2024-06-12'").limit(1).select("event_key")
+    found = cs._days_of(keys)
+    assert [r.event_date.day for r in found.collect()] == [12]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan(found) or "PartitionFilters: [(bucket" in plan(found) \
+        or "PartitionFilters: [bucket" in plan(found)
+    rows = cs._versions_for([dt.date(2024, 6, 12)])
+    assert rows.count() == 3
+    scans = [x for x in plan(rows).splitlines() if "FileScan" in x]
+    assert len(scans) == 1 and "event_date" in scans[0].split("PartitionFilters: [")[1].split("]")[0]
+    # A key with versions on two days brings its other day's version, and nothing else from there.
+    moved = type_raw_events(load_raw(spark, qf.slices(
+        workdir + "/delta", baseline_events=[day(15, "e120", "2024-12-01T00:00:00.000Z")]))[0])
+    cs._process_typed(moved, 0)
+    assert cs._versions_for([dt.date(2024, 6, 12)]).count() == 4
+    assert cs._table("moved").distinct().count() == 2
