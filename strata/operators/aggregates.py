@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import first_failing_rule, half_up_ratio, row_digest
+from strata.session import checkpoint_root
 
 
 # --- reference track 1: class totals, quality profile, accepted split ------
@@ -144,11 +145,15 @@ def share_of_total(mart: DataFrame, part: str = "event_date", item: str = "net",
                    measure: str = "events") -> DataFrame:
     """``round(100 * sum(x) / sum(sum(x)) over (partition by part), 1)``.
 
-    The window runs over rows already reduced to one per (part, item), a NULL
-    ``part`` being a partition like any other."""
-    per_item = mart.groupBy(part, item).agg(F.sum(measure).cast("long").alias(measure))
-    total = F.sum(F.col(measure).cast("decimal(28,0)")).over(Window.partitionBy(part)).cast("decimal(38,0)")
-    j = per_item.select("*", total.alias("_total"), (F.col(measure).cast("decimal(38,0)") * 100).alias("_pct100"))
+    Rows are reduced to one per (part, item) and checkpointed; totals are a
+    second aggregation of those, joined back, so no task holds a part. A NULL
+    ``part`` is a partition like any other."""
+    checkpoint_root(mart.sparkSession)
+    per_item = mart.groupBy(part, item).agg(F.sum(measure).cast("long").alias(measure)).checkpoint(eager=True)
+    total = per_item.groupBy(F.col(part).alias("_part")).agg(
+        F.sum(F.col(measure).cast("decimal(28,0)")).cast("decimal(38,0)").alias("_total"))
+    j = (per_item.join(total, F.col(part).eqNullSafe(F.col("_part")))
+         .withColumn("_pct100", F.col(measure).cast("decimal(38,0)") * 100))
     return j.select(part, item, measure, half_up_ratio("_pct100", "_total", 0, 1).alias("share_pct"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import surrogate_key, ts_text
+from strata.operators.ordered import by_range, running
 
 # Magnitude classes of the reference seed
 # (class_key, class_name, mag_min, mag_max), half-open [min, max).
@@ -54,6 +55,19 @@ def network_dim(history: DataFrame) -> DataFrame:
     )
 
 
+def history_from_changes(changes: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """SCD2 versions from state changes (one per key and time): ``changes``
+    with ``valid_from`` (its ``ts``) and ``valid_to``, the next change of the
+    key or the open end. A key with a huge history spans many tasks; changes
+    without a key or a time are left out."""
+    known = F.forall(F.array(*[F.col(c).isNotNull() for c in (*keys, ts)]), lambda x: x)
+    back = changes.filter(known).withColumn("_back", -F.unix_micros(F.col(ts).cast("timestamp")))
+    rows = running(by_range(back, keys, ["_back"]), keys, ["_back"], F.col(ts), "last", "_next", before=True)
+    end = F.lit(OPEN_END).cast(changes.schema[ts].dataType)
+    return (rows.withColumn("valid_from", F.col(ts)).withColumn("valid_to", F.coalesce("_next", end))
+            .drop("_back", "_next"))
+
+
 def stage_network_history(raw_history: DataFrame) -> DataFrame:
     """Raw all-text history -> typed (valid_from/valid_to are UTC instants)."""
     return raw_history.select(

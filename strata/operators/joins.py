@@ -16,9 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import band_key
+from strata.operators.ordered import by_range, running
 
 # Bands handled as one expression; more are joined.
 CASE_BANDS = 64
+# Histories of up to so many versions are checked for overlaps pair by pair; longer ones are swept, in runs of partners.
+SHORT_HISTORY = 64
+SWEEP_RUN = 4096
 
 
 def scd2_join(fact: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]],
@@ -71,6 +75,77 @@ def _scd2_join_by_day(fact, dim, keys, ts, valid_from, valid_to, how, days):
     return inside.unionByName(scd2_join(fact.filter(~covered), dim, keys, ts, valid_from, valid_to, how))
 
 
+def scd2_merge_join(fact: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]], ts: str,
+                    valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "left",
+                    disjoint: bool = False) -> DataFrame:
+    """The rows of ``scd2_join``, by one merge: facts and version starts are
+    put in order of (key, time) and every fact takes the last version that
+    started, if it still holds. Work and shuffle are linear in facts plus
+    versions however dense a history is, and a hot key is spread over many
+    tasks (``ordered``).
+
+    A fact meets one version that way, so keys whose versions overlap are
+    joined by ``scd2_join`` (such a fact is multiplied there); ``disjoint``
+    says that there are none and saves the search for them. Facts with a NULL
+    key or time match nothing, nor do versions with a NULL or an end that is
+    not after their start. ``how`` is ``left`` or ``inner``; key and time
+    columns of both sides must have the same types."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"how={how}")
+    names = [f"_k{i}" for i in range(len(keys))]
+    known = lambda cols: F.forall(F.array(*[F.col(c).isNotNull() for c in cols]), lambda x: x)
+    f_keys, d_keys = [f for f, _ in keys], [d for _, d in keys]
+    whole = known([*f_keys, ts])
+    versions = dim.filter(known([*d_keys, valid_from, valid_to]) & (F.col(valid_from) < F.col(valid_to)))
+    facts, out = fact.filter(whole), []
+    if not disjoint:
+        clash = _clashing(versions, d_keys, valid_from, valid_to)
+        if not clash.isEmpty():
+            pick = lambda df, cols, kind: df.join(
+                clash.toDF(*names), [df[c] == F.col(n) for c, n in zip(cols, names)], kind)
+            out.append(scd2_join(pick(facts, f_keys, "left_semi"), pick(versions, d_keys, "left_semi"), keys, ts,
+                                 valid_from, valid_to, how))
+            facts, versions = pick(facts, f_keys, "left_anti"), pick(versions, d_keys, "left_anti")
+    row = lambda df: F.struct(*[df[c] for c in df.columns])
+    none = lambda df: F.lit(None).cast(df.schema)
+    side = lambda df, cols, at, kind, f, d: df.select(
+        *[df[c].alias(n) for c, n in zip(cols, names)], df[at].alias("_t"), F.lit(kind).alias("_kind"),
+        f.alias("_f"), d.alias("_d"))
+    both = (side(facts, f_keys, ts, 1, row(facts), none(dim))
+            .unionByName(side(versions, d_keys, valid_from, 0, none(fact), row(versions))))
+    order = ["_t", "_kind"]
+    last = running(by_range(both, names, order), names, order, F.col("_d"), "last", "_v").filter("_kind = 1")
+    last = last.withColumn("_v", F.when(F.col("_t") < F.col("_v")[valid_to], F.col("_v")))
+    if how == "inner":
+        last = last.filter(F.col("_v").isNotNull())
+    merged = last.select(*[F.col("_f")[c].alias(c) for c in fact.columns], *[F.col("_v")[c].alias(c) for c in dim.columns])
+    if how == "left":
+        out.append(fact.filter(~whole).select(*[fact[c] for c in fact.columns],
+                                              *[F.lit(None).cast(x.dataType).alias(x.name) for x in dim.schema]))
+    for part in out:
+        merged = merged.union(part)
+    return merged
+
+
+def _clashing(versions: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str) -> DataFrame:
+    """Keys with overlapping versions (none is empty), checkpointed."""
+    rows = versions.select(*keys, F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"))
+    return _spans(rows, keys, ["_from", "_to"])[1].filter("_upto > _no").select(*keys).distinct().checkpoint()
+
+
+def _spans(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(starts, spans) of rows with ``_from`` and ``_to``: the rows of every
+    key numbered by ``order`` (``_no``; it begins with the start), and the
+    same rows with ``_upto``, the number of starts before their end. Later
+    starts within a row's interval are just those numbered _no + 1 to _upto."""
+    starts = running(by_range(rows, keys, order), keys, order, F.lit(1), "sum", "_no")
+    marks = (starts.withColumn("_t", F.col("_from")).withColumn("_kind", F.lit(1))
+             .unionByName(starts.withColumn("_t", F.col("_to")).withColumn("_kind", F.lit(0))))
+    at = ["_t", "_kind"]
+    spans = running(by_range(marks, keys, at), keys, at, F.col("_kind"), "sum", "_upto")
+    return starts, spans.filter("_kind = 0").drop(*at)
+
+
 def band_join(df: DataFrame, value: str, bands, out: str = "class_key") -> DataFrame:
     """Left band join ``lo <= value < hi``; a value in several bands gives a
     row for each.
@@ -157,9 +232,42 @@ def find_overlaps(dim: DataFrame, keys: Sequence[str], version_key: str,
     """Pairs of versions of the same key whose intervals intersect, each pair
     once (``version_a < version_b``).
 
-    Keys are pruned first: sorted by ``valid_from``, a key has an overlap only
-    if some version starts before the latest end seen so far, computed with a
-    running ``max`` window. Only such keys enter the pairwise self-join."""
+    Keys of up to ``SHORT_HISTORY`` versions are pruned first: sorted by
+    ``valid_from``, a key has an overlap only if some version starts before
+    the latest end seen so far, computed with a running ``max`` window. Only
+    such keys enter the pairwise self-join. Longer histories are swept
+    (``_swept_overlaps``): no task holds a key, and no pair is looked at that
+    doesn't overlap."""
+    size = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > SHORT_HISTORY).select(*keys)
+    if size.isEmpty():
+        return _paired_overlaps(dim, keys, version_key, valid_from, valid_to)
+    long, short = dim.join(size, list(keys), "left_semi"), dim.join(size, list(keys), "left_anti")
+    return (_paired_overlaps(short, keys, version_key, valid_from, valid_to)
+            .unionByName(_swept_overlaps(long, keys, version_key, valid_from, valid_to)))
+
+
+def _swept_overlaps(dim: DataFrame, keys: Sequence[str], version_key: str, valid_from: str, valid_to: str) -> DataFrame:
+    """Versions are numbered by start; a version's partners are the later
+    starts before its end, a run of numbers. Work is a sort plus the result."""
+    known = F.forall(F.array(*[F.col(c).isNotNull() for c in (*keys, version_key, valid_from, valid_to)]), lambda x: x)
+    rows = dim.filter(known).select(*keys, F.col(version_key).alias("_ver"), F.col(valid_from).alias("_from"),
+                                    F.col(valid_to).alias("_to"))
+    starts, spans = _spans(rows, keys, ["_from", "_ver", "_to"])
+    step = F.lit(SWEEP_RUN).cast("long")
+    runs = (spans.filter("_upto > _no").withColumn("_lo", F.explode(F.sequence(F.col("_no") + 1, F.col("_upto"), step)))
+            .withColumn("_other", F.explode(F.sequence(F.col("_lo"), F.least(F.col("_lo") + step - 1, F.col("_upto"))))))
+    later = starts.select(*keys, F.col("_no").alias("_other"), F.col("_ver").alias("_ver2"),
+                          F.col("_from").alias("_from2"), F.col("_to").alias("_to2"))
+    hit = (runs.join(later, [*keys, "_other"])
+           .filter("_ver <> _ver2 AND _from < _to2 AND _from2 < _to"))
+    first = F.col("_ver") < F.col("_ver2")
+    pick = lambda x, y, name: F.when(first, F.col(x)).otherwise(F.col(y)).alias(name)
+    return hit.select(*keys, pick("_ver", "_ver2", "version_a"), pick("_ver2", "_ver", "version_b"),
+                      pick("_from", "_from2", "a_from"), pick("_to", "_to2", "a_to"),
+                      pick("_from2", "_from", "b_from"), pick("_to2", "_to", "b_to"))
+
+
+def _paired_overlaps(dim: DataFrame, keys: Sequence[str], version_key: str, valid_from: str, valid_to: str) -> DataFrame:
     from pyspark.sql import Window
     w = (Window.partitionBy(*keys).orderBy(F.col(valid_from), F.col(version_key))
          .rowsBetween(Window.unboundedPreceding, -1))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.aggregates import daily_mart
 from strata.operators.dims import MAGNITUDE_CLASSES, calendar, class_dim, network_dim
-from strata.operators.joins import band_join, scd2_join
+from strata.operators.joins import band_join, scd2_join, scd2_merge_join
 from strata.functions import in_window
 from strata.operators.staging import latest_version, stage_versions
 
@@ -37,18 +37,18 @@ class Layers:
 
 
 def build_fact(latest: DataFrame, dim_network: DataFrame, classes, fact_types,
-               window: tuple | None = None) -> DataFrame:
+               dense: bool = False) -> DataFrame:
     """Fact: latest versions of business events, SCD2 network version valid
     at the event time, magnitude class by band; LEFT joins, so unmatched
-    events keep NULL keys for the quality gate to report. ``window`` selects
-    the day-bucketed SCD2 strategy (for dense histories; events of ``latest``
-    all lie in the window)."""
+    events keep NULL keys for the quality gate to report. ``dense`` selects
+    the sorted merge for histories with many versions per key."""
     ev = latest.filter(F.col("event_type").isin(list(fact_types)))
     dim = dim_network.select(F.col("network_key"), F.col("source_system").alias("_d_src"),
                              F.col("net").alias("_d_net"), F.col("valid_from").alias("_d_from"),
                              F.col("valid_to").alias("_d_to"))
-    j = scd2_join(ev, dim, [("source_system", "_d_src"), ("net", "_d_net")], "event_ts",
-                  valid_from="_d_from", valid_to="_d_to", how="left", days=window)
+    join = scd2_merge_join if dense else scd2_join
+    j = join(ev, dim, [("source_system", "_d_src"), ("net", "_d_net")], "event_ts",
+             valid_from="_d_from", valid_to="_d_to", how="left")
     j = band_join(j, "magnitude", [(k, lo, hi) for k, _n, lo, hi in classes], out="mag_class_key")
     return j.select(*FACT_COLUMNS)
 
@@ -68,7 +68,7 @@ def checkpoint_dims(name: str, df: DataFrame) -> DataFrame:
 def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFrame,
                  start, end, classes=MAGNITUDE_CLASSES, fact_types=("earthquake",),
                  keep=None, rank_first: bool = False, dense_history: bool = False,
-                 parallel: bool = False) -> Layers:
+                 parallel: bool = False, staged: DataFrame | None = None) -> Layers:
     """Chain the layers. ``keep(name, df) -> df`` is applied to each layer
     before it feeds the next one: identity (lazy, one plan) or a writer that
     materialises the layer and continues from the written table.
@@ -79,18 +79,25 @@ def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFram
     ``rank_first=True`` picks the latest version over all versions first and
     then keeps it only if it lies in the window.
 
-    ``dense_history=True`` joins the SCD2 dimension by (key, day) instead of by
-    key (see ``joins.scd2_join``), for histories with many versions per key."""
+    ``dense_history=True`` merges events and SCD2 versions in time order
+    instead of joining by key (``joins.scd2_merge_join``), for histories with
+    many versions per key.
+
+    ``staged``: a written versions layer to build from instead of
+    ``typed_events`` (an incremental build). Its window is a predicate on
+    ``event_date``; where the layer is partitioned by it, only the window's
+    days are read."""
     keep = keep or (lambda _name, df: df)
 
     def chain():
         if rank_first:
-            every = stage_versions(typed_events, None, None)
+            every = stage_versions(typed_events, None, None) if staged is None else staged
             v = keep("versions", every.filter(in_window("event_date", start, end)))
             lt = keep("latest", latest_version(every, ["event_key"], LATEST_ORDER)
                       .filter(in_window("event_date", start, end)))
         else:
-            v = keep("versions", stage_versions(typed_events, start, end))
+            v = keep("versions", stage_versions(typed_events, start, end) if staged is None
+                     else staged.filter(in_window("event_date", start, end)))
             lt = keep("latest", latest_version(v, ["event_key"], LATEST_ORDER))
         return v, lt
 
@@ -111,6 +118,6 @@ def build_layers(spark: SparkSession, typed_events: DataFrame, history: DataFram
         versions, latest = chain()
         hist, dim_n, dim_c, dim_d = dims()
     fact = keep("fact", build_fact(latest, dim_n, classes, fact_types,
-                                   window=(start, end) if dense_history else None))
+                                   dense=dense_history))
     mart = keep("mart", daily_mart(fact, dim_n, dim_c))
     return Layers(versions, latest, hist, dim_n, dim_c, dim_d, fact, mart)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from strata.operators import aggregates as agg
 from strata.operators import quality as dq
-from strata.operators.dims import calendar_from_bounds
+from strata.operators.dims import OPEN_END, calendar_from_bounds, history_from_changes
+from strata.operators.joins import find_overlaps, scd2_merge_join
 from strata.operators.staging import latest_version, version_chain
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
@@ -17,9 +18,13 @@ from strata.plans.elt import _one_version, elt_tests, layer_writer, test_tables
 from strata.plans.queries import events_layers, register
 from strata.plans.quakes import build_layers, checkpoint_dims
 from strata.session import shared_dir
+from strata.sources.tables import write_partitioned
 
 BASE = o.elt_ctes()
 
+# Length of an event's interval in the query dense_overlaps.
+SESSION_HOURS = 2
+
 DRIVER_TESTS = dict(statuses=fd.STATUSES, event_types=fd.EVENT_TYPES,
                     mag_range=fd.VALUE_RANGE, depth_range=fd.DEPTH_RANGE)
 
@@ -237,6 +242,59 @@ def q_reprocess_window(spark, sf_dir):
     return events_layers(spark, sf_dir, s, e).mart
 
 
+@register("reprocess_incremental", o.elt_ctes(start=_reprocess_bounds()[0], end=_reprocess_bounds()[1])
+          + "SELECT * FROM mart")
+def q_reprocess_incremental(spark, sf_dir):
+    """The trailing window rebuilt from a written versions layer, of which
+    only the window's days are read."""
+    return incremental_layers(spark, sf_dir, *_reprocess_bounds()).mart
+
+
+def incremental_layers(spark, sf_dir, start, end):
+    events = fd.read_table(spark, sf_dir, "events")
+    path = shared_dir(spark, "versions-by-day") + "/t"
+    versions = events_layers(spark, sf_dir).versions
+    write_partitioned(versions, path, "event_date")
+    staged = spark.read.parquet(path).select(versions.columns)
+    return build_layers(spark, None, fd.user_history(events), start, end, classes=fd.VALUE_CLASSES,
+                        fact_types=fd.FACT_TYPES, keep=checkpoint_dims, staged=staged)
+
+
+# --- a dense history -----------------------------------------------------------------------
+
+@register("dense_history", f"""
+WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn
+                FROM events WHERE event_type <> 'view'),
+v AS (SELECT user_id, event_type AS state, ts AS valid_from,
+             lead(ts, 1, TIMESTAMP '{OPEN_END}') OVER (PARTITION BY user_id ORDER BY ts) AS valid_to
+      FROM ranked WHERE rn = 1)
+SELECT e.event_id, e.user_id, e.ts, v.state, v.valid_from, v.valid_to
+FROM events e LEFT JOIN v ON v.user_id = e.user_id AND v.valid_from <= e.ts AND e.ts < v.valid_to
+WHERE e.event_type = 'view'""")
+def q_dense_history(spark, sf_dir):
+    """Every view with its user's state at that time: a history with a version
+    per event of the user, merged with the facts in time order."""
+    events = fd.read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    changes = latest_version(events.filter("event_type <> 'view'"), ["user_id", "ts"], ["event_id"], rank_col=None)
+    states = history_from_changes(changes, ["user_id"], "ts").select(
+        F.col("user_id").alias("_user"), F.col("event_type").alias("state"), "valid_from", "valid_to")
+    views = events.filter("event_type = 'view'").drop("event_type")
+    return scd2_merge_join(views, states, [("user_id", "_user")], "ts", disjoint=True).drop("_user")
+
+
+@register("dense_overlaps", f"""
+WITH v AS (SELECT user_id, event_id, ts AS s, ts + INTERVAL {SESSION_HOURS} HOUR AS t FROM events)
+SELECT a.user_id, a.event_id AS version_a, b.event_id AS version_b, a.s AS a_from, a.t AS a_to, b.s AS b_from, b.t AS b_to
+FROM v a JOIN v b ON a.user_id = b.user_id AND a.event_id < b.event_id AND a.s < b.t AND b.s < a.t""")
+def q_dense_overlaps(spark, sf_dir):
+    """Pairs of events of a user that lie within some hours of each other: the
+    overlap search over long histories."""
+    events = fd.read_table(spark, sf_dir, "events")
+    spans = events.select("user_id", "event_id", F.col("ts").alias("valid_from"),
+                          (F.col("ts") + F.make_dt_interval(hours=F.lit(SESSION_HOURS))).alias("valid_to"))
+    return find_overlaps(spans, ["user_id"], "event_id")
+
+
 # --- quality gate and scenarios ------------------------------------------------------------
 
 @register("dq_summary", summary_sql("baseline"))
@@ -288,7 +346,6 @@ two AS (SELECT source_system, net, x, unnest(vs) AS y FROM one)
 SELECT source_system, net, x.k AS version_a, y.k AS version_b, x.s AS a_from, x.t AS a_to, y.s AS b_from, y.t AS b_to
 FROM two WHERE x.k < y.k AND greatest(x.s, y.s) < least(x.t, y.t)""".replace("\n,", ",", 1))
 def q_dq_overlaps(spark, sf_dir):
-    from strata.operators.joins import find_overlaps
     return find_overlaps(case_layers(spark, sf_dir, "overlap").dim_network, ["source_system", "net"], "network_key")
 
 

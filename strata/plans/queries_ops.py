@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from strata.functions import classify_prefix
 from strata.operators import aggregates as agg
-from strata.operators.compare import compare, labelled_diff, read_snapshot, snapshot
+from strata.operators.compare import compare, labelled_diff, labelled_diff_by_part, read_snapshot, snapshot
 from strata.operators.publish import Publisher
 from strata.plans import feeds as fd
 from strata.plans import oracle as o
@@ -174,6 +174,21 @@ def q_labelled_diff(spark, sf_dir):
     return labelled_diff(a, b, "baseline", "late")
 
 
+@register("published_diff", f"""
+SELECT 'before' AS src, * FROM (SELECT {', '.join(MART_COLS)} FROM {_mart_sql('baseline')} a
+  EXCEPT ALL SELECT {', '.join(MART_COLS)} FROM ({PUBLISHED_SQL}) b) x
+UNION ALL
+SELECT 'after' AS src, * FROM (SELECT {', '.join(MART_COLS)} FROM ({PUBLISHED_SQL}) a
+  EXCEPT ALL SELECT {', '.join(MART_COLS)} FROM {_mart_sql('baseline')} b) y""")
+def q_published_diff(spark, sf_dir):
+    """What the second publication changed: day by day digests first, then the
+    rows of the changed days."""
+    pub = _published(spark, sf_dir)
+    root = shared_dir(spark, "before") + "/t"
+    write_partitioned(events_layers(spark, sf_dir).mart, root, "event_date")
+    return labelled_diff_by_part(spark.read.parquet(root), pub.live(), "event_date", "before", "after")
+
+
 @register("qa_copy", f"SELECT * FROM {_mart_sql('baseline')} m")
 def q_qa_copy(spark, sf_dir):
     """The mart through a named QA copy."""

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.dims import OPEN_END, network_dim, stage_network_history
 from strata.operators.quality import read_failures, trace_to_raw
 from strata.operators.staging import latest_version, stage_versions, type_raw_events
 from strata.plans import feeds as fd
@@ -96,6 +97,27 @@ def q_raw_trace(spark, sf_dir):
     return trace_to_raw(failing, raw).select("event_id", "_slice_id", "_slice_order", "_is_synthetic")
 
 
+@register("raw_history", o.elt_ctes() + "SELECT * FROM dim_network")
+def q_raw_history(spark, sf_dir):
+    """The network dimension from history slices landed as text: versions that
+    still hold in one slice, ended ones in another."""
+    root, history = shared_dir(spark, "landed-history"), fd.user_history(fd.read_table(spark, sf_dir, "events"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    current = F.col("valid_to") >= F.lit(OPEN_END).cast(history.schema["valid_to"].dataType)
+    slices = []
+    for slice_id, rows in (("baseline", history.filter(current)), ("ended", history.filter(~current))):
+        folder = f"{root}/{slice_id}"
+        (rows.select("net", "network_name", text("valid_from"), text("valid_to")).write.option("header", True)
+         .option("quote", '"').option("escape", '"').csv(f"{folder}/history"))
+        spark.createDataFrame([(fd.EVENTS_SOURCE, False, "history")], "source_system string, synthetic boolean, "
+                              "history_file string").coalesce(1).write.json(f"{folder}/meta.json")
+        slices.append((slice_id, folder))
+    staged = stage_network_history(load_raw(spark, slices)[1])
+    for c in ("valid_from", "valid_to"):
+        staged = staged.withColumn(c, F.col(c).cast(history.schema[c].dataType))
+    return network_dim(staged)
+
+
 # --- the gated run -------------------------------------------------------------------------
 
 def _gated(spark, sf_dir):
