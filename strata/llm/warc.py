@@ -32,37 +32,52 @@ READ_BYTES = 1 << 20
 # Fixed values of the format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
-_URN = "urn:x-row:"
-_NULL_URN = "urn:x-null:"
+_URI_CHARS = ":/?#[]@!$&'()*+,;=%~"
 
 
 def bare_digest(raw: bytes) -> str:
     return base64.b32encode(raw).decode()
 
 
-def _urn(key: str | None) -> str:
-    return f"<{_NULL_URN}>" if key is None else f"<{_URN}{quote(key, safe='')}>"
+def record_head(key: str | None, url: str | None, size: int, digest: str, refers_to: str | None,
+                refers_url: str | None = None) -> bytes:
+    """WARC and HTTP headers of a record; the payload follows a response's.
 
-
-def _key(urn: str | None) -> str | None:
-    return unquote(urn[len(_URN) + 1:-1]) if urn and urn.startswith("<" + _URN) else None
-
-
-def record_head(key: str | None, url: str | None, size: int, digest: str, refers_to: str | None) -> bytes:
-    """WARC and HTTP headers of a record; the payload follows a response's."""
+    Every record has an id of its own, also rows that repeat an id. The row's
+    id, and that of the row a revisit refers to, stand in ``X-Row-ID`` fields;
+    the standard's fields name the referred record by target and date. A url
+    that is a plain URI stands as it is; any other is percent-encoded whole
+    and marked by ``X-Target-Encoding``, so both are read back unchanged."""
     http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             f"Content-Length: {size}\r\n\r\n").encode()
     revisit = refers_to is not None
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_urn(key)}",
-            f"WARC-Target-URI: {quote(url or 'about:blank', safe=':/?#[]@!$&()*+,;=%~')}", f"WARC-Date: {DATE}",
-            f"WARC-Payload-Digest: sha1:{digest}"]
+    target, coded = _target(url)
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{uuid.uuid4().urn}>",
+            f"WARC-Target-URI: {target}", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{digest}"]
+    if coded:
+        head.append("X-Target-Encoding: percent")
+    if key is not None:
+        head.append(f"X-Row-ID: {quote(key, safe='')}")
     if revisit:
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {_urn(refers_to)}"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To-Target-URI: {_target(refers_url)[0]}",
+                 f"WARC-Refers-To-Date: {DATE}", f"X-Refers-To-Row-ID: {quote(refers_to, safe='')}"]
     head += ["Content-Type: application/http; msgtype=response",
              f"Content-Length: {len(http) + (0 if revisit else size)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + http
 
 
+def _target(url: str | None) -> tuple[str, bool]:
+    """The url as a header field, and whether it had to be encoded."""
+    url = url or "about:blank"
+    if quote(url, safe=_URI_CHARS) == url:
+        return url, False
+    return quote(url, safe=""), True
+
+
+def _key(coded: str | None) -> str | None:
+    return None if coded is None else unquote(coded)
+
+
 _MANIFEST = "part int, file string, records bigint, bytes bigint"
 
 
@@ -80,15 +95,16 @@ def _write_task(root: str, file_bytes: int):
                  pa.array([size], pa.int64())], ["part", "file", "records", "bytes"])
 
         for b in batches:
-            cols = [b.column(k).to_pylist() for k in (0, 1, 3, 4)]
+            cols = [b.column(k).to_pylist() for k in (0, 1, 3, 4, 5)]
             payloads = b.column(2).cast(pa.binary())
-            for i, (key, url, sha1, refers) in enumerate(zip(*cols)):
+            for i, (key, url, sha1, refers, refers_url) in enumerate(zip(*cols)):
                 if out is None:
                     name, records, size = f"part-{part:05d}-{uuid.uuid4().hex[:8]}.warc.gz", 0, 0
                     out = fs.open_output_stream(f"{base}/{name}")
                 payload = memoryview(payloads[i].as_buffer())
                 gz = zlib.compressobj(4, zlib.DEFLATED, 31)
-                parts = [record_head(key, url, len(payload), bare_digest(bytes.fromhex(sha1)), refers)]
+                parts = [record_head(key, url, len(payload), bare_digest(bytes.fromhex(sha1)), refers,
+                                     refers_url)]
                 if refers is None:
                     parts += [payload[lo:lo + CHUNK_BYTES] for lo in range(0, len(payload), CHUNK_BYTES)]
                 for p in (*parts, b"\r\n\r\n"):
@@ -115,21 +131,24 @@ def write_archives(spark: SparkSession, pages: DataFrame, id_col: str = "page_id
     A null payload is empty. Of rows with equal payloads of at least
     ``min_revisit_bytes``, those with the smallest id are responses (rows that
     repeat an id and payload are one capture written twice), the rest revisit
-    it; rows without an id are always responses. A null url is written as
-    ``about:blank``; an empty table writes no file; further columns are ignored.
+    it; rows without an id are always responses. Every row is a record with a
+    record id of its own. A null or empty url is written as ``about:blank``;
+    others are read back as they are; an empty table writes no file; further columns are ignored.
     """
     small_batches(spark)
     root = root or workspace(spark, "warc")
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                        F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
     src = src.withColumn("sha1", F.sha1(F.encode("payload", "UTF-8")))
-    narrow = src.filter((F.octet_length("payload") >= min_revisit_bytes) & F.col("id").isNotNull()).select("id", "sha1")
-    first = narrow.groupBy("sha1").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    refers = (narrow.join(first, "sha1").filter("id <> first").select("id", "sha1", "first")
-              .distinct().withColumnRenamed("id", "rid").withColumnRenamed("sha1", "rsha1"))
+    narrow = src.filter((F.octet_length("payload") >= min_revisit_bytes) & F.col("id").isNotNull()).select("id", "sha1", "url")
+    first = (narrow.groupBy("sha1").agg(F.min(F.struct("id", "url")).alias("f"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1").select("sha1", F.col("f.id").alias("first"), F.col("f.url").alias("first_url")))
+    refers = (narrow.select("id", "sha1").join(first, "sha1").filter("id <> first")
+              .select("id", "sha1", "first", "first_url").distinct().withColumnRenamed("id", "rid").withColumnRenamed("sha1", "rsha1"))
     rows = (src.join(refers, (F.col("id") == F.col("rid")) & (F.col("sha1") == F.col("rsha1")), "left")
             .select(F.col("id").cast("string").alias("key"), "url", "payload", "sha1",
-                    F.when(F.octet_length("payload") >= min_revisit_bytes, F.col("first")).cast("string").alias("refers")))
+                    F.when(F.octet_length("payload") >= min_revisit_bytes, F.col("first")).cast("string").alias("refers"),
+                    "first_url"))
     return stored(spark, rows.mapInArrow(_write_task(root, file_bytes), _MANIFEST), "warc-manifest"), root
 
 
@@ -137,7 +156,7 @@ class _Stream:
     """Decompressed bytes of a file of gzip members, a bounded piece at a time."""
 
     def __init__(self, f):
-        self.f, self.raw, self.buf = f, b"", b""
+        self.f, self.raw, self.buf, self.at = f, b"", bytearray(), 0
         self.gz = zlib.decompressobj(31)
 
     def more(self) -> bool:
@@ -152,23 +171,27 @@ class _Stream:
             got = self.gz.decompress(self.raw, READ_BYTES)
             self.raw = self.gz.unconsumed_tail
             if got:
+                del self.buf[:self.at]
+                self.at = 0
                 self.buf += got
                 return True
 
     def until(self, mark: bytes) -> bytes | None:
-        while (at := self.buf.find(mark)) < 0:
+        while (at := self.buf.find(mark, self.at)) < 0:
             if not self.more():
-                if self.buf.strip():
+                if self.buf[self.at:].strip():
                     raise ValueError("cut record")
                 return None
-        out, self.buf = self.buf[:at], self.buf[at + len(mark):]
+        out = bytes(self.buf[self.at:at])
+        self.at = at + len(mark)
         return out
 
     def take(self, n: int) -> bytes:
-        while len(self.buf) < n:
+        while len(self.buf) - self.at < n:
             if not self.more():
                 raise ValueError("cut record")
-        out, self.buf = self.buf[:n], self.buf[n:]
+        out = bytes(self.buf[self.at:self.at + n])
+        self.at += n
         return out
 
 
@@ -191,8 +214,9 @@ def records_of(f, chunk_bytes: int) -> Iterator[tuple]:
         http_head = s.until(b"\r\n\r\n")
         http = _fields(http_head)
         left = int(warc["content-length"]) - len(http_head) - 4
-        fixed = (number, _key(warc["warc-record-id"]), unquote(warc["warc-target-uri"]), warc["warc-type"],
-                 _key(warc.get("warc-refers-to")), int(http["content-length"]),
+        target = warc["warc-target-uri"]
+        fixed = (number, _key(warc.get("x-row-id")), unquote(target) if "x-target-encoding" in warc else target,
+                 warc["warc-type"], _key(warc.get("x-refers-to-row-id")), int(http["content-length"]),
                  warc["warc-payload-digest"].removeprefix("sha1:"))
         sha, chunk = hashlib.sha1(), 0
         if fixed[3] == "revisit":

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import zlib
 
 import pytest
 
@@ -49,13 +50,23 @@ def test_round_trip(spark, least):
     assert urls["3"] == "http://a/ö b" and urls["1"] == "about:blank" and urls["2"] == "u\r\nInjected: x"
 
 
+def test_urls_come_back_unchanged_and_record_ids_are_unique():
+    urls = ["http://a/b%20c", "http://a/b c", "http://a/ö", "http://a/%zz", "a:%", "x'y", "%C3%A4 ä", "http://a/?q=1&r=%2F#f"]
+    raw = b"".join(warc.record_head("7", u, 0, digest(""), None) + b"\r\n\r\n" for u in urls)
+    raw += warc.record_head(None, "u", 0, digest(""), "7", urls[0]) + b"\r\n\r\n"
+    got = list(warc.records_of(io.BytesIO(zlib.compress(raw, 6, 31)), 64))
+    assert [r[2] for r in got[:-1]] == urls and got[-1][1] is None and got[-1][4] == "7"
+    ids = [x for x in raw.decode().split("\r\n") if x.startswith("WARC-Record-ID")]
+    assert len(set(ids)) == len(urls) + 1
+    assert "WARC-Target-URI: http://a/b%20c" in raw.decode() and "WARC-Refers-To-Target-URI: http://a/b%20c" in raw.decode()
+
+
 def test_empty_table(spark):
     manifest, root = warc.write_archives(spark, spark.createDataFrame([], SCHEMA))
     assert warc.records(warc.read_chunks(spark, manifest, root)).collect() == []
 
 
 def test_damage_raises():
-    import zlib
     raw = warc.record_head("1", "u", 5, digest("hello"), None) + b"hello" + b"\r\n\r\n"
     gz = lambda b: zlib.compress(b, 6, 31)
     assert [r[8] for r in warc.records_of(io.BytesIO(gz(raw)), 2)] == [b"he", b"ll", b"o"]
