@@ -2,8 +2,10 @@
 
 Benchmark items and documents are normalised alike (lower case; runs of
 characters other than letters, digits and bytes beyond ASCII become one
-space). A long item is cut into overlapping windows, so a passage of
-an item is found as well as a whole item. For a window of m characters and an
+space). A long item is cut into overlapping windows, so a passage of an item
+is found as well as a whole item: any run of ``WINDOW + STEP - 1`` normalised
+bytes of an item (about 16 words) holds a whole window. Items of fewer than
+``Q`` bytes match the documents that are equal to them. For a window of m characters and an
 edit budget of e, a region within e edits shares at least ``m + 1 - q - q e``
 of its character q-grams, all on diagonals within e of one another. Shared
 q-grams are counted in overlapping diagonal bands (width 2 (e + 1), step
@@ -14,7 +16,8 @@ document region, all candidates of a block of text at once.
 The benchmark is looked up in blocks of at most ``BLOCK_CHARS`` characters:
 one pass over the documents per block, each block sent to the tasks, whose
 size is thus bounded. Documents are worked through whole, in pieces that
-overlap by more than the longest window.
+overlap by more than the longest window; shared grams of a piece are counted
+``PAIRS`` at a time, however often the texts repeat themselves.
 """
 
 from __future__ import annotations
@@ -27,17 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.llm.common import small_batches
 
 Q = 12                  # characters of a gram
-WINDOW = 160            # characters of a window of an item
-STEP = 80
+WINDOW = 80             # characters of a window of an item
+STEP = 24
 EDIT_SHARE = 0.06       # edit budget as a share of the window's characters
 MIN_SHARED = 0.2        # share of a window's grams that the bound must leave
 SHORTEST = 40           # items with fewer characters must match exactly
 BLOCK_CHARS = 1 << 20   # of benchmark text per pass
 PIECE = 1 << 20         # bytes of documents worked through at once
+PAIRS = 1 << 21         # pairs of equal grams counted at once
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
@@ -92,8 +97,12 @@ class Index:
 
     def __init__(self, items: list[tuple[object, str]]):
         self.items, self.offset, self.text = [], [], []
+        self.short: dict[bytes, list] = {}
         for item, text in items:
-            for at, w in windows(normalise(text)):
+            whole = normalise(text)
+            if 0 < len(whole) < Q:
+                self.short.setdefault(whole, []).append(item)
+            for at, w in windows(whole):
                 self.items.append(item)
                 self.offset.append(at)
                 self.text.append(w)
@@ -110,29 +119,40 @@ class Index:
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.value >> np.uint64(42)).astype(np.int64)] = True
 
-    def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in data, window, place in window) of every shared gram."""
+    def hits(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in data, window, place in window) of every shared gram, in
+        slices of about ``PAIRS``."""
         g = grams(data)
         at = np.flatnonzero(self.bits[(g >> np.uint64(42)).astype(np.int64)])
         g = g[at]
         if not len(self.value) or not len(g):
-            return (np.zeros(0, np.int64),) * 3
+            return
         k = np.minimum(np.searchsorted(self.value, g), len(self.value) - 1)
         ok = self.value[k] == g
         at, k = at[ok], k[ok]
-        n = self.count[k]
-        entry = np.repeat(self.first[k] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        return np.repeat(at, n), self.win[entry], self.pos[entry]
+        upto = np.cumsum(self.count[k])
+        lo = 0
+        while lo < len(k):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
+            n = self.count[k[lo:hi]]
+            entry = np.repeat(self.first[k[lo:hi]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            yield np.repeat(at[lo:hi], n), self.win[entry], self.pos[entry]
+            lo = hi
 
     def bands(self, data: np.ndarray) -> list[tuple[int, int, int]]:
         """(window, band start, shared grams) of the bands that reach the bound;
         a band covers diagonals [start, start + 2 (edits + 1))."""
-        at, win, pos = self.hits(data)
-        step = self.edits[win] + 1
-        low = (at - pos + WINDOW + STEP) // step            # diagonals shifted to be positive
         span = len(data) + 2 * (WINDOW + STEP) + 2
-        key = np.concatenate((win * span + low, win * span + low - 1))   # bands [low] and [low - 1] hold it
-        key, shared = np.unique(key, return_counts=True)
+        keys, counts = [], []
+        for at, win, pos in self.hits(data):
+            low = (at - pos + WINDOW + STEP) // (self.edits[win] + 1)       # diagonals shifted to be positive
+            key, n = np.unique(np.concatenate((win * span + low, win * span + low - 1)), return_counts=True)
+            keys.append(key)                                # bands [low] and [low - 1] hold a gram
+            counts.append(n)
+        if not keys:
+            return []
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        shared = np.bincount(at, np.concatenate(counts)).astype(np.int64)
         w = key // span
         keep = shared >= self.need[w]
         w, b, shared = w[keep], (key % span)[keep], shared[keep]
@@ -194,6 +214,7 @@ def search(idx: Index, texts: list[str | None]) -> list[tuple]:
     held, owner, size = [], [], 0
     for row, text in enumerate(texts):
         raw = normalise(text)
+        out += [(row, item, 0, len(raw), 0, 0, len(raw)) for item in idx.short.get(raw, ())]
         for lo in range(0, len(raw), PIECE):
             part = raw[lo:lo + PIECE + 2 * WINDOW]
             held.append(part)
@@ -209,7 +230,7 @@ def search(idx: Index, texts: list[str | None]) -> list[tuple]:
 
 def _indexes(spark: SparkSession, benchmark: DataFrame, item_col: str, item_text: str) -> Iterator:
     """Broadcast indexes of the benchmark, each over at most about BLOCK_CHARS characters."""
-    bench = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(item_text).alias("text")) \
+    bench = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")) \
         .filter(F.col("text").isNotNull())
     blocks = max(1, -(-int(bench.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS))
     for k in range(blocks):
@@ -220,8 +241,8 @@ def _indexes(spark: SparkSession, benchmark: DataFrame, item_col: str, item_text
 def flag_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                    item_col: str = "item_id", item_text: str = "text", out: str = "passages") -> DataFrame:
     """``docs`` with a new column ``out``: the number of benchmark windows
-    its text holds within their edit budgets. No shuffle; every row stays, and
-    null or empty texts count 0."""
+    its text holds within their edit budgets. No shuffle; every row stays, also
+    rows without an id and repeated ones, and null or empty texts count 0."""
     if out in docs.columns:
         raise ValueError(f"column {out} exists")
     small_batches(spark)
@@ -239,7 +260,7 @@ def flag_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, t
     return flagged
 
 
-def _search_task(index):
+def _search_task(index, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = search(index.value, b.column(1).to_pylist())
@@ -247,7 +268,7 @@ def _search_task(index):
                 rows = b.column(0).take(pa.array([o[0] for o in out]))
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [rows, pa.array(cols[1], pa.int64()), *[pa.array(c, pa.int64()) for c in cols[2:]]],
+                    [rows, pa.array(cols[1], item_type), *[pa.array(c, pa.int64()) for c in cols[2:]]],
                     ["id", "item_id", "item_start", "length", "edits", "shared", "doc_end"])
     return run
 
@@ -258,18 +279,19 @@ def find_passages(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id
     each window of a benchmark item that a document holds within the edit
     budget: best alignment; places count bytes of the normalised texts.
 
-    Null and empty texts (of either table) match nothing, as do items of fewer
-    than ``Q`` normalised bytes; rows that repeat an id give one result for
-    it, a null id stays null; either table may be empty; further columns are
+    Null and empty texts (of either table) match nothing; an item of fewer
+    than ``Q`` normalised bytes matches the documents equal to it; rows that
+    repeat an id give one result for it, a null id stays null; either table may be empty; further columns are
     ignored.
     """
     small_batches(spark)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = (f"id {src.schema['id'].dataType.simpleString()}, item_id bigint, item_start bigint, length bigint, "
-              "edits bigint, shared bigint, doc_end bigint")
+    item = benchmark.schema[item_col].dataType
+    schema = (f"id {src.schema['id'].dataType.simpleString()}, item_id {item.simpleString()}, item_start bigint, "
+              "length bigint, edits bigint, shared bigint, doc_end bigint")
     found = None
     for index in _indexes(spark, benchmark, item_col, item_text):
-        one = src.mapInArrow(_search_task(index), schema)
+        one = src.mapInArrow(_search_task(index, to_arrow_type(item)), schema)
         found = one if found is None else found.unionByName(one)
     return found.groupBy("id", "item_id", "item_start").agg(
         F.min_by(F.struct("length", "edits", "shared", "doc_end"), F.struct("edits", "doc_end")).alias("m")
