@@ -1,25 +1,19 @@
 """Line dedup by distinct-site spread, in DataFrame functions only.
 
-A line is boilerplate if it stands on at least ``min_sites`` distinct sites
-and in changing company: the distinct lines before it, and those after it,
-each number at least ``min_company`` of the distinct texts that hold it.
-(The lines of a document that is copied to many sites keep their neighbours
-and stay; a notice pasted into unrelated pages does not keep them.)
+A line is boilerplate if it stands on half of the table's distinct sites (from
+2 to ``most_sites``) and in ``min_texts`` or more classes of near copies.
+Texts are of one class if linked by an equal band of minhashes of their word
+shingles, so a document copied to many sites, exactly or nearly, is one class
+wherever it stands and keeps its lines, while a notice pasted into unrelated
+pages goes, wherever in a page it stands. The links are approximate: short
+texts that mostly consist of one notice may count as one class.
 
 Spread is counted by HyperLogLog sketches per line hash: sketches of salted
 parts are built first, then merged by aggregation, so a line on a third of
-all rows is never one task's input. Only lines with at least ``min_sites``
-occurrences can spread that far, so only they get sketches. Lines whose
-estimates come near a threshold get exact distinct counts.
-
-That rule is the one the SQL of op5_line_dedup states. It spares notices that
-keep a neighbour (a document's edge, a blank line, the rest of a longer
-notice) and takes the lines of a text copied exactly. The pipeline therefore
-decides by classes of near copies (``spread_boilerplate``): a line goes if it
-stands on enough distinct sites and in ``MIN_TEXTS`` or more classes of texts.
-Texts are of one class if linked by an equal band of minhashes of their word
-shingles, so a document copied to many sites, exactly or nearly, is one class
-wherever it stands, and neighbours play no part.
+all rows is never one task's input. Only lines with enough occurrences can
+spread that far, so only they get sketches. Lines whose estimates come near a
+threshold get exact distinct counts. Line hashes are computed once and stored;
+lines and rows are told apart by 128 bits.
 """
 
 from __future__ import annotations
@@ -31,12 +25,10 @@ from strata.llm.common import stored
 from strata.llm.components import components
 
 MIN_SITES = 15
-MIN_COMPANY = 0.25
 LG_K = 12
 # Estimates within this share of a threshold are counted exactly: six standard errors at LG_K = 12.
 NEAR = 0.1
 SALT = 16
-COUNTED = ("site", "before", "after", "doc")
 # Classes of near copies that must hold a line; the sites it must reach are half of the table's, from 2 to MIN_SITES.
 MIN_TEXTS = 10
 # Shingles of WORDS words; the LOWEST hashes stand for a text; equal BANDS of ROWS minhashes link texts: nearly always
@@ -44,26 +36,18 @@ MIN_TEXTS = 10
 WORDS, LOWEST, BANDS, ROWS = 3, 64, 8, 4
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(key, doc, site, pos, h, before, after): a row for every line that is
-    not blank; h and its neighbours' hashes; edges and blank lines hash to 0."""
-    blank = lambda x: F.length(F.trim(x)) == 0
-    hashes = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"),
-                         lambda x: F.when(~blank(x), F.xxhash64(x)))
-    rows = docs.select("key", "doc", "site", hashes.alias("hs"))
-    rows = rows.select("key", "doc", "site", "hs", F.posexplode("hs").alias("pos", "h")).filter("h IS NOT NULL")
-    near = lambda step: F.coalesce(F.get("hs", F.col("pos") + step), F.lit(0))
-    return rows.select("key", "doc", "site", "pos", "h", near(-1).alias("before"), near(1).alias("after"))
+def _digest(*cols):
+    """128 bits of the columns."""
+    return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b"))
 
 
-def boilerplate(spark: SparkSession, lines: DataFrame, min_sites: int = MIN_SITES,
-                min_company: float = MIN_COMPANY) -> DataFrame:
-    """(h): hashes of boilerplate lines among ``_lines`` rows."""
-    cand = _often(spark, lines, min_sites).select("h", *COUNTED)
-    company = F.least("before", "after")
-    return _passing(spark, cand, COUNTED, lambda slack_up, slack_down: (
-        (F.col("site") >= min_sites * slack_up)
-        & (company * slack_down >= F.col("doc") * min_company * slack_up)), "lines-boilerplate")
+def _lines(spark: SparkSession, flat: DataFrame) -> DataFrame:
+    """(key, doc, site, pos, h): a row for every line that is not blank, from
+    the stored hashes of all texts."""
+    hashes = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"),
+                         lambda x: F.when(F.length(F.trim(x)) > 0, _digest(x)))
+    rows = stored(spark, flat.select("key", "doc", "site", hashes.alias("hs")), "lines-hashes")
+    return rows.select("key", "doc", "site", F.posexplode("hs").alias("pos", "h")).filter("h IS NOT NULL")
 
 
 def _often(spark: SparkSession, lines: DataFrame, least: int) -> DataFrame:
@@ -116,12 +100,10 @@ def spread_boilerplate(spark: SparkSession, flat: DataFrame, lines: DataFrame, m
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       site_col: str = "source", min_sites: int = MIN_SITES, min_company: float = MIN_COMPANY,
-                       removed: str = "removed_lines", by_classes: bool = False) -> DataFrame:
+                       site_col: str = "source", most_sites: int = MIN_SITES, min_texts: int = MIN_TEXTS,
+                       removed: str = "removed_lines") -> DataFrame:
     """``docs`` with boilerplate lines taken out of its text and a count of
-    them in the new column ``removed``; ``by_classes`` decides by classes of
-    near copies (``min_sites`` is then the most sites asked for) instead of by
-    neighbours.
+    them in the new column ``removed``.
 
     Every row stays; a text all of whose lines go becomes empty. Blank lines
     are never boilerplate. Null texts stay null, a null site counts for no
@@ -132,16 +114,15 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     if removed in docs.columns:
         raise ValueError(f"column {removed} exists")
     text = F.col(text_col)
-    flat = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(text).alias("doc"),
+    flat = docs.select(_digest(F.col(id_col), text).alias("key"), F.xxhash64(text).alias("doc"),
                        F.col(site_col).cast("string").alias("site"), text.alias("text"))
-    lines = _lines(flat)
-    bad = (spread_boilerplate(spark, flat, lines, min_sites) if by_classes
-           else boilerplate(spark, lines, min_sites, min_company))
+    lines = _lines(spark, flat)
+    bad = spread_boilerplate(spark, flat, lines, most_sites, min_texts)
     drop = lines.select("key", "pos", "h").join(bad, "h", "left_semi")
     # Rows with one key have one text: their positions coincide.
     per_doc = drop.groupBy("key").agg(F.collect_set("pos").alias("gone"))
     names = [f"c{i}" for i in range(len(docs.columns))]     # own names while joined: inputs may clash with them
-    own = docs.toDF(*names).withColumn("key", F.xxhash64(names[docs.columns.index(id_col)],
+    own = docs.toDF(*names).withColumn("key", _digest(names[docs.columns.index(id_col)],
                                                          names[docs.columns.index(text_col)]))
     body = F.col(names[docs.columns.index(text_col)])
     kept = F.array_join(F.filter(F.split(body, "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")

@@ -4,11 +4,14 @@ Every text is scanned for credential candidates of several kinds (spans in
 code points). The hash of each candidate's value is counted over the whole
 corpus: distinct repositories and distinct owners, pre-aggregated per
 (value, owner, repository) before the counts, so a value on a third of all
-rows is no task's whole input. A value of many owners is a widely copied
-example; one of few owners that looks random is a live credential. Bare
-occurrences of live values, without the assignment or prefix that gave them
-away elsewhere, are then found in all texts and added as spans of kind
-``live``.
+rows is no task's whole input. A value's core is the value without
+punctuation at its ends; values of one core count as one. A core of many
+owners, or of many repositories of few owners, is a widely copied example; one
+of few owners and repositories that looks random (enough different characters,
+a letter and a digit) is a live credential. Bare occurrences of live cores,
+without the assignment or prefix that gave them away elsewhere, are then found
+in all texts (as whole tokens, punctuation at the ends aside) and added as
+spans of kind ``live``.
 
 Positions: a match with the text before it is extracted as one string, so
 running sums of lengths give the spans; they are summed by a window over a
@@ -28,10 +31,15 @@ KINDS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
-# A bare token that may repeat a value: at least this long, with a digit and a letter.
-BARE = r"[A-Za-z0-9+/_.=-]{20,}"
+# A bare token that may repeat a value: a whole run of these characters with a digit, of at least MIN_DISTINCT. The same
+# runs as RE2 has them (no look-around; runs that are too short are left out afterwards).
+RUN = "A-Za-z0-9+/_.=-"
+BARE = "(?<![" + RUN + "])(?=[" + RUN + "]{8})[A-Za-z+/_.=-]*+[0-9][" + RUN + "]*+"
+BARE_RE2 = "[A-Za-z+/_.=-]*[0-9][" + RUN + "]*"
+ENDS = "+/_.=-"         # punctuation left out of a core
 MAX_OWNERS = 2          # a live value belongs to at most so many owners
-MIN_DISTINCT = 8        # and has at least so many different characters
+MAX_REPOS = 3           # and to at most so many repositories
+MIN_DISTINCT = 8        # and has at least so many different characters (so no live core is shorter)
 
 
 def _matches(text: Column, pattern: str, group: int) -> Column:
@@ -58,7 +66,8 @@ def _spans(rows: DataFrame, kind: str, col: str) -> DataFrame:
 
 
 def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         owner: Column | str = "source", repo: Column | str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
+         owner: Column | str = "source", repo: Column | str = "source", max_owners: int = MAX_OWNERS,
+         max_repos: int = MAX_REPOS) -> DataFrame:
     """(id, spans, live, copied): one row per row of ``docs``.
 
     ``spans``: array of (start, rank, kind, stop) in order, ``rank`` being the
@@ -79,16 +88,21 @@ def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     for rank, (kind, _, _, least) in enumerate(KINDS):
         one = _spans(rows, kind, kind).filter(F.length("value") >= least).withColumn("rank", F.lit(rank))
         base = one if base is None else base.unionByName(one)
-    base = stored(spark, base.withColumn("h", F.xxhash64("value")), "secret-spans")
-    owned = base.groupBy("h", "owner", "repo").agg(F.first("value").alias("value"))
-    by_owner = owned.groupBy("h", "owner").agg(F.count(F.lit(1)).alias("repos"), F.first("value").alias("value"))
+    core = F.btrim("value", F.lit(ENDS))
+    keyed = lambda df: df.withColumn("core", core).withColumn("h", F.sha2("core", 256))
+    base = stored(spark, keyed(base), "secret-spans")
+    owned = base.groupBy("h", "owner", "repo").agg(F.first("core").alias("core"))
+    by_owner = owned.groupBy("h", "owner").agg(F.count(F.lit(1)).alias("repos"), F.first("core").alias("core"))
     values = stored(spark, by_owner.groupBy("h").agg(
-        F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.first("value").alias("value"))
-        .withColumn("is_live", (F.col("owners") <= max_owners)
-                    & (F.size(F.array_distinct(F.split("value", ""))) >= MIN_DISTINCT)), "secret-values")
-
-    bare = (_spans(rows, "live", "bare").filter(F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]"))
-            .withColumn("h", F.xxhash64("value")).join(values.filter("is_live").select("h"), "h", "left_semi"))
+        F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.first("core").alias("core"))
+        .withColumn("is_live", (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
+                    & (F.size(F.array_distinct(F.split("core", ""))) >= MIN_DISTINCT)
+                    & F.col("core").rlike("[0-9]") & F.col("core").rlike("[A-Za-z]")), "secret-values")
+
+    led = F.length("value") - F.length(F.ltrim("value", F.lit(ENDS)))
+    bare = (keyed(_spans(rows, "live", "bare"))
+            .withColumn("start", F.col("start") + led).withColumn("stop", F.col("start") + F.length("core"))
+            .join(values.filter("is_live").select("h"), "h", "left_semi"))
     mine = base.select("rid", F.col("start").alias("s"), F.col("stop").alias("e"))
     extra = (bare.join(mine, (bare["rid"] == mine["rid"]) & (F.col("s") < F.col("stop")) & (F.col("e") > F.col("start")),
                        "left_anti")

@@ -10,7 +10,7 @@ from strata.llm import (decontaminate, htmlgraph, linededup, nndescent, ownershi
 from strata.llm.common import table
 from strata.llm.partenum import jaccard_groups
 from strata.llm.registry import ORACLE, QUERIES, register  # noqa: F401
-from strata.llm.sql import JACCARD_SQL, LINES_SQL, RESAMPLE_SQL, SECRETS_SQL, WARC_SQL
+from strata.llm.sql import JACCARD_SQL, RESAMPLE_SQL, SECRETS_SQL, WARC_SQL
 
 
 @register("op1_packing")
@@ -45,7 +45,7 @@ def op4_warc(spark, sf_dir):
                        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
-@register("op5_line_dedup", LINES_SQL)
+@register("op5_line_dedup")
 def op5_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     clean = linededup.remove_boilerplate(spark, docs)

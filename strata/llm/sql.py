@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm.ownership import BARE, KINDS, MAX_OWNERS, MIN_DISTINCT
+from strata.llm.ownership import BARE_RE2, ENDS, KINDS, MAX_OWNERS, MAX_REPOS, MIN_DISTINCT
 
 # Distinct texts stand for their copies; links by shared shingles, components by a recursive walk.
 JACCARD_SQL = r"""
@@ -28,29 +28,6 @@ SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_shingles,
 FROM keyed d LEFT JOIN reps ON reps.k = d.k AND d.n > 0 LEFT JOIN comp ON comp.r = reps.r
 """
 
-# Distinct texts hold lines once; exact distinct counts throughout.
-LINES_SQL = r"""
-WITH cut AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
-num AS (SELECT doc_id, source, text, ls, unnest(range(1, len(ls) + 1)) AS i FROM cut),
-line AS (
-  SELECT doc_id, source, text, i, ls[i] AS l,
-         CASE WHEN i = 1 OR trim(ls[i - 1], ' ') = '' THEN NULL ELSE ls[i - 1] END AS b,
-         CASE WHEN i = len(ls) OR trim(ls[i + 1], ' ') = '' THEN NULL ELSE ls[i + 1] END AS a
-  FROM num WHERE trim(ls[i], ' ') <> ''),
-bad AS (
-  SELECT l FROM line GROUP BY l
-  HAVING count(DISTINCT source) >= 15
-     AND least(count(DISTINCT coalesce(b, '')), count(DISTINCT coalesce(a, ''))) >= 0.25 * count(DISTINCT text)),
-clean AS (
-  SELECT n.doc_id, count(bad.l) AS gone, coalesce(string_agg(ls[i], chr(10) ORDER BY i) FILTER (WHERE bad.l IS NULL), '') AS t
-  FROM num n LEFT JOIN bad ON bad.l = ls[i] GROUP BY n.doc_id),
-final AS (SELECT d.doc_id, coalesce(c.gone, 0) AS gone, CASE WHEN d.text IS NULL THEN NULL ELSE c.t END AS t
-          FROM cut d LEFT JOIN clean c USING (doc_id))
-SELECT doc_id, CAST(len(string_split(t, chr(10))) AS BIGINT) AS kept_lines, CAST(gone AS BIGINT) AS removed_lines,
-       CAST(length(t) AS BIGINT) AS kept_chars, md5(t) AS kept_md5
-FROM final
-"""
-
 
 def _matches_sql(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
     flags, body = ("(?i)", pattern[4:]) if pattern.startswith("(?i)") else ("", pattern)
@@ -66,12 +43,18 @@ def _matches_sql(kind: str, rank: int, pattern: str, group: int, least: int) ->
 
 SECRETS_SQL = ("WITH base AS (" + " UNION ALL ".join(
     _matches_sql(k, r, p, g, n) for r, (k, p, g, n) in enumerate(KINDS)) + f"""),
-val AS (SELECT v, count(DISTINCT coalesce(source, '')) <= {MAX_OWNERS}
-               AND len(list_distinct(string_split(v, ''))) >= {MIN_DISTINCT} AS live FROM base GROUP BY v),
-bare AS (SELECT * FROM ({_matches_sql('live', len(KINDS), BARE, 0, 20)}) x
-         WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND v IN (SELECT v FROM val WHERE live)
+val AS (SELECT trim(v, '{ENDS}') AS c, count(DISTINCT coalesce(source, '')) <= {MAX_OWNERS}
+               AND count(DISTINCT coalesce(source, '') || chr(10) || concat_ws('/', source, lang)) <= {MAX_REPOS}
+               AND len(list_distinct(string_split(trim(v, '{ENDS}'), ''))) >= {MIN_DISTINCT}
+               AND regexp_matches(trim(v, '{ENDS}'), '[0-9]') AND regexp_matches(trim(v, '{ENDS}'), '[A-Za-z]') AS live
+        FROM base GROUP BY trim(v, '{ENDS}')),
+bare AS (SELECT * FROM (
+           SELECT * REPLACE (start + length(v) - length(ltrim(v, '{ENDS}')) AS start,
+                             start + length(v) - length(ltrim(v, '{ENDS}')) + length(trim(v, '{ENDS}')) AS stop)
+           FROM ({_matches_sql('live', len(KINDS), BARE_RE2, 0, MIN_DISTINCT)}) y) x
+         WHERE trim(v, '{ENDS}') IN (SELECT c FROM val WHERE live)
            AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.start < x.stop AND b.stop > x.start)),
-every AS (SELECT doc_id, kind, rank, start, stop, v, live FROM base JOIN val USING (v)
+every AS (SELECT doc_id, kind, rank, start, stop, v, live FROM base JOIN val ON val.c = trim(v, '{ENDS}')
           UNION ALL SELECT doc_id, kind, rank, start, stop, v, NULL FROM bare),
 per AS (
   SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,

@@ -12,48 +12,47 @@ from strata.llm.linededup import remove_boilerplate
 DOCS = "doc_id long, text string, source string, key string, gone string, h long"
 
 
-def brute_lines(rows, min_sites, min_company):
-    sites, before, after, texts = (defaultdict(set) for _ in range(4))
-    blank = lambda x: x.strip(" ") == ""
+def brute_lines(rows, copies):
+    """Lines on half of the sites (2 to 15) and in ten classes; ``copies`` maps a text to its class."""
+    sites, classes = defaultdict(set), defaultdict(set)
     for _, t, s in rows:
-        ls = (t or "").split("\n")
-        for k, x in enumerate(ls):
-            if blank(x):
-                continue
-            if s is not None:
+        for x in (t or "").split("\n"):
+            if x.strip(" "):
                 sites[x].add(s)
-            before[x].add(ls[k - 1] if k and not blank(ls[k - 1]) else "")
-            after[x].add(ls[k + 1] if k + 1 < len(ls) and not blank(ls[k + 1]) else "")
-            texts[x].add(t)
-    bad = {x for x in texts if len(sites[x]) >= min_sites
-           and min(len(before[x]), len(after[x])) >= min_company * len(texts[x])}
+                classes[x].add(copies.get(t, t))
+    least = min(15, max(2, -(-len({s for *_, s in rows} - {None}) // 2)))
+    bad = {x for x in sites if len(sites[x] - {None}) >= least and len(classes[x]) >= 10}
     out = []
     for i, t, _ in rows:
         kept = None if t is None else [x for x in t.split("\n") if x not in bad]
         out.append((i, None if t is None else "\n".join(kept), 0 if t is None else len(t.split("\n")) - len(kept)))
-    return out
-
-
-@pytest.mark.parametrize("min_sites", [2, 6, 30])
-def test_lines_equal_brute_force(spark, min_sites):
-    r = random.Random(min_sites)
-    notice = [f"notice {k}" for k in range(6)]
-    rows = []
-    for i in range(150):
-        body = [f"line {r.randrange(400)}" for _ in range(r.randint(0, 6))]
-        for _ in range(r.randint(0, 2)):
-            body.insert(r.randint(0, len(body)), r.choice(notice))
-        rows.append((i, "\n".join(body), r.choice([f"s{k}" for k in range(40)] + [None])))
-    copied = "\n".join(f"copied {k}" for k in range(5))
-    rows += [(200 + k, copied + ("" if k % 3 else f"\nown {k}"), f"s{k}") for k in range(40)]
-    rows += [(300, None, "s1"), (301, "", "s2"), (302, "  \n\n ", "s3"), (None, "notice 1", "s4"), rows[0], rows[0]]
+    return out, bad
+
+
+@pytest.mark.parametrize("sites", [2, 6, 40])
+def test_lines_equal_brute_force(spark, sites):
+    r = random.Random(sites)
+    word = lambda: "".join(r.choice("abcdefghijklm") for _ in range(5))
+    line = lambda: " ".join(word() for _ in range(12))
+    notice, rows, copies = [f"notice number {k}" for k in range(8)], [], {}
+    for i in range(200):
+        body = [line() for _ in range(r.randint(5, 9))]
+        for k, x in enumerate(notice):
+            if r.random() < 0.06 * (k + 1):
+                body.insert(r.randint(0, len(body)), x)
+        rows.append((i, "\n".join(body), r.choice([*(f"s{k}" for k in range(sites)), None])))
+    base = [line() for _ in range(20)]
+    for k in range(60):
+        text = "\n".join([*base[:k % 20], base[k % 20] + f" own {k}", *base[k % 20 + 1:]] if k % 3 else base)
+        copies[text] = "copied"
+        rows.append((200 + k, text, f"s{k % sites}"))
+    rows += [(300, None, "s1"), (301, "", "s1"), (302, "  \n\n ", "s1"), (None, "notice number 7", "s1"), rows[0], rows[0]]
     df = spark.createDataFrame([(*x, "k", "g", 1) for x in rows], DOCS).repartition(3)
-    got = remove_boilerplate(spark, df, min_sites=min_sites)
+    got = remove_boilerplate(spark, df)
     assert got.columns == [*df.columns, "removed_lines"]
-    assert sorted(((x.doc_id, x.text, x.removed_lines) for x in got.collect()), key=str) == \
-        sorted(brute_lines(rows, min_sites, 0.25), key=str)
-    if min_sites < 30:
-        assert all(x.removed_lines == 0 for x in got.filter("doc_id BETWEEN 200 AND 239").collect())
+    want, bad = brute_lines(rows, copies)
+    assert sorted(((x.doc_id, x.text, x.removed_lines) for x in got.collect()), key=str) == sorted(want, key=str)
+    assert bad and bad <= set(notice)
 
 
 def test_lines_empty_table_and_taken_name(spark):
@@ -99,5 +98,60 @@ def test_live_values_are_found_bare_and_copied_ones_are_not(spark):
     assert (got[1].live, got[1].copied, got[10].live, got[10].copied, got[3].copied) == (1, 0, 0, 1, 1)
 
 
+def test_short_values_punctuation_and_repositories(spark):
+    live, many = "Zq3fG7hK", "Wx9-Bd2_Rt5Lm"
+    rows = [(1, f"token = {live}.", "s1", "r1", "", 0), (2, f"use {live}, or '{live}=' and ({live}).", "s2", "r2", "", 0),
+            (3, f"x{live} {live}y {live[:-1]}", "s2", "r2", "", 0), (4, "password: correcthorse", "s1", "r1", "", 0),
+            (5, "correcthorse", "s1", "r1", "", 0), (6, f"y {many} z", "s9", "r1", "", 0)]
+    rows += [(10 + k, f"secret: {many}", "s1", f"r{k}", "", 0) for k in range(5)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {x.id: x for x in ownership.scan(spark, df, repo="key").collect()}
+    spans = lambda i: [(s["kind"], s["start"], s["stop"]) for s in got[i].spans]
+    text = rows[1][1]
+    at = [m.start() for m in re.finditer(live, text)]
+    assert spans(2) == [("live", a, a + len(live)) for a in at] and len(at) == 3
+    assert spans(3) == spans(5) == spans(6) == []
+    assert (got[1].live, got[4].live, got[10].live, got[10].copied) == (1, 0, 0, 1)
+    got = {x.id: x for x in ownership.scan(spark, df, repo="key", max_repos=5).collect()}
+    assert got[10].live == 1 and spans(6) == [("live", 2, 2 + len(many))]
+
+
+def brute_live(rows):
+    owners, repos = defaultdict(set), defaultdict(set)
+    ends = ownership.ENDS
+    base = {i: [(a, z) for a, _, _, z in base_spans(t)] for i, t, *_ in rows}
+    pats = [(re.compile(p), g, n) for _, p, g, n in ownership.KINDS]
+    for _, t, s, r in rows:
+        for p, g, n in pats:
+            for m in p.finditer(t):
+                if len(m[g]) >= n:
+                    owners[m[g].strip(ends)].add(s)
+                    repos[m[g].strip(ends)].add((s, r))
+    live = {c for c in owners if len(owners[c]) <= ownership.MAX_OWNERS and len(repos[c]) <= ownership.MAX_REPOS
+            and len(set(c)) >= ownership.MIN_DISTINCT and re.search("[0-9]", c) and re.search("[A-Za-z]", c)}
+    out = {}
+    for i, t, *_ in rows:
+        found = []
+        for m in re.finditer("[" + ownership.RUN + "]+", t):
+            c = m[0].strip(ends)
+            a = m.start() + len(m[0]) - len(m[0].lstrip(ends))
+            if c in live and not any(x < a + len(c) and y > a for x, y in base[i]):
+                found.append((a, a + len(c)))
+        out[i] = found
+    return out
+
+
+def test_live_spans_equal_python(spark):
+    r = random.Random(11)
+    values = ["".join(r.choice("abcXYZ0123456789_-") for _ in range(r.randint(6, 14))) for _ in range(25)]
+    piece = lambda: r.choice([f"token = {r.choice(values)}", r.choice(values), f"({r.choice(values)}).", f"{r.choice(values)}==",
+                              "plain words here", f"-{r.choice(values)}/", "2024-01-01", f"x{r.choice(values)}"])
+    rows = [(i, " ".join(piece() for _ in range(r.randint(0, 4))), f"s{r.randrange(3)}", f"r{r.randrange(3)}") for i in range(120)]
+    got = ownership.scan(spark, spark.createDataFrame([(*x, "", 0) for x in rows], DOCS).repartition(3), repo="key").collect()
+    want = brute_live(rows)
+    assert {x.id: [(s["start"], s["stop"]) for s in x.spans if s["kind"] == "live"] for x in got} == want
+    assert sum(map(len, want.values())) > 10
+
+
 def test_secrets_empty_table(spark):
     assert ownership.scan(spark, spark.createDataFrame([], DOCS)).collect() == []
