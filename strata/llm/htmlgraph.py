@@ -19,6 +19,7 @@ from __future__ import annotations
 import html as htmllib
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,9 +33,16 @@ from strata.llm.common import small_batches
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title select svg math".split())
+RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title select desc metadata "
+                "annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
+# Parts of formulas and drawings: their text belongs to the text around them.
+DRAWN = frozenset("math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle mpadded mphantom menclose merror "
+                  "mfenced mprescripts mmultiscripts msub msup msubsup munder mover munderover mtable mtr mtd svg g defs "
+                  "symbol use text tspan textpath path circle ellipse line polyline polygon rect marker pattern mask "
+                  "clippath lineargradient radialgradient stop filter image foreignobject switch view".split())
+INLINE |= DRAWN
 CLOSES_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer "
                      "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -58,8 +66,9 @@ WORDS = (
 )
 _KIND = {t: i for i, row in enumerate(KINDS) for t in row.split()}
 _WORD = {w: i for i, row in enumerate(WORDS) for w in row.split()}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+# Elements nest to this depth, as in browsers; deeper ones add their text to the element there.
+MAX_DEPTH = 512
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 N_FEATURES = len(KINDS) + len(WORDS) + 11
@@ -78,14 +87,71 @@ class Tree:
     mark: list[str | None]  # value of a data-label attribute, as labelled pages have it
 
 
+class _Tokens:
+    """Tags, comments and declarations of a page, in order. Every search of
+    the page remembers what it found, so the whole is linear in its length."""
+
+    def __init__(self, src: str):
+        self.src, self.seen, self.quoted = src, {}, True
+
+    def find(self, mark: str, at: int) -> int:
+        """First ``mark`` from ``at``, or the end of the page."""
+        got = self.seen.get(mark)
+        if got is None or not got[0] <= at <= got[1]:
+            k = self.src.find(mark, at)
+            got = self.seen[mark] = (at, k if k >= 0 else len(self.src))
+        return got[1]
+
+    def next(self, at: int):
+        """(start, end, closing, name, attributes) of the next token from
+        ``at``, its name empty where it is no tag; None if there is none. A
+        "<" that starts no token is text. A tag ends at the first ">" outside
+        quotes; where a quote is never closed, quotes don't count from there on."""
+        src, n = self.src, len(self.src)
+        while (at := src.find("<", at)) >= 0:
+            if src.startswith("<!--", at):
+                end = self.find("-->", at + 4)
+                return at, min(end + 3, n), "", "", ""
+            if src.startswith("<![CDATA[", at) and (end := self.find("]]>", at + 9)) < n:
+                return at, end + 3, "", "", ""
+            if src.startswith(("<!", "<?"), at):
+                if (end := self.find(">", at + 2)) < n:
+                    return at, end + 1, "", "", ""
+            elif m := _NAME.match(src, at + 1):
+                if (end := self.close(m.end())) < n:
+                    return at, end + 1, m[1], m[2].lower(), src[m.end():end]
+            if self.find(">", at) == n:
+                return None
+            at += 1
+        return None
+
+    def close(self, at: int) -> int:
+        """The ">" that ends a tag whose name ends at ``at``."""
+        n, k = len(self.src), at
+        while self.quoted:
+            end, single, double = self.find(">", k), self.find("'", k), self.find('"', k)
+            quote = min(single, double)
+            if end <= quote:
+                if end == n:
+                    self.quoted = False
+                return end if end < n else self.find(">", at)
+            k = self.find(self.src[quote], quote + 1) + 1
+            if k > n:
+                self.quoted = False
+        return self.find(">", at)
+
+
 def parse(page: str | None) -> Tree:
-    """Tolerant parse of a page; a null or empty page is a bare root."""
+    """Tolerant parse of a page, linear in its length; a null or empty page is
+    a bare root."""
     t = Tree([-1], [_KIND["div"]], [frozenset()], [0], [0], [None], [0], [None])
     src = page or ""
     stack: list[tuple[str, int]] = [("#root", 0)]       # block elements: tag, node
-    inline: list[str] = []
+    inline: Counter = Counter()
+    open_tags: Counter = Counter()
+    deep: Counter = Counter()           # open elements beyond MAX_DEPTH
     held: list[tuple[str, bool]] = []
-    at = 0
+    tokens, at = _Tokens(src), 0
 
     def node(kind, words, text, mark=None):
         up = stack[-1][1]
@@ -107,33 +173,34 @@ def parse(page: str | None) -> Tree:
 
     def pop_to(k):
         block()
+        open_tags.subtract(s for s, _ in stack[k:])
         del stack[k:]
         inline.clear()
+        deep.clear()
 
     while at < len(src):
-        m = _TOKEN.search(src, at)
-        stop = m.start() if m else len(src)
+        token = tokens.next(at)
+        stop = token[0] if token else len(src)
         if stop > at:
-            held.append((src[at:stop], "a" in inline))
-        if not m:
+            held.append((src[at:stop], inline["a"] > 0))
+        if not token:
             break
-        at = m.end()
-        tag = (m[2] or "").lower()
+        _, at, closing, tag, attributes = token
         if not tag:
             continue
-        if m[1]:
+        if closing:
             if tag in INLINE:
-                if tag in inline:
-                    inline.reverse()
-                    inline.remove(tag)
-                    inline.reverse()
-            else:
+                inline[tag] = max(0, inline[tag] - 1)
+            elif deep[tag] > 0:
+                block()
+                deep[tag] -= 1
+            elif open_tags[tag] > 0:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
                         pop_to(k)
                         break
             continue
-        if tag in RAW and not m[3].endswith("/"):
+        if tag in RAW and not attributes.endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(src, at)
             at = close.start() if close else len(src)
             gt = src.find(">", at)
@@ -143,28 +210,33 @@ def parse(page: str | None) -> Tree:
             held.append((" " if tag == "br" else "", False))
             continue
         if tag in INLINE:
-            if tag not in VOID:
-                inline.append(tag)
+            if tag not in VOID and not (tag in DRAWN and attributes.endswith("/")):
+                inline[tag] += 1
             continue
-        if tag in CLOSES_P and any(s == "p" for s, _ in stack):
+        if tag in CLOSES_P and open_tags["p"] > 0:
             k = max(i for i, (s, _) in enumerate(stack) if s == "p")
             pop_to(k)
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in SIBLINGS.get(tag, ()):
-                pop_to(k)
-            elif stack[k][0] in BARRIERS:
-                break
+        if any(open_tags[s] > 0 for s in SIBLINGS.get(tag, ())):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in SIBLINGS[tag]:
+                    pop_to(k)
+                elif stack[k][0] in BARRIERS:
+                    break
         block()
         if tag in VOID or tag in ("html", "body"):
             continue
+        if len(stack) >= MAX_DEPTH:
+            deep[tag] += 1
+            continue
         words, mark = frozenset(), None
-        if m[3].strip(" /"):
-            names = " ".join(v.strip("\"'") for _, v in _ATTR.findall(m[3]))
+        if attributes.strip(" /"):
+            names = " ".join(v.strip("\"'") for _, v in _ATTR.findall(attributes))
             words = frozenset(_WORD[w.lower()] for w in _PART.findall(names) if w.lower() in _WORD)
-            if "data-label" in m[3]:
-                mark = re.search(r'data-label="(\w+)"', m[3])[1]
+            label = re.search(r'data-label="(\w+)"', attributes)
+            mark = label and label[1]
         i = node(_KIND.get(tag, _KIND["div"]), words, None, mark)
         stack.append((tag, i))
+        open_tags[tag] += 1
     block()
     for i in range(len(t.parent) - 1, 0, -1):
         t.chars[t.parent[i]] += t.chars[i]
@@ -311,7 +383,11 @@ _MAIN = (("article", ("", "post", "entry", "story")), ("main", ("", "content")),
          ("section", ("article", "content", "")))
 
 
-def labelled_pages(count: int = 300, seed: int = 7) -> list[str]:
+# Where a page keeps its article: in a part named for it, in elements without names, straight in the body, in a table.
+FAMILIES = ("part", "nested", "nested", "flat", "table")
+
+
+def labelled_pages(count: int = 600, seed: int = 7, families: tuple = FAMILIES) -> list[str]:
     """Seeded pages of varied templates whose parts carry ``data-label``."""
     r = random.Random(seed)
     word = lambda: "".join(r.choice(("ta", "re", "on", "is", "mu", "el", "da", "ko")) for _ in range(r.randint(1, 3)))
@@ -337,8 +413,8 @@ def labelled_pages(count: int = 300, seed: int = 7) -> list[str]:
         return f'<{tag}{cls(name)} data-label="other">{body}</{tag}>'
 
     def content():
-        parts = [f"<h1>{prose(1, 12)}</h1>"] if r.random() < 0.8 else []
-        for _ in range(r.randint(1, 12)):
+        parts = [f"<h1>{prose(1, 12)}</h1>"] if r.random() < 0.6 else []
+        for _ in range(r.randint(1, 12) if r.random() < 0.6 else r.randint(1, 2)):
             parts.append(r.choices((
                 f"<p>{r.choice((word() + chr(46), prose(1, 6)))}</p>", f"<p>{prose(10, 120)}</p>", f"<h2>{prose(1, 8)}</h2>",
                 f"<p><b>{prose(1, 40)}<br><p>{prose(1, 40)}", f"<ul><li>{prose(2, 20)}</li><li>{prose(2, 20)}</li></ul>",
@@ -349,13 +425,26 @@ def labelled_pages(count: int = 300, seed: int = 7) -> list[str]:
                 (3, 6, 1, 1, 1, 1, 1, 2, 0.5, 0.5))[0])
             if r.random() < 0.12:
                 parts.append(other(("div", "aside", "section", "form")))
-        tag, names = r.choice(_MAIN)
-        return f'<{tag}{cls(r.choice(names))} data-label="content">{"".join(parts)}</{tag}>'
+        family, body = r.choice(families), "".join(parts)
+        if family == "part":
+            tag, names = r.choice(_MAIN)
+            return f'<{tag}{cls(r.choice(names))} data-label="content">{body}</{tag}>'
+        if family == "nested":
+            inner = r.randint(0, 3)
+            name = cls(r.choice(("", "", "", "x1", "col", "css-1a2b")))
+            return f'<div{name} data-label="content">{"<div>" * inner}{body}{"</div>" * inner}</div>'
+        if family == "table":
+            side = f"<td>{other()}</td>" * (r.random() < 0.5)
+            return f'<table><tr>{side}<td data-label="content">{body}</td></tr></table>'
+        # Straight in the body: every part carries its own label; text without an element would have none.
+        return "".join(re.sub(r"^<(\w+)", r'<\1 data-label="content"', p) if "data-label" not in p.split(">")[0] else p
+                       for p in parts if p.startswith("<"))
 
     out = []
     for _ in range(count):
-        before = "".join(other() for _ in range(r.randint(0, 4)))
-        after = "".join(other() for _ in range(r.randint(0, 4)))
+        alone = r.random() < 0.25
+        before = "" if alone else "".join(other() for _ in range(r.randint(0, 4)))
+        after = "" if alone else "".join(other() for _ in range(r.randint(0, 4)))
         body = content()
         if r.random() < 0.4:
             tag, names = r.choice((("div", ("page", "wrapper", "container", "single")), ("main", ("",)),
