@@ -194,6 +194,26 @@ def test_recall_ties_and_unusable_vectors(spark):
     assert [(r.query_id, r.rank, r.id) for r in two] == [(0, 1, 1)]
 
 
+def test_doubles_and_lengths(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(120, 6)) * 10.0 ** rng.integers(-290, 290, 120)[:, None]    # squares leave the range of doubles
+    y = rng.normal(size=(40, 3))
+    rows = [(i, x[i].tolist()) for i in range(120)] + [(1000 + i, y[i].tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = nn.nearest(spark, df, F.col("vec_id") % 50 == 0, top=5, rounds=2).collect()
+    assert {r.query_id for r in got} == {0, 50, 100, 1000}
+    for first, of in ((0, x), (1000, y)):           # a length is searched on its own
+        unit = of / np.abs(of).max(axis=1, keepdims=True)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        for q in range(0, len(of), 50):
+            s = unit @ unit[q]
+            s[q] = -9
+            mine = sorted((r.rank, r.id - first, r.score) for r in got if r.query_id == first + q)
+            assert [m[1] for m in mine] == np.argsort(-s)[:5].tolist()
+            assert all(abs(m[2] - s[m[1]]) < 1e-14 for m in mine)
+
+
 # --- decontamination -------------------------------------------------------------------------------
 
 def edits(window, text):
