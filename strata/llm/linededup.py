@@ -90,9 +90,10 @@ def spread_boilerplate(spark: SparkSession, flat: DataFrame, lines: DataFrame, m
     at_least = lambda texts: lambda up, _: (F.col("site") >= min_sites * up) & (F.col(texts) >= min_texts * up)
     wide = _passing(spark, cand, ("site", "doc"), at_least("doc"), "lines-wide")
     cand = stored(spark, cand.join(wide, "h", "left_semi").distinct(), "lines-held")
-    # Only texts that hold such a line are shingled; their list is a table of ids, so Spark may broadcast it by its size.
+    # Only texts that hold such a line are shingled, each once: copies become one text before the shuffle.
     holders = stored(spark, cand.select("doc").distinct(), "lines-holders")
-    bands = stored(spark, _bands(flat.select("doc", "text").join(holders, "doc", "left_semi")).distinct(), "lines-bands")
+    texts = flat.groupBy("doc").agg(F.min("text").alias("text"))
+    bands = stored(spark, _bands(texts.join(holders, "doc")).distinct(), "lines-bands")
     shared = bands.groupBy("band").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).filter("a < z").select("band")
     classes = components(spark, bands.join(shared, "band", "left_semi"), "doc", "band")
     cand = (cand.join(classes, cand.doc == classes.node, "left")
