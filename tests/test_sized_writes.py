@@ -46,6 +46,22 @@ def test_a_hot_day_has_many_writers_and_a_small_one_few(spark, workdir, small_pa
     assert len(files(pub.data_path + "/publish_version=1", "2025-01-01")) > 4
 
 
+def test_a_large_hour_is_landed_by_many_tasks_and_counted_once(spark, workdir, small_parts):
+    from strata.plans.queries_dumps import OPEN_FILES, land_dumps, q_dump_counts
+    (spark.range(0, 40_000, 1, 8).select(
+        (F.col("id") * 7).alias("l_orderkey"), (F.col("id") % 5000).alias("l_partkey"),
+        F.when(F.col("id") % 10 == 0, 49.0).otherwise(F.col("id") % 40 + 1.0).alias("l_quantity"),
+        F.lit("O").alias("l_linestatus"), F.lit("N").alias("l_returnflag")).write.parquet(workdir + "/lineitem.parquet"))
+    (spark.range(5000).select(F.col("id").alias("p_partkey"), F.sha2(F.col("id").cast("string"), 512).alias("p_name"))
+     .write.parquet(workdir + "/part.parquet"))
+    held = spark.conf.get(OPEN_FILES)
+    path = land_dumps(spark, workdir, workdir + "/landed")
+    assert spark.conf.get(OPEN_FILES) == held
+    assert len(glob.glob(path + "/pageviews-20240105-000000*")) > 4
+    got = sorted(map(tuple, q_dump_counts(spark, workdir).collect()))
+    assert got == [("0", 36_000), ("all", 36_000), ("not utf-8", 4_000)]
+
+
 def test_slices_compute_their_source_once(spark, workdir):
     df = hot_days(spark)
     day = F.col("event_date")
