@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql.types import DataType
 # Fixed text form of a timestamp inside surrogate keys: session-zone free,
 # microsecond precision.
 TS_TEXT_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# Bound of either side of a quotient of 64-bit integers.
+_LONG_HALF = 4 * 10 ** 18
 
 
 def _col(c) -> Column:
@@ -115,10 +118,18 @@ def half_up_ratio(num: str, den: str, num_scale: int, out_scale: int) -> Column:
     a value across a .5 boundary, however large the count. NULL when
     ``den`` is 0 or ``num`` is NULL."""
     ns, ks = 10 ** num_scale, 10 ** out_scale
+    quotient = lambda n, d: f"((2 * abs({n}) * {ks} + {d}) div (2 * {d}))"
     unscaled = f"CAST(`{num}` * {ns} AS DECIMAL(38,0))"
-    scaled_den = f"(CAST(`{den}` AS DECIMAL(38,0)) * {ns})"
-    mag = f"((2 * abs({unscaled}) * {ks} + {scaled_den}) div (2 * {scaled_den}))"
+    mag = quotient(unscaled, f"(CAST(`{den}` AS DECIMAL(38,0)) * {ns})")
     q = f"(CASE WHEN {unscaled} < 0 THEN -{mag} ELSE {mag} END)"
+    wide = f"CAST(CAST({q} AS DECIMAL(38,0)) / {ks} AS DECIMAL(18,{out_scale}))"
+    # Where no step passes 64 bits the same integers are plain longs: a decimal division costs microseconds a row.
+    most = _LONG_HALF // (2 * ks * ns)
+    small = quotient("__n", f"(CAST(`{den}` AS BIGINT) * {ns}L)").replace(
+        "__n", f"CAST(CAST(`{num}` AS DECIMAL(18,{num_scale})) * {ns} AS BIGINT)")
+    near = (f"CAST(CAST((CASE WHEN `{num}` < 0 THEN -{small} ELSE {small} END) AS DECIMAL(20,0)) "
+            f"* CAST('{Decimal(1).scaleb(-out_scale):f}' AS DECIMAL({out_scale + 1},{out_scale})) AS DECIMAL(18,{out_scale}))")
     expr = (f"CASE WHEN `{den}` IS NULL OR `{den}` = 0 OR `{num}` IS NULL THEN NULL "
-            f"ELSE CAST(CAST({q} AS DECIMAL(38,0)) / {ks} AS DECIMAL(18,{out_scale})) END")
+            f"WHEN `{den}` BETWEEN 1 AND {_LONG_HALF // (2 * ns)} AND `{num}` BETWEEN -{most} AND {most} THEN {near} "
+            f"ELSE {wide} END")
     return F.expr(expr)

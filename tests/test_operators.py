@@ -27,6 +27,16 @@ def test_half_up_ratio_is_exact(spark):
     assert got[3] is None and got[4] is None
 
 
+def test_half_up_ratio_of_plain_values_is_long_arithmetic(spark):
+    """Decimal division only beyond 64 bits, and the same result on both sides of the bound."""
+    most = 4 * 10 ** 18 // (2 * 1000 * 10 ** 6)
+    rows = [(Decimal(x), n) for x in (most - 1, most, most + 1, -most, -most - 1, 7) for n in (1, 2, 3, 10 ** 13)]
+    df = spark.createDataFrame(rows, "s decimal(38,6), n long").select("s", "n", half_up_ratio("s", "n", 6, 3).alias("q"))
+    assert "AS BIGINT" in df.select("q")._jdf.queryExecution().analyzed().toString().upper()
+    for s, n, q in df.collect():
+        assert q == (s / n).quantize(Decimal("0.001"), rounding="ROUND_HALF_UP")
+
+
 def test_surrogate_key_md5_and_null(spark):
     df = spark.createDataFrame([("usgs", "us1"), ("usgs", None)], "a string, b string")
     keys = [r[0] for r in df.select(surrogate_key("a", "b")).collect()]
