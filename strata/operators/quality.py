@@ -41,6 +41,12 @@ class DataTest:
     query: Callable[[Tables], DataFrame] | None = field(default=None, repr=False)
     where: str | None = None      # SQL condition of a failing row
     shown: Sequence[str] = ()     # columns of failing rows that are stored
+    reads: Sequence[str] = ()     # tables of a singular test, where they are known
+
+    def ready(self, t) -> bool:
+        """Whether all tables the test reads are in ``t``."""
+        tables = self.reads if self.kind == "singular" else (self.table, *(self.parent or ())[:1])
+        return bool(tables) and all(x in t for x in tables)
 
     @property
     def condition(self) -> str | None:
@@ -87,8 +93,8 @@ def rows_where(name, table, condition, shown=()):
     return DataTest(name, table, "rows", where=condition, shown=tuple(shown))
 
 
-def singular(name, query, table=""):
-    return DataTest(name, table, "singular", query=query)
+def singular(name, query, table="", reads=()):
+    return DataTest(name, table, "singular", query=query, reads=tuple(reads))
 
 
 def summary(tests: Sequence[DataTest], t: Tables) -> DataFrame:

@@ -48,6 +48,24 @@ def test_baseline(spark, workdir):
     assert cal == [(dt.date(2024, 6, 10), 1, "Mon"), (dt.date(2024, 6, 11), 2, "Tue"), (dt.date(2024, 6, 12), 3, "Wed")]
 
 
+def test_tests_of_written_layers_run_before_the_fact_is_built(spark, workdir):
+    from strata.operators import quality as dq
+    begun = []
+
+    def look(t):
+        begun.append(sorted(k for k in t if not k.startswith("_")))
+        return t["latest"].filter("event_id IS NOT NULL")
+
+    tests = [dq.singular("early", look, reads=("latest",)), dq.singular("late", lambda t: t["fact"], reads=("fact",)),
+             dq.unique("latest", "event_key"), dq.not_null("latest", "event_key")]
+    raw_ev, raw_hist = load_raw(spark, qf.slices(workdir + "/data", ()))
+    res = run_elt(spark, type_raw_events(raw_ev), stage_network_history(raw_hist), *qf.WINDOW, root=workdir + "/wh",
+                  run_id="r", classes=MAGNITUDE_CLASSES, fact_types=("earthquake",), tests=tests)
+    assert begun[0] == ["dim_class", "dim_date", "dim_network", "latest", "network_history", "versions"]
+    assert res["tests"] == {"early": 3, "late": 3, "unique_latest_event_key": 0, "not_null_latest_event_key": 0}
+    assert list(res["tests"]) == [x.name for x in tests] and res["failing"] == ["early", "late"]
+
+
 def test_dup_is_idempotent(spark, workdir):
     base = run(spark, workdir + "/a")
     res = run(spark, workdir + "/b", ["dup"])
