@@ -153,10 +153,10 @@ def _pack_task(path: str, end_id: int, tiers, with_ids: bool):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                                  _COLUMNS[:len(cols)])
 
-        for b in batches:
+        for b, encoded in enc.batches(batches, 1):
             kind = b.column(0).type
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.append(enc.encode(text), enc.dtype.type(end_id))
+            for doc, ids in zip(b.column(0).to_pylist(), encoded):
+                ids = np.append(ids, enc.dtype.type(end_id))
                 packer.add((doc, len(ids)), ids)
             yield from rows()
         packer.pack(last=True)
