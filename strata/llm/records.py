@@ -183,8 +183,8 @@ def _write_task(root: str, path: str, end_id: int, shard_bytes: int):
                  pa.array([sum(len(x) for x in index)], pa.int64()), pa.array([tokens], pa.int64()),
                  pa.array([size], pa.int64())], ["part", "shard", "file", "records", "tokens", "bytes"])
 
-        for b in batches:
-            ids = [np.append(enc.encode(t), enc.dtype.type(end_id)) for t in b.column(1).to_pylist()]
+        for b, encoded in enc.batches(batches, 1):
+            ids = [np.append(x, enc.dtype.type(end_id)) for x in encoded]
             if not ids:
                 continue
             if out is None:

@@ -27,7 +27,7 @@ CACHE_PIECES = 300_000
 # Pieces encoded by one call: longer calls cost more per piece.
 JOINED = 128
 # Bytes of text cut at once.
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 # Classes of bytes. OTHER: not known to be a letter, digit or mark; cut from white space alone.
 SPACE, WHITE, LETTER, DIGIT, MARK, QUOTE, OTHER = range(7)
 _CLASS = np.full(256, MARK, np.uint8)
@@ -186,11 +186,11 @@ class Encoder:
             None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(buf)]).dictionary_encode()
         which = pieces.indices.to_numpy()
         found = self._look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
-        held = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        held = np.fromiter(map(len, found), np.int32, len(found)) // np.int32(self.dtype.itemsize)
         n = held[which]
         end = np.concatenate([[0], np.cumsum(n)])
-        at = np.repeat((np.cumsum(held) - held)[which] - end[:-1], n)
-        at += np.arange(len(at))
+        at = np.repeat(((np.cumsum(held) - held)[which] - end[:-1]).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
         return np.frombuffer(b"".join(found), self.dtype)[at], end[np.searchsorted(starts, edges)]
 
     def _odd(self, data: np.ndarray) -> list[int]:
