@@ -27,7 +27,7 @@ CACHE_PIECES = 300_000
 # Pieces encoded by one call: longer calls cost more per piece.
 JOINED = 128
 # Bytes of text cut at once.
-SEGMENT = 2 << 20
+SEGMENT = 3 << 20
 # Classes of bytes. OTHER: not known to be a letter, digit or mark; cut from white space alone.
 SPACE, WHITE, LETTER, DIGIT, MARK, QUOTE, OTHER = range(7)
 _CLASS = np.full(256, MARK, np.uint8)
@@ -60,6 +60,7 @@ def _coded(chars) -> np.ndarray:
 
 
 _WIDE_CODES, _ODD_CODES = _coded(_WIDE), _coded(_ODD)
+_WIDE_FIRST = frozenset(chr(c).encode()[0] for c in _WIDE)
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -131,51 +132,61 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
+    def _joined(self, pieces: list[bytes], between: bytes) -> list[bytes]:
+        """The ids of pieces that the pattern does not join: each starts with its one space, or has no white space and
+        a line feed between it and the next."""
+        out: list[bytes] = []
+        width = self.dtype.itemsize
+        for lo in range(0, len(pieces), JOINED):
+            part = pieces[lo:lo + JOINED]
+            ids = self._ids(between.join(part).decode())
+            raw = ids.tobytes()
+            if between:         # the line feed is an id of its own
+                gaps = np.flatnonzero(ids == self._line)
+                starts, stops = np.append(0, gaps + 1), np.append(gaps, len(ids))
+            else:               # only the first id of a piece holds its space
+                starts = np.flatnonzero(self._spaced[ids])
+                stops = np.append(starts[1:], len(ids))
+            if len(starts) == len(part):
+                out += [raw[i:j] for i, j in zip((starts * width).tolist(), (stops * width).tolist())]
+            else:
+                out += [self._ids(w.decode()).tobytes() for w in part]
+        return out
+
     def _learn(self, new: list[bytes]) -> None:
         spaced, lined, single = [], [], []
-        for w, text in zip(new, map(bytes.decode, new)):
-            if not text[0].isspace():
-                (lined if self._line is not None else single).append((w, text))
-            else:
-                (spaced if text[0] == " " and len(text) > 1 and not text[1].isspace() else single).append((w, text))
-        for group, between in ((spaced, ""), (lined, "\n")):
-            for lo in range(0, len(group), JOINED):
-                part = group[lo:lo + JOINED]
-                ids = self._ids(between.join([text for _, text in part]))
-                if between:         # the line feed between two pieces is an id of its own
-                    gaps = np.flatnonzero(ids == self._line)
-                    starts, stops = np.append(0, gaps + 1), np.append(gaps, len(ids))
-                else:               # only the first id of a piece holds its space
-                    starts = np.flatnonzero(self._spaced[ids])
-                    stops = np.append(starts[1:], len(ids))
-                if len(starts) == len(part):
-                    raw, width = ids.tobytes(), self.dtype.itemsize
-                    for (w, _), start, stop in zip(part, (starts * width).tolist(), (stops * width).tolist()):
-                        self._cache[w] = raw[start:stop]
+        for w in new:
+            if w[0] == 32 and w[1:2] > b" " and w[1] not in _WIDE_FIRST:
+                spaced.append(w)
+            elif w[0] > 32 and w[0] not in _WIDE_FIRST:
+                lined.append(w)
+            else:       # white space, or what may be
+                text = w.decode()
+                if not text[0].isspace():
+                    lined.append(w)
+                elif text[0] == " " and text[1:] and not text[1].isspace():
+                    spaced.append(w)
                 else:
-                    single += part
-        for w, text in single:
-            self._cache[w] = self._ids(text).tobytes()
+                    single.append(w)
+        if self._line is None:
+            single, lined = single + lined, []
+        self._cache.update(zip(spaced, self._joined(spaced, b"")))
+        self._cache.update(zip(lined, self._joined(lined, b"\n")))
+        for w in single:
+            self._cache[w] = self._ids(w.decode()).tobytes()
 
     def _look_up(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of distinct pieces."""
         found = list(map(self._cache.get, pieces))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            new = [pieces[i] for i in missing]
-            if len(self._cache) + len(new) > CACHE_PIECES:
-                self._before, self._cache, new = self._cache, {}, pieces
-            unseen = []
-            for w in new:
-                ids = self._before.get(w)
-                if ids is None:
-                    unseen.append(w)
-                else:
-                    self._cache[w] = ids
-            self._learn(unseen)
-            for i in missing:
-                found[i] = self._cache[pieces[i]]
-        return found
+        new = [w for w, ids in zip(pieces, found) if ids is None]
+        if not new:
+            return found
+        if len(self._cache) + len(new) > CACHE_PIECES:
+            self._before, self._cache, new = self._cache, {}, pieces
+        old = list(map(self._before.get, new))
+        self._cache.update((w, ids) for w, ids in zip(new, old) if ids is not None)
+        self._learn([w for w, ids in zip(new, old) if ids is None])
+        return [self._cache[w] if ids is None else ids for w, ids in zip(pieces, found)]
 
     def _group(self, buf: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts in ``buf`` one after another, and how many of them lie before each edge."""
